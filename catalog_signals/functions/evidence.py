@@ -7,15 +7,15 @@ code; higher-order array functions would leave it.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from catalog_signals.functions.text import true_false
-
 
 @dataclass(frozen=True)
 class Evidence:
@@ -28,12 +28,8 @@ def _known(item: Evidence) -> Column:
     return item.value.isNotNull()
 
 
-def _text(item: Evidence) -> Column:
-    return F.concat(F.lit(f"{item.source}="), true_false(item.value))
-
-
-def _rank_of_first(evidence: Sequence[Evidence]) -> Column:
-    return F.coalesce(*[F.when(_known(e), F.lit(i)) for i, e in enumerate(evidence)])
+def _any(conditions: Sequence[Column]) -> Column:
+    return reduce(operator.or_, conditions, F.lit(False))
 
 
 def chosen_value(evidence: Sequence[Evidence]) -> Column:
@@ -59,32 +55,58 @@ def dissent(evidence: Sequence[Evidence], separator: str = "; ") -> Column:
     return F.nullif(F.concat_ws(separator, *parts), F.lit(""))
 
 
+def _pairs(evidence: Sequence[Evidence]) -> list[tuple[Evidence, Evidence, Column]]:
+    """(a, b, "a and b are the two strongest available sources and differ") for all a before b."""
+    found = []
+    for (i, a), (j, b) in combinations(enumerate(evidence), 2):
+        differ = a.value != b.value  # NULL unless both are known
+        skipped = [e.value.isNull() for k, e in enumerate(evidence[:j]) if k != i]
+        found.append((a, b, reduce(operator.and_, skipped, F.coalesce(differ, F.lit(False)))))
+    return found
+
+
+def top_two_differ(evidence: Sequence[Evidence]) -> Column:
+    """Do the two strongest available sources differ? False with fewer than two."""
+    return _any([differ for _, _, differ in _pairs(evidence)])
+
+
 def top_two_conflict(metric: str, evidence: Sequence[Evidence]) -> Column:
     """``metric: A=x vs B=y`` when the two strongest available sources differ, else NULL."""
-    first = _rank_of_first(evidence)
-    later = [F.when(_known(e) & (first < i), F.lit(i)) for i, e in enumerate(evidence)]
-    second = F.coalesce(*later)
-    cases = [
-        F.when(
-            (first == i) & (second == j) & (a.value != b.value),
-            F.concat(F.lit(f"{metric}: "), _text(a), F.lit(" vs "), _text(b)),
+    return F.coalesce(
+        *[
+            F.when(differ & a.value, f"{metric}: {a.source}=True vs {b.source}=False").when(
+                differ, f"{metric}: {a.source}=False vs {b.source}=True"
+            )
+            for a, b, differ in _pairs(evidence)
+        ]
+    )
+
+
+def top_vs_rest_differ(evidence: Sequence[Evidence]) -> Column:
+    """Does the strongest available source differ from all others? False if there are no others."""
+    top = chosen_value(evidence)
+
+    def holding(value: bool) -> Column:
+        return reduce(
+            operator.add,
+            [F.coalesce(e.value == value, F.lit(False)).cast("int") for e in evidence],
         )
-        for i, a in enumerate(evidence)
-        for j, b in enumerate(evidence)
-        if i < j
-    ]
-    return F.coalesce(*cases)
+
+    alone = F.when(top, (holding(True) == 1) & (holding(False) > 0)).otherwise(
+        (holding(False) == 1) & (holding(True) > 0)
+    )
+    return F.coalesce(alone, F.lit(False))
 
 
 def top_vs_rest_conflict(metric: str, evidence: Sequence[Evidence]) -> Column:
     """``metric: A=x vs others=['B=y', ...]`` when the strongest available source differs from every
     other available one (at least one), else NULL."""
-    top = chosen_value(evidence)
-    available = reduce(lambda n, e: n + _known(e).cast("int"), evidence, F.lit(0))
-    agreeing = reduce(
-        lambda n, e: n + F.coalesce(e.value == top, F.lit(False)).cast("int"), evidence, F.lit(0)
-    )
-    leader = F.coalesce(*[F.when(_known(e), _text(e)) for e in evidence])
-    others = F.concat_ws("', '", *[F.when(e.value != top, _text(e)) for e in evidence])
-    text = F.concat(F.lit(f"{metric}: "), leader, F.lit(" vs others=['"), others, F.lit("']"))
-    return F.when((available > 1) & (agreeing == 1), text)
+
+    def text(top: bool) -> Column:
+        leader = F.coalesce(*[F.when(_known(e), f"{e.source}={top}") for e in evidence[:-1]])
+        others = [F.when(e.value != F.lit(top), f"{e.source}={not top}") for e in evidence[1:]]
+        listed = F.concat_ws("', '", *others)
+        return F.concat(F.lit(f"{metric}: "), leader, F.lit(" vs others=['"), listed, F.lit("']"))
+
+    differ = top_vs_rest_differ(evidence)
+    return F.when(differ, F.when(chosen_value(evidence), text(True)).otherwise(text(False)))

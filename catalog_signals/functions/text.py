@@ -25,11 +25,6 @@ def percent_text(ratio: Column) -> Column:
     return F.concat(F.rint(ratio * 100).cast("bigint").cast("string"), F.lit("%"))
 
 
-def true_false(col: Column) -> Column:
-    """``True`` or ``False`` as reasons spell them."""
-    return F.when(col, "True").when(~col, "False")
-
-
 def contains_any(text: Column, keywords: Iterable[str]) -> Column:
     """Does ``text`` hold any keyword as a substring?
 

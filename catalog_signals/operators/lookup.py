@@ -5,18 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalog_signals.operators.signals import mapping_text
 from catalog_signals.operators.spread import spread_join
 
 _BY_NAME = ["clientId", "serviceType"]
 
 
-def _join_by_name(types: DataFrame, named: DataFrame, name: str = "DESCRIPTION") -> DataFrame:
-    """``named`` joined to types whose ``name`` equals its ``serviceType``; NULL equals NULL.
+def _join_by_name(types: DataFrame, named: DataFrame) -> DataFrame:
+    """``named`` joined to types whose DESCRIPTION equals its ``serviceType``; NULL equals NULL.
 
     One description may belong to a third of all types, hence the spreading, by type id.
     """
-    keyed = named.withColumnRenamed("serviceType", name)
-    return spread_join(types, keyed, ["clientId", name], ["TYPE_ID"], null_safe=[name])
+    keyed = named.withColumnRenamed("serviceType", "DESCRIPTION")
+    return spread_join(
+        types, keyed, ["clientId", "DESCRIPTION"], ["TYPE_ID"], null_safe=["DESCRIPTION"]
+    )
 
 
 def lookup_attach(types: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -25,17 +28,13 @@ def lookup_attach(types: DataFrame, lookup: DataFrame) -> DataFrame:
     return _join_by_name(types, one_per_name)
 
 
-def lookup_attach_copies(
-    types: DataFrame, lookup: DataFrame, value: Column | None = None
-) -> DataFrame:
+def lookup_attach_copies(types: DataFrame, lookup: DataFrame) -> DataFrame:
     """One row per type and *distinct* lookup value, with ``copies``, the number of matches it
-    stands for (1 for a type without a match). ``value`` replaces ``isRecurring`` before counting.
+    stands for (1 for a type without a match).
 
     Equal matches stay counted until ``expand_copies`` writes them out, so that a name that is
     frequent on both sides is never multiplied in a shuffle.
     """
-    if value is not None:
-        lookup = lookup.withColumn("isRecurring", value)
     counted = lookup.groupBy(*_BY_NAME, "isRecurring").agg(F.count(F.lit(1)).alias("copies"))
     joined = _join_by_name(types, counted)
     return joined.withColumn("copies", F.coalesce("copies", F.lit(1)))
@@ -58,26 +57,78 @@ def lookup_match_count(types: DataFrame, lookup: DataFrame) -> DataFrame:
     return _join_by_name(types, counted).withColumn("copies", F.coalesce("copies", F.lit(1)))
 
 
-def repeated_names(
-    types: DataFrame, weight: Column | None = None, name: str = "DESCRIPTION"
-) -> DataFrame:
-    """Adds ``repeated_name``: is the row's ``name`` the DESCRIPTION of several rows of its client?
+def name_facts(types: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Per client and name: the lookup value a deduped type gets (``isRecurring``), the lookup rows by
+    mapping text (``n_true``, ``n_false``, ``n_other``), and the number of types so named
+    (``n_types``, 0 for the NULL name, which never repeats). One aggregation over both inputs.
+    """
+    text, no_row = mapping_text(F.col("isRecurring")), F.lit(0)
+    from_lookup = lookup.select(
+        *_BY_NAME,
+        "isRecurring",
+        F.when(text == "TRUE", 1).otherwise(0).alias("n_true"),
+        F.when(text == "FALSE", 1).otherwise(0).alias("n_false"),
+        F.when(text.isNull(), 1).otherwise(0).alias("n_other"),
+        no_row.alias("n_types"),
+    )
+    from_types = types.select(
+        "clientId",
+        F.col("DESCRIPTION").alias("serviceType"),
+        F.lit(None).cast("string").alias("isRecurring"),
+        *[no_row.alias(f"n_{kind}") for kind in ("true", "false", "other")],
+        F.when(F.col("DESCRIPTION").isNotNull(), 1).otherwise(0).alias("n_types"),
+    )
+    sums = [F.sum(n).alias(n) for n in ("n_true", "n_false", "n_other", "n_types")]
+    facts = from_lookup.unionByName(from_types).groupBy(*_BY_NAME)
+    return facts.agg(F.max("isRecurring").alias("isRecurring"), *sums)
 
-    ``weight`` is the number of rows a row stands for. A NULL description never repeats. Counts are
-    pre-aggregated per task and only repeated names are joined back.
+
+def repeated_names(types: DataFrame) -> DataFrame:
+    """Adds ``repeated_name``: is the description on more than one row of the client? NULL never is.
+
+    Counts are pre-aggregated per task and only repeated names are joined back.
     """
-    rows = F.sum(weight) if weight is not None else F.count(F.lit(1))
     repeated = (
         types.where("DESCRIPTION is not null")
         .groupBy("clientId", F.col("DESCRIPTION").alias("serviceType"))
-        .agg(rows.alias("_rows"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
         .where("_rows > 1")
         .select(*_BY_NAME, F.lit(True).alias("repeated_name"))
     )
-    joined = _join_by_name(types, repeated, name)
+    joined = _join_by_name(types, repeated)
     return joined.withColumn("repeated_name", F.coalesce("repeated_name", F.lit(False)))
 
 
+def name_types(types: DataFrame, facts: DataFrame) -> DataFrame:
+    """Adds ``isRecurring`` and ``repeated_name`` to deduped types."""
+    wanted = facts.where("isRecurring is not null or n_types > 1").select(
+        *_BY_NAME, "isRecurring", (F.col("n_types") > 1).alias("repeated_name")
+    )
+    named = _join_by_name(types, wanted)
+    return named.withColumn("repeated_name", F.coalesce("repeated_name", F.lit(False)))
+
+
+def name_types_fanout(types: DataFrame, facts: DataFrame) -> DataFrame:
+    """Adds ``isRecurring`` (as mapping text) and ``repeated_name`` to types that repeat for every
+    lookup match; ``copies`` is the number of matches a row stands for, at least 1.
+
+    A type's matches are at most three rows here, one per mapping text, however many there are.
+    """
+    total = F.col("n_true") + F.col("n_false") + F.col("n_other")
+    other = F.when(total == 0, 1).otherwise(F.col("n_other"))
+    matches = [
+        F.struct(F.lit(text).cast("string").alias("isRecurring"), copies.alias("copies"))
+        for text, copies in (("TRUE", F.col("n_true")), ("FALSE", F.col("n_false")), (None, other))
+    ]
+    wanted = facts.select(
+        *_BY_NAME,
+        (F.col("n_types") * F.greatest(total, F.lit(1)) > 1).alias("repeated_name"),
+        F.array(*matches).alias("_matches"),
+    )
+    named = _join_by_name(types, wanted)
+    return named.select(*types.columns, "repeated_name", F.inline("_matches")).where("copies > 0")
+
+
 def reference_mismatch(types: DataFrame, merged: DataFrame) -> DataFrame:
     """Types that the validation table lacks or describes differently (NULL counts as lacking).
 

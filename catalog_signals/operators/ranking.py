@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalog_signals.config import DEFAULTS, Params
@@ -44,11 +44,17 @@ def share_of_client(df: DataFrame, value: str, share: str) -> DataFrame:
     return joined.withColumn(share, share_pct(F.col(value), F.col("_total")))
 
 
-def top_k(df: DataFrame, by: Column, k: int, rank: str = "rank") -> DataFrame:
-    """The ``k`` first types of each client by ``by``, ties by type id. Spark applies the limit in
-    every task before the shuffle (WindowGroupLimit)."""
-    window = Window.partitionBy("clientId").orderBy(by, F.asc("TYPE_ID"))
-    return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
+def top_k(df: DataFrame, value: str, k: int, rank: str = "rank") -> DataFrame:
+    """The ``k`` types of each client with the greatest ``value``, ties by type id.
+
+    Spark applies the limit in every task before the shuffle (WindowGroupLimit). Rows without a type
+    or a value sort last and are dropped after ranking: dropping them first would send a predicate of
+    its own down to the scan and keep Spark from reusing the shuffle that the totals read.
+    """
+    unranked = F.col("TYPE_ID").isNull() | F.col(value).isNull()
+    window = Window.partitionBy("clientId").orderBy(unranked, F.desc(value), F.asc("TYPE_ID"))
+    ranked = df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
+    return ranked.where(~unranked)
 
 
 def volume_share(visits: DataFrame) -> DataFrame:
@@ -59,7 +65,7 @@ def volume_share(visits: DataFrame) -> DataFrame:
 
 def volume_topk(visits: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     counts = visit_counts(visits.where("TYPE_ID is not null"))
-    ranked = top_k(counts, F.desc("n"), params.top_volume)
+    ranked = top_k(counts, "n", params.top_volume)
     totals = counts.groupBy("clientId").agg(F.sum("n").alias("_total"))
     joined = with_client_total(ranked, totals)
     return joined.withColumn("share_pct", share_pct(F.col("n"), F.col("_total"))).drop("_total")
@@ -68,8 +74,8 @@ def volume_topk(visits: DataFrame, params: Params = DEFAULTS) -> DataFrame:
 def revenue_with_total(subscriptions: DataFrame) -> DataFrame:
     """Revenue per type with the client's total in ``_total``; clients without a positive total drop
     out, as they have neither shares nor ranks."""
-    revenue = active_revenue(subscriptions.where("amount is not null"))
-    return share_of_client(revenue, "revenue", "share_pct").where("_total > 0")
+    shares = share_of_client(active_revenue(subscriptions), "revenue", "share_pct")
+    return shares.where("_total > 0 and revenue is not null")
 
 
 def revenue_share(subscriptions: DataFrame) -> DataFrame:
@@ -77,5 +83,5 @@ def revenue_share(subscriptions: DataFrame) -> DataFrame:
 
 
 def revenue_topk(subscriptions: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    ranked = top_k(revenue_with_total(subscriptions), F.desc("revenue"), params.top_revenue)
+    ranked = top_k(revenue_with_total(subscriptions), "revenue", params.top_revenue)
     return ranked.drop("_total")

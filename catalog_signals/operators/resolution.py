@@ -5,6 +5,9 @@ All functions expect the evidence columns that ``plans.report.evidence_frame`` p
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +41,7 @@ def evidence_of(metric: str, params: Params = DEFAULTS) -> list[Evidence]:
         ZERO_TIME: F.lit("API DEFAULT_LENGTH rule"),
     }
     available = {
-        "API": (F.col(f"api_{metric}"), api_reasons[metric]),
+        "API": (F.col(f"flagged_{metric}"), api_reasons[metric]),
         "Word": (F.col(f"word_{metric}"), F.lit("Word keywords")),
     }
     if metric == RECURRING:
@@ -88,24 +91,35 @@ def top_vs_rest_conflicts(df: DataFrame, keys: list[str], params: Params = DEFAU
     return found.where("reason is not null")
 
 
+def conflict_count(params: Params = DEFAULTS) -> Column:
+    """Number of conflicts over all metrics. Does not build the texts, so that a filter on it stays
+    small when Spark moves it below them."""
+    found = [
+        differ(evidence_of(metric, params)).cast("int")
+        for metric in METRICS
+        for differ in (ev.top_two_differ, ev.top_vs_rest_differ)
+    ]
+    return reduce(operator.add, found)
+
+
+def conflict_reason(metric: str, params: Params = DEFAULTS) -> Column:
+    """Both conflict texts of a metric, joined by ``"; "``; empty if there is no conflict."""
+    sources, name = evidence_of(metric, params), METRIC_NAMES[metric]
+    texts = [build(name, sources) for build in (ev.top_two_conflict, ev.top_vs_rest_conflict)]
+    return F.concat_ws("; ", *texts)
+
+
 def conflict_reasons(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """Adds ``conflict_<metric>``: both conflict texts, joined by ``"; "``, or an empty string, and
-    ``conflicts``, how many there are."""
-    texts = {}
-    for metric in METRICS:
-        sources, name = evidence_of(metric, params), METRIC_NAMES[metric]
-        texts[f"_two_{metric}"] = ev.top_two_conflict(name, sources)
-        texts[f"_rest_{metric}"] = ev.top_vs_rest_conflict(name, sources)
-    joined = {f"conflict_{m}": F.concat_ws("; ", f"_two_{m}", f"_rest_{m}") for m in METRICS}
-    count = sum((F.col(t).isNotNull().cast("int") for t in texts), F.lit(0))
-    return df.withColumns(texts).withColumns({**joined, "conflicts": count}).drop(*texts)
+    """Adds ``conflict_<metric>`` and ``conflicts``, how many there are in all."""
+    texts = {f"conflict_{m}": conflict_reason(m, params) for m in METRICS}
+    return df.withColumns({**texts, "conflicts": conflict_count(params)})
 
 
 def final_signals(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Adds the resolved ``final_<signal>`` before any constraint; has_reservice is left to the
     constraints and only falls back to its flag signal where recurring is unknown."""
     resolved = {f"final_{m}": ev.chosen_value(evidence_of(m, params)) for m in METRICS}
-    fallback = F.when(F.col(f"final_{RECURRING}").isNull(), F.col(f"api_{HAS_RESERVICE}"))
+    fallback = F.when(F.col(f"final_{RECURRING}").isNull(), F.col(f"flagged_{HAS_RESERVICE}"))
     return df.withColumns(resolved).withColumn(f"final_{HAS_RESERVICE}", fallback)
 
 

@@ -13,7 +13,7 @@ MAX_BROADCAST_PAIRS = 100_000
 
 
 def distinct_clients(raw: DataFrame) -> DataFrame:
-    return raw.select(F.col("CLIENT").alias("clientId")).where("clientId is not null").distinct()
+    return of_clients(raw, None, "CLIENT").select(F.col("CLIENT").alias("clientId")).distinct()
 
 
 def requested_clients(
@@ -54,9 +54,7 @@ def scoped_service_types(
     An aliased logical client takes part only if it is asked for by name; otherwise its sources are
     clients of their own.
     """
-    if clients is None:
-        return raw.withColumn("clientId", F.col("CLIENT")).where("CLIENT is not null")
-    asked = {c: aliases[c] for c in clients if c in (aliases or {})}
+    asked = {c: aliases[c] for c in clients or () if c in (aliases or {})}
     if not asked:
         return of_clients(raw, clients, "CLIENT").withColumn("clientId", F.col("CLIENT"))
     return tenant_rollup(raw, {**{c: [c] for c in clients if c not in asked}, **asked})

@@ -19,12 +19,12 @@ def _verdict(rule: FlagRule) -> Column:
 
 
 def api_signals(types: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """Missing flags become 0; adds ``api_<signal>``, the last matching rule's value or False."""
+    """Missing flags become 0; adds ``flagged_<signal>``, the last matching rule's value or False."""
     zeroed = types.withColumns(
         {f"API_{flag}": F.coalesce(f"API_{flag}", F.lit(0)) for flag in FLAGS}
     )
     verdicts = {
-        f"api_{signal}": F.coalesce(
+        f"flagged_{signal}": F.coalesce(
             *[_verdict(r) for r in reversed(params.flag_rules) if r.signal == signal], F.lit(False)
         )
         for signal in SIGNALS

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Tasks over which the rows of one hot key are spread.
+#: Tasks over which the rows of one hot key are spread; a power of two.
 SALTS = 16
 
 
@@ -27,12 +27,14 @@ def spread_join(
     executor puts every row where it was. No side is broadcast by hint: Spark does so by itself
     where the replicated side is measured to be small. Columns in ``null_safe`` match NULL to NULL.
     """
+    if salts & (salts - 1):
+        raise ValueError("salts must be a power of two")
     payload = [c for c in right.columns if c not in on]
-    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
+    salted_left = left.withColumn("_salt", F.xxhash64(*spread_by).bitwiseAND(salts - 1))
     salted_right = right.select(
         *[F.col(k).alias(f"_key_{k}") for k in on],
         *payload,
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_right_salt"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1))).alias("_right_salt"),
     )
     condition = F.col("_salt") == F.col("_right_salt")
     for key in on:

@@ -23,9 +23,9 @@ from catalog_signals.operators.activity import expired_flag
 from catalog_signals.operators.cadence import recurrence_score, type_history
 from catalog_signals.operators.lookup import (
     expand_copies,
-    lookup_attach,
-    lookup_attach_copies,
-    repeated_names,
+    name_facts,
+    name_types,
+    name_types_fanout,
 )
 from catalog_signals.operators.ranking import (
     active_revenue,
@@ -43,7 +43,6 @@ from catalog_signals.operators.signals import (
     api_signals,
     keyword_signals,
     mapping_signal,
-    mapping_text,
 )
 from catalog_signals.operators.versions import latest_types, latest_version, version_order
 from catalog_signals.sources.scans import scan_lookup, scan_subscriptions, scan_visits
@@ -95,28 +94,6 @@ for _name, _type in {
     REPORT_SCHEMA.add(_name, _type)
 
 
-def catalogue(
-    tables: CatalogTables,
-    clients: Sequence[str] | None = None,
-    aliases: Mapping[str, Sequence[str]] | None = None,
-    dedupe: bool = True,
-) -> DataFrame:
-    """The catalogue with its lookup value and ``repeated_name``; ``copies`` is the number of report
-    rows a row stands for (more than one only without ``dedupe``)."""
-    raw = scoped_service_types(tables.service_types, clients, aliases)
-    lookup = scan_lookup(tables.lookup, clients)
-    if dedupe:
-        types = lookup_attach(latest_types(raw, "clientId"), lookup)
-        return repeated_names(types).withColumn("copies", F.lit(1))
-    # Several rows may share a type id here; all of them go by the first one's description.
-    versions = Window.partitionBy(*_TYPE).orderBy(*version_order("sourceClient"))
-    types = latest_version(raw, "clientId").withColumn(
-        "_named", F.first("DESCRIPTION").over(versions)
-    )
-    matched = lookup_attach_copies(types, lookup, mapping_text(F.col("isRecurring")))
-    return repeated_names(matched, F.col("copies"), "_named")
-
-
 def client_totals(counts: DataFrame, revenue: DataFrame) -> DataFrame:
     """Per client: all visits, visits with a type, revenue; one aggregation over both inputs."""
     no_money, no_count = F.lit(None).cast("decimal(38,6)"), F.lit(None).cast("bigint")
@@ -134,6 +111,13 @@ def client_totals(counts: DataFrame, revenue: DataFrame) -> DataFrame:
     )
 
 
+def _named_versions(types: DataFrame, names: DataFrame) -> DataFrame:
+    """Rows of one type id (from several sources) all go by the first row's ``repeated_name``."""
+    versions = Window.partitionBy(*_TYPE).orderBy(*version_order("sourceClient"))
+    named = name_types_fanout(types, names)
+    return named.withColumn("repeated_name", F.first("repeated_name").over(versions))
+
+
 def evidence_frame(
     tables: CatalogTables,
     clients: Sequence[str] | None = None,
@@ -142,19 +126,25 @@ def evidence_frame(
     ranks: bool = True,
     params: Params = DEFAULTS,
 ) -> DataFrame:
-    """Catalogue rows with every signal, the usage figures and, with ``ranks``, the top-k marks."""
-    types = catalogue(tables, clients, aliases, dedupe)
+    """Catalogue rows with every signal, the usage figures and, with ``ranks``, the top-k marks.
+    ``copies`` is the number of report rows a row stands for (1 with ``dedupe``)."""
+    raw = scoped_service_types(tables.service_types, clients, aliases)
+    types = latest_types(raw, "clientId") if dedupe else latest_version(raw, "clientId")
+    names = name_facts(types, scan_lookup(tables.lookup, clients))
     visits = scan_visits(tables.visits, clients)
     revenue = active_revenue(scan_subscriptions(tables.subscriptions, clients))
     counts = visit_counts(visits)
 
-    rows = types.join(type_history(visits, params), _TYPE, "left")
+    rows = types if dedupe else _named_versions(types, names)
+    rows = rows.join(type_history(visits, params), _TYPE, "left")
     rows = rows.join(revenue.withColumn("active", F.lit(True)), _TYPE, "left")
     if ranks:
-        by_volume = top_k(counts.where("TYPE_ID is not null"), F.desc("n"), params.top_volume)
-        by_revenue = top_k(revenue.where("revenue is not null"), F.desc("revenue"), params.top_revenue)
+        by_volume = top_k(counts, "n", params.top_volume)
+        by_revenue = top_k(revenue, "revenue", params.top_revenue)
         rows = rows.join(by_volume.select(*_TYPE, F.lit(True).alias("top_volume")), _TYPE, "left")
         rows = rows.join(by_revenue.select(*_TYPE, F.lit(True).alias("top_revenue")), _TYPE, "left")
+    if dedupe:
+        rows = name_types(rows, names).withColumn("copies", F.lit(1))
     rows = with_client_total(rows, client_totals(counts, revenue))
     rows = rows.withColumn("active", F.coalesce("active", F.lit(False)))
     rows = recurrence_score(rows, params)
@@ -203,7 +193,7 @@ def to_report(rows: DataFrame) -> DataFrame:
         "API_RESERVICE", "API_REGULAR_SERVICE", "API_FREQUENCY", "API_DEFAULT_LENGTH",
         "API_INITIAL_ID", "API_INITIAL",
         "recent", "active", "repeated_name",
-        *[f"api_{s}" for s in (RESERVICE, RECURRING, ZERO_TIME, HAS_RESERVICE)],
+        *[f"flagged_{s}" for s in (RESERVICE, RECURRING, ZERO_TIME, HAS_RESERVICE)],
         *[f"word_{s}" for s in (RESERVICE, RECURRING, ZERO_TIME, HAS_RESERVICE)],
         "appt_bool", "appt_score", "appt_reason",
         *[f"final_{s}" for s in (RESERVICE, RECURRING, ZERO_TIME, HAS_RESERVICE)],
