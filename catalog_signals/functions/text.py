@@ -20,20 +20,23 @@ def share_pct(part: Column, total: Column) -> Column:
     return F.when(total > 0, round_half_even(pct))
 
 
-def percent_text(ratio: Column) -> Column:
-    """0.125 becomes ``12%``."""
-    return F.concat(F.rint(ratio * 100).cast("bigint").cast("string"), F.lit("%"))
+def percent_text(ratio: str) -> str:
+    """SQL: 0.125 becomes ``12%``, half to even."""
+    return f"(bigint(rint({ratio} * 100)) || '%')"
 
 
-def contains_any(text: Column, keywords: Iterable[str]) -> Column:
-    """Does ``text`` hold any keyword as a substring?
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def contains_any(text: str, keywords: Iterable[str]) -> str:
+    """SQL: does the column ``text`` hold any keyword as a substring?
 
     A keyword that contains another one can never decide the outcome, so it is left out of the
     expression ("quality control" never matters next to "quality").
     """
     words = list(dict.fromkeys(keywords))
     needed = [w for w in words if not any(o != w and o in w for o in words)]
-    found = F.lit(False)
-    for word in needed:
-        found = found | text.contains(word)
-    return found
+    return " OR ".join([f"contains({text}, {quoted(w)})" for w in needed] or ["FALSE"])

@@ -9,15 +9,12 @@ are days, so an account with a third of all visits is ordered as quickly as any
 
 from __future__ import annotations
 
-import operator
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalog_signals.config import DEFAULTS, Params
 from catalog_signals.functions.casts import elapsed_days
-from catalog_signals.functions.text import percent_text
+from catalog_signals.functions.text import percent_text, quoted
 
 _ACCOUNT = ["clientId", "TYPE_ID", "accountId"]
 
@@ -31,19 +28,23 @@ def visits_per_day(visits: DataFrame) -> DataFrame:
     )
 
 
-def in_any_band(days: Column, params: Params) -> Column:
-    hits = [(days >= low) & (days < high) for low, high in params.cadence_bands.values()]
-    return F.coalesce(reduce(operator.or_, hits), F.lit(False))
+def _in_band(days: str, low: float, high: float) -> str:
+    return f"({days} >= {low} AND {days} < {high})"
 
 
-def band_name(days: Column, params: Params = DEFAULTS) -> Column:
-    """Name of the band the median gap falls into, NULL outside all of them."""
-    return F.coalesce(
-        *[
-            F.when((days >= low) & (days < high), F.lit(name))
-            for name, (low, high) in params.cadence_bands.items()
-        ]
-    )
+def in_any_band(days: str, params: Params = DEFAULTS) -> str:
+    """SQL: is the median gap ``days`` within a band? False without a gap."""
+    hits = [_in_band(days, *band) for band in params.cadence_bands.values()]
+    return f"coalesce({' OR '.join(hits or ['FALSE'])}, FALSE)"
+
+
+def band_name(days: str, params: Params = DEFAULTS) -> str:
+    """SQL: name of the band the median gap ``days`` falls into, NULL outside all of them."""
+    cases = [
+        f"WHEN {_in_band(days, *band)} THEN {quoted(name)}"
+        for name, band in params.cadence_bands.items()
+    ]
+    return f"CASE {' '.join(cases)} END" if cases else "CAST(NULL AS STRING)"
 
 
 def account_history(daily: DataFrame, params: Params = DEFAULTS) -> DataFrame:
@@ -75,9 +76,9 @@ def account_history(daily: DataFrame, params: Params = DEFAULTS) -> DataFrame:
         F.coalesce(F.bool_or(F.col("year_step") == 1), F.lit(False)).alias("consecutive"),
         median.alias("median_days"),
     )
-    banded = stats.withColumn("in_band", in_any_band(F.col("median_days"), params))
-    steady = (F.col("visits") >= params.min_visits) & F.col("in_band")
-    return banded.withColumn("strong", F.col("consecutive") | steady)
+    in_band = in_any_band("median_days", params)
+    steady = f"visits >= {params.min_visits} AND {in_band}"
+    return stats.selectExpr("*", f"{in_band} AS in_band", f"consecutive OR ({steady}) AS strong")
 
 
 def account_cadence(visits: DataFrame, params: Params = DEFAULTS) -> DataFrame:
@@ -110,39 +111,31 @@ def recurrence_score(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     Expects the columns of ``type_history`` (NULL where a type has no visits), ``client_visits``
     (NULL where the client has none) and the boolean ``active``.
     """
-    missing = (
-        F.when(F.col("client_visits").isNull(), "No appointments for client")
-        .when(F.col("type_visits").isNull(), "No appointments for this service type")
-        .when(F.col("dated_visits") == 0, "No valid appointment dates")
-    )
-    strong = F.coalesce("strong_accounts", F.lit(0))
-    total = F.coalesce("total_accounts", F.lit(0))
-    ratio = F.when(total > 0, strong / total).otherwise(0.0)
     scored = df.withColumns({
-        "strong_accounts": strong,
-        "total_accounts": total,
-        "strong_ratio": ratio,
-        "_missing": missing,
+        "strong_accounts": F.expr("coalesce(strong_accounts, 0L)"),
+        "total_accounts": F.expr("coalesce(total_accounts, 0L)"),
+        "strong_ratio": F.expr(
+            "CASE WHEN total_accounts > 0 THEN strong_accounts / total_accounts ELSE 0D END"
+        ),
+        "_missing": F.expr(
+            """CASE WHEN client_visits IS NULL THEN 'No appointments for client'
+                    WHEN type_visits IS NULL THEN 'No appointments for this service type'
+                    WHEN dated_visits = 0 THEN 'No valid appointment dates' END"""
+        ),
     })
-    enough = F.col("_missing").isNull() & (F.col("strong_ratio") >= params.strong_ratio)
-    some = F.col("_missing").isNull() & (F.col("strong_accounts") > 0)
-    verdict = (
-        F.when(enough & F.col("active"), "meets strong ratio threshold with active subscription")
-        .when(enough, "meets strong ratio threshold")
-        .when(some, "some accounts show recurring, below threshold")
-        .otherwise("no recurring evidence")
-    )
-    counted = F.concat(
-        F.col("strong_accounts").cast("string"), F.lit("/"),
-        F.col("total_accounts").cast("string"), F.lit(" accounts strong ("),
-        percent_text(F.col("strong_ratio")), F.lit(")"),
+    enough = f"_missing IS NULL AND strong_ratio >= {float(params.strong_ratio)}D"
+    some = "_missing IS NULL AND strong_accounts > 0"
+    return scored.selectExpr(
+        *[f"`{c}`" for c in scored.columns if c != "_missing"],
+        f"CASE WHEN {enough} THEN TRUE END AS appt_bool",
+        f"CASE WHEN {enough} AND active THEN 1D WHEN {enough} THEN 0.7D WHEN {some} THEN 0.5D "
+        "ELSE 0D END AS appt_score",
+        f"""coalesce(_missing, concat_ws('; ',
+            strong_accounts || '/' || total_accounts || ' accounts strong ('
+                || {percent_text('strong_ratio')} || ')',
+            CASE WHEN active THEN 'active subscription present' END,
+            CASE WHEN {enough} AND active THEN 'meets strong ratio threshold with active subscription'
+                 WHEN {enough} THEN 'meets strong ratio threshold'
+                 WHEN {some} THEN 'some accounts show recurring, below threshold'
+                 ELSE 'no recurring evidence' END)) AS appt_reason""",
     )
-    present = F.when(F.col("active"), "active subscription present")
-    return scored.withColumns({
-        "appt_bool": F.when(enough, True),
-        "appt_score": F.when(enough & F.col("active"), 1.0)
-        .when(enough, 0.7)
-        .when(some, 0.5)
-        .otherwise(0.0),
-        "appt_reason": F.coalesce("_missing", F.concat_ws("; ", counted, present, verdict)),
-    }).drop("_missing")

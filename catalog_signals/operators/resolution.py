@@ -5,10 +5,9 @@ All functions expect the evidence columns that ``plans.report.evidence_frame`` p
 
 from __future__ import annotations
 
-import operator
-from functools import reduce
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog_signals.config import (
@@ -23,128 +22,132 @@ from catalog_signals.config import (
 )
 from catalog_signals.functions import evidence as ev
 from catalog_signals.functions.evidence import Evidence
+from catalog_signals.functions.text import quoted
 
 METRICS = (RECURRING, RESERVICE, ZERO_TIME)
 
 
-def _flags_reason() -> Column:
-    parts = [("freq", "FREQUENCY"), ("reservice", "RESERVICE"), ("initial", "INITIAL")]
-    listed = [F.concat(F.lit(f"{n}="), F.col(f"API_{f}").cast("string")) for n, f in parts]
-    return F.concat(F.lit("API derived from flags: "), F.concat_ws(", ", *listed))
+# The reasons that flag and keyword evidence give.
+_API_REASONS = {
+    RECURRING: "'API derived from flags: freq=' || API_FREQUENCY || ', reservice=' || API_RESERVICE"
+    " || ', initial=' || API_INITIAL",
+    RESERVICE: "'API RESERVICE rule'",
+    ZERO_TIME: "'API DEFAULT_LENGTH rule'",
+}
+_WORD_REASON = "'Word keywords'"
 
 
 def evidence_of(metric: str, params: Params = DEFAULTS) -> list[Evidence]:
     """The metric's sources, strongest first."""
-    api_reasons = {
-        RECURRING: _flags_reason(),
-        RESERVICE: F.lit("API RESERVICE rule"),
-        ZERO_TIME: F.lit("API DEFAULT_LENGTH rule"),
-    }
     available = {
-        "API": (F.col(f"flagged_{metric}"), api_reasons[metric]),
-        "Word": (F.col(f"word_{metric}"), F.lit("Word keywords")),
+        "API": (f"flagged_{metric}", _API_REASONS[metric]),
+        "Word": (f"word_{metric}", _WORD_REASON),
     }
     if metric == RECURRING:
-        available["SalesMapping"] = (F.col("mapping_value"), F.col("mapping_reason"))
-        available["Appointments"] = (F.col("appt_bool"), F.col("appt_reason"))
+        available["SalesMapping"] = ("mapping_value", "mapping_reason")
+        available["Appointments"] = ("appt_bool", "appt_reason")
     return [Evidence(s, *available[s]) for s in params.priorities[metric] if s in available]
 
 
-def per_metric(df: DataFrame, keys: list[str], **columns) -> DataFrame:
-    """One row per input row and metric; each keyword is a function of (metric, evidence)."""
-    params = columns.pop("params", DEFAULTS)
-    rows = [
-        F.struct(
-            F.lit(METRIC_NAMES[m]).alias("metric"),
-            *[build(METRIC_NAMES[m], evidence_of(m, params)).alias(n) for n, build in columns.items()],
-        )
-        for m in METRICS
-    ]
-    return df.select(*keys, F.inline(F.array(*rows)))
+def per_metric(
+    df: DataFrame,
+    keys: list[str],
+    columns: dict[str, Callable[[str, list[Evidence]], str]],
+    params: Params = DEFAULTS,
+) -> DataFrame:
+    """One row per input row and metric, with the given columns: functions from the metric's name and
+    evidence to SQL."""
+    rows = []
+    for metric in METRICS:
+        name, sources = METRIC_NAMES[metric], evidence_of(metric, params)
+        values = [f"{build(name, sources)} AS {column}" for column, build in columns.items()]
+        rows.append(f"struct({quoted(name)} AS metric, {', '.join(values)})")
+    return df.selectExpr(*keys, f"inline(array({', '.join(rows)}))")
 
 
 def priority_resolve(df: DataFrame, keys: list[str], params: Params = DEFAULTS) -> DataFrame:
     """Per row and metric the value of the strongest source that has one, its name and reason."""
-    return per_metric(
-        df,
-        keys,
-        value=lambda _, e: ev.chosen_value(e),
-        source=lambda _, e: ev.chosen_source(e),
-        reason=lambda _, e: ev.chosen_reason(e),
-        params=params,
-    )
+    columns = {
+        "value": lambda _, sources: ev.chosen_value(sources),
+        "source": lambda _, sources: ev.chosen_source(sources),
+        "reason": lambda _, sources: ev.chosen_reason(sources),
+    }
+    return per_metric(df, keys, columns, params)
 
 
 def dissent_reasons(df: DataFrame, keys: list[str], params: Params = DEFAULTS) -> DataFrame:
     """Per row and metric with any: the weaker sources that contradict the chosen value."""
-    found = per_metric(df, keys, dissent=lambda _, e: ev.dissent(e), params=params)
-    return found.where("dissent is not null")
+    columns = {"dissent": lambda _, sources: ev.dissent(sources)}
+    return per_metric(df, keys, columns, params).where("dissent IS NOT NULL")
 
 
 def top_two_conflicts(df: DataFrame, keys: list[str], params: Params = DEFAULTS) -> DataFrame:
-    found = per_metric(df, keys, reason=ev.top_two_conflict, params=params)
-    return found.where("reason is not null")
+    found = per_metric(df, keys, {"reason": ev.top_two_conflict}, params)
+    return found.where("reason IS NOT NULL")
 
 
 def top_vs_rest_conflicts(df: DataFrame, keys: list[str], params: Params = DEFAULTS) -> DataFrame:
-    found = per_metric(df, keys, reason=ev.top_vs_rest_conflict, params=params)
-    return found.where("reason is not null")
+    found = per_metric(df, keys, {"reason": ev.top_vs_rest_conflict}, params)
+    return found.where("reason IS NOT NULL")
 
 
-def conflict_count(params: Params = DEFAULTS) -> Column:
+def conflict_count(params: Params = DEFAULTS) -> str:
     """Number of conflicts over all metrics. Does not build the texts, so that a filter on it stays
     small when Spark moves it below them."""
-    found = [
-        differ(evidence_of(metric, params)).cast("int")
+    return " + ".join(
+        f"int({differ(evidence_of(metric, params))})"
         for metric in METRICS
         for differ in (ev.top_two_differ, ev.top_vs_rest_differ)
-    ]
-    return reduce(operator.add, found)
+    )
 
 
-def conflict_reason(metric: str, params: Params = DEFAULTS) -> Column:
+def conflict_reason(metric: str, params: Params = DEFAULTS) -> str:
     """Both conflict texts of a metric, joined by ``"; "``; empty if there is no conflict."""
     sources, name = evidence_of(metric, params), METRIC_NAMES[metric]
     texts = [build(name, sources) for build in (ev.top_two_conflict, ev.top_vs_rest_conflict)]
-    return F.concat_ws("; ", *texts)
+    return f"concat_ws('; ', {', '.join(texts)})"
 
 
 def conflict_reasons(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Adds ``conflict_<metric>`` and ``conflicts``, how many there are in all."""
-    texts = {f"conflict_{m}": conflict_reason(m, params) for m in METRICS}
-    return df.withColumns({**texts, "conflicts": conflict_count(params)})
+    texts = [f"{conflict_reason(m, params)} AS conflict_{m}" for m in METRICS]
+    return df.selectExpr("*", *texts, f"{conflict_count(params)} AS conflicts")
 
 
 def final_signals(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Adds the resolved ``final_<signal>`` before any constraint; has_reservice is left to the
     constraints and only falls back to its flag signal where recurring is unknown."""
-    resolved = {f"final_{m}": ev.chosen_value(evidence_of(m, params)) for m in METRICS}
-    fallback = F.when(F.col(f"final_{RECURRING}").isNull(), F.col(f"flagged_{HAS_RESERVICE}"))
-    return df.withColumns(resolved).withColumn(f"final_{HAS_RESERVICE}", fallback)
+    resolved = {m: ev.chosen_value(evidence_of(m, params)) for m in METRICS}
+    resolved[HAS_RESERVICE] = (
+        f"CASE WHEN {resolved[RECURRING]} IS NULL THEN flagged_{HAS_RESERVICE} END"
+    )
+    return df.selectExpr("*", *[f"{sql} AS final_{signal}" for signal, sql in resolved.items()])
 
 
-def _breaks(rule: ConstraintRule) -> Column:
+def _broken(rule: ConstraintRule) -> str:
     """Does the row need this correction? A missing target breaks only a rule that wants True."""
-    given = F.col(f"final_{rule.given}").eqNullSafe(F.lit(True))
-    target = F.col(f"final_{rule.target}").eqNullSafe(F.lit(True))
-    return given & (~target if rule.value else target)
+    target = f"final_{rule.target} <=> TRUE"
+    return f"(final_{rule.given} <=> TRUE AND {f'NOT ({target})' if rule.value else target})"
 
 
 def constraint_correction(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Applies the constraints to ``final_<signal>`` one after the other; adds ``corrections`` and
     ``violations`` (texts joined by ``"; "``) and ``violation_count``. A has_reservice still unknown
     at the end is False."""
-    broken = []
-    for i, rule in enumerate(params.constraints):
-        target = f"final_{rule.target}"
-        corrected = F.when(F.col(f"_broken_{i}"), F.lit(rule.value)).otherwise(F.col(target))
-        df = df.withColumn(f"_broken_{i}", _breaks(rule)).withColumn(target, corrected)
-        broken.append((F.col(f"_broken_{i}"), rule))
-    violated = [(b, r) for b, r in broken if r.violation]
-    has_reservice = f"final_{HAS_RESERVICE}"
+    rules = params.constraints
+    for i, rule in enumerate(rules):
+        broken, target = _broken(rule), f"final_{rule.target}"
+        df = df.withColumns({
+            f"_broken_{i}": F.expr(broken),
+            target: F.expr(f"CASE WHEN {broken} THEN {rule.value} ELSE {target} END"),
+        })
+    corrections = [f"CASE WHEN _broken_{i} THEN {quoted(r.correction)} END" for i, r in enumerate(rules)]
+    violations = {i: r.violation for i, r in enumerate(rules) if r.violation}
+    texts = [f"CASE WHEN _broken_{i} THEN {quoted(v)} END" for i, v in violations.items()]
+    count = " + ".join(["0", *[f"int(_broken_{i})" for i in violations]])
     return df.withColumns({
-        has_reservice: F.coalesce(has_reservice, F.lit(False)),
-        "corrections": F.concat_ws("; ", *[F.when(b, r.correction) for b, r in broken]),
-        "violations": F.concat_ws("; ", *[F.when(b, r.violation) for b, r in violated]),
-        "violation_count": sum((b.cast("int") for b, _ in violated), F.lit(0)),
-    }).drop(*[f"_broken_{i}" for i in range(len(broken))])
+        f"final_{HAS_RESERVICE}": F.expr(f"coalesce(final_{HAS_RESERVICE}, FALSE)"),
+        "corrections": F.expr(f"concat_ws({', '.join([quoted('; '), *corrections])})"),
+        "violations": F.expr(f"concat_ws({', '.join([quoted('; '), *texts])})"),
+        "violation_count": F.expr(count),
+    }).drop(*[f"_broken_{i}" for i in range(len(rules))])

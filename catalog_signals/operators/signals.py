@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import operator
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,25 +11,18 @@ from catalog_signals.config import DEFAULTS, FLAGS, SIGNALS, FlagRule, Params
 from catalog_signals.functions.casts import clean_text
 from catalog_signals.functions.text import contains_any
 
-_COMPARE = {"=": operator.eq, "!=": operator.ne, ">": operator.gt, "<": operator.lt}
 
-
-def _verdict(rule: FlagRule) -> Column:
-    return F.when(_COMPARE[rule.op](F.col(f"API_{rule.flag}"), rule.operand), F.lit(rule.value))
+def _verdict(rules: Sequence[FlagRule]) -> str:
+    """The last matching rule's value, False if none matches."""
+    whens = [f"WHEN API_{r.flag} {r.op} {r.operand} THEN {r.value}" for r in reversed(rules)]
+    return f"CASE {' '.join(whens)} ELSE FALSE END" if whens else "FALSE"
 
 
 def api_signals(types: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Missing flags become 0; adds ``flagged_<signal>``, the last matching rule's value or False."""
-    zeroed = types.withColumns(
-        {f"API_{flag}": F.coalesce(f"API_{flag}", F.lit(0)) for flag in FLAGS}
-    )
-    verdicts = {
-        f"flagged_{signal}": F.coalesce(
-            *[_verdict(r) for r in reversed(params.flag_rules) if r.signal == signal], F.lit(False)
-        )
-        for signal in SIGNALS
-    }
-    return zeroed.withColumns(verdicts)
+    zeroed = types.withColumns({f"API_{f}": F.expr(f"coalesce(API_{f}, 0L)") for f in FLAGS})
+    rules = {s: [r for r in params.flag_rules if r.signal == s] for s in SIGNALS}
+    return zeroed.selectExpr("*", *[f"{_verdict(rules[s])} AS flagged_{s}" for s in SIGNALS])
 
 
 def keyword_signals(
@@ -39,12 +32,12 @@ def keyword_signals(
 
     Keywords match anywhere, inside words too ("ant" in "plant").
     """
-    lowered = df.withColumn("_text", F.lower(F.coalesce(text, F.lit(""))))
-    hits = {
-        f"word_{signal}": F.when(contains_any(F.col("_text"), params.keywords[signal]), F.lit(True))
-        for signal in SIGNALS
-    }
-    return lowered.withColumns(hits).drop("_text")
+    lowered = df.selectExpr("*", f"lower(coalesce(`{text}`, '')) AS _text")
+    hits = [
+        f"CASE WHEN {contains_any('_text', params.keywords[s])} THEN TRUE END AS word_{s}"
+        for s in SIGNALS
+    ]
+    return lowered.selectExpr(*[f"`{c}`" for c in df.columns], *hits)
 
 
 def mapping_text(col: Column) -> Column:

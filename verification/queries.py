@@ -21,7 +21,7 @@ from catalog_signals.plans.report import analysed, build_report, evidence_frame
 from catalog_signals.plans.share_report import share_report
 from catalog_signals.sources import scans
 from catalog_signals.sources.tables import CatalogTables
-from verification.standin import ALIASES, AS_OF, PARAMS, stand_in_tables
+from verification.standin import ALIASES, AS_OF, PARAMS, StandInTables
 
 KEYS = ["clientId", "TYPE_ID"]
 DRIVER_TABLES = (
@@ -33,7 +33,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _on_tables(build: Callable[[CatalogTables], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(stand_in_tables(spark, sf_dir))
+    return lambda spark, sf_dir: build(StandInTables(spark, sf_dir))
 
 
 def _types(t: CatalogTables) -> DataFrame:
@@ -129,7 +129,7 @@ def _expired(t: CatalogTables) -> DataFrame:
 def _cadence_band(t: CatalogTables) -> DataFrame:
     accounts = cadence.account_cadence(_visits(t), PARAMS)
     return accounts.select(
-        *KEYS, "accountId", "median_days", cadence.band_name(F.col("median_days"), PARAMS).alias("band")
+        *KEYS, "accountId", "median_days", F.expr(cadence.band_name("median_days", PARAMS)).alias("band")
     )
 
 

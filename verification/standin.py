@@ -7,9 +7,11 @@ malformed numbers and accounting text deterministically.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 
-from catalog_signals import CatalogTables, Params
+from catalog_signals import Params
 from catalog_signals.config import HAS_RESERVICE, RECURRING, RESERVICE, ZERO_TIME
 
 AS_OF = "2003-10-15 12:00:00"
@@ -91,11 +93,14 @@ def stand_in(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     return spark.sql(f"WITH {', '.join(ctes)} {VIEWS[view]}")
 
 
-def stand_in_tables(spark: SparkSession, sf_dir: str) -> CatalogTables:
-    return CatalogTables(
-        service_types=stand_in(spark, sf_dir, "service_type_raw"),
-        merged_service_types=stand_in(spark, sf_dir, "merged_service_type"),
-        visits=stand_in(spark, sf_dir, "appointments"),
-        subscriptions=stand_in(spark, sf_dir, "subscriptions"),
-        lookup=stand_in(spark, sf_dir, "recurring_lookup"),
-    )
+class StandInTables:
+    """The inputs of ``CatalogTables``, each opened when it is first used."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._open = lambda view: stand_in(spark, sf_dir, view)
+
+    service_types = cached_property(lambda self: self._open("service_type_raw"))
+    merged_service_types = cached_property(lambda self: self._open("merged_service_type"))
+    visits = cached_property(lambda self: self._open("appointments"))
+    subscriptions = cached_property(lambda self: self._open("subscriptions"))
+    lookup = cached_property(lambda self: self._open("recurring_lookup"))
