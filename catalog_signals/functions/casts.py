@@ -18,7 +18,6 @@ WHITESPACE = (
     "           "
     "    　"
 )
-INTEGER = r"^\s*[+-]?\d+\s*$"
 DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 #: Money is summed in this type, so that a total does not depend on the order of its rows.
@@ -31,10 +30,11 @@ def clean_text(col: Column) -> Column:
 
 
 def safe_bigint(df: DataFrame, name: str) -> Column:
-    """Whole number, or NULL for anything else (``'1.5'``, ``'5d'``, ``'0x1F'``, overflow)."""
+    """Whole number, or NULL for anything else (``'1.5'``, ``'5d'``, ``'0x1F'``, overflow).
+
+    For text ``try_cast`` itself takes nothing but a sign, digits and surrounding white space.
+    """
     col, dtype = F.col(name), df.schema[name].dataType
-    if isinstance(dtype, T.StringType):
-        return F.when(col.rlike(INTEGER), col.try_cast("bigint"))
     if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
         return F.when(col == F.floor(col), col.try_cast("bigint"))
     return col.try_cast("bigint")

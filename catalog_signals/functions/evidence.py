@@ -63,12 +63,14 @@ def _differing_pairs(evidence: Sequence[Evidence]) -> list[tuple[Evidence, Evide
 
 def top_two_differ(evidence: Sequence[Evidence]) -> str:
     """Do the two strongest available sources differ? False with fewer than two."""
-    pairs = " OR ".join(f"({differ})" for _, _, differ in _differing_pairs(evidence))
-    return f"coalesce({pairs}, FALSE)"
+    pairs = [f"({differ})" for _, _, differ in _differing_pairs(evidence)]
+    return f"coalesce({' OR '.join(pairs)}, FALSE)" if pairs else "FALSE"
 
 
 def top_two_conflict(metric: str, evidence: Sequence[Evidence]) -> str:
     """``metric: A=x vs B=y`` when the two strongest available sources differ, else NULL."""
+    if len(evidence) < 2:
+        return "CAST(NULL AS STRING)"
     return _case([
         (f"{differ} AND {a.value} = {top}", quoted(f"{metric}: {a.source}={top} vs {b.source}={not top}"))
         for a, b, differ in _differing_pairs(evidence)
@@ -90,6 +92,8 @@ def top_vs_rest_differ(evidence: Sequence[Evidence]) -> str:
 def top_vs_rest_conflict(metric: str, evidence: Sequence[Evidence]) -> str:
     """``metric: A=x vs others=['B=y', ...]`` when the strongest available source differs from every
     other available one (at least one), else NULL."""
+    if len(evidence) < 2:
+        return "CAST(NULL AS STRING)"
 
     def text(top: bool) -> str:
         leader = _case([(f"{e.value} IS NOT NULL", quoted(f"{e.source}={top}")) for e in evidence])
