@@ -1,0 +1,212 @@
+"""The whole report on hand-made inputs."""
+
+import datetime as dt
+
+import pytest
+from frames import AS_OF, rows, sub_row, tables, type_row, visit_row
+from pyspark.sql import functions as F
+
+from catalog_signals import Params, build_report
+from catalog_signals.operators.activity import active_subscription, expired_flag, recent_activity
+from catalog_signals.plans import outputs
+from catalog_signals.plans.report import REPORT_SCHEMA, analysed
+from catalog_signals.plans.share_report import share_report
+from catalog_signals.sources.scans import scan_subscriptions, scan_visits
+
+
+def by_type(report):
+    return {(r["Client"], r["TYPE_ID"]): r for r in report.collect()}
+
+
+def example(spark):
+    return tables(
+        spark,
+        types=[
+            type_row(type_id="1", description="Monthly Pest Control", FREQUENCY="30"),
+            type_row(type_id="2", description="Reservice", RESERVICE="1"),
+            type_row(type_id="3", description=None),
+            type_row(type_id="4", description="Setup fee", FREQUENCY="30"),
+            type_row(type_id="5", description="Setup fee", INITIAL="1"),
+            type_row(client="B", type_id="1", description="Lawn"),
+        ],
+        visits=[visit_row(day=30 * i, account=a) for i in range(12) for a in (1, 2)]
+        + [visit_row(day=30 * i, account=9, type_id="2") for i in range(2)]
+        + [visit_row(day=None, type_id="4"), visit_row(day=-100, type_id="3"), visit_row(type_id="zz")],
+        subs=[sub_row("$300", "1"), sub_row("$100", "2"), sub_row("n/a", "4")],
+        lookup=[("A", "Reservice", " true "), ("A", "Setup fee", "FALSE"), ("B", "Reservice", "TRUE")],
+    )
+
+
+def test_example_rows(spark):
+    report = by_type(build_report(example(spark), AS_OF))
+    assert len(report) == 6
+    one = report["A", 1]
+    assert one["Appt Recurring - Reason"] == (
+        "2/2 accounts strong (100%); active subscription present; "
+        "meets strong ratio threshold with active subscription"
+    )
+    assert (one["Final Recurring"], one["Final Has Reservice"], one["Word Signal Recurring"]) == (True, True, True)
+    assert (one["hasVisitsInPast2Years"], one["hasActiveSubscription"], one["Expired Code"]) == (True, True, False)
+    assert (one["Appointment Share Pct"], one["Revenue Share Pct"]) == (round(24 / 28 * 100, 2), 75.0)
+    assert one["AskClient High Priority - Reason"] == "high priority service"
+    two = report["A", 2]
+    assert two["AskClient Recurring - Reason"] == (
+        "isRecurring: SalesMapping=True vs API=False; isRecurring: SalesMapping=True vs others=['API=False']"
+    )
+    assert (two["Final Recurring"], two["Final Reservice"], two["API Reservice"]) == (True, False, True)
+    three = report["A", 3]
+    assert (three["DESCRIPTION"], three["Repeated Name"], three["hasVisitsInPast2Years"]) == ("", False, True)
+    assert report["A", 4]["Appt Recurring - Reason"] == "No valid appointment dates"
+    assert (report["A", 4]["Revenue Share Pct"], report["A", 4]["hasActiveSubscription"]) == (None, True)
+    assert report["A", 4]["AskClient High Revenue - Reason"] == ""
+    assert report["A", 4]["Repeated Name"] and report["A", 5]["Repeated Name"]
+    assert report["A", 5]["Appt Recurring - Reason"] == "No appointments for this service type"
+    assert report["A", 5]["AskClient High Priority - Reason"] == ""
+    b = report["B", 1]
+    assert b["Appt Recurring - Reason"] == "No appointments for client"
+    assert (b["Appointment Share Pct"], b["AskClient"], b["Expired Code"]) == (None, False, True)
+
+
+def test_report_has_the_declared_columns(spark):
+    assert [(f.name, f.dataType) for f in build_report(example(spark), AS_OF).schema] == [
+        (f.name, f.dataType) for f in REPORT_SCHEMA
+    ]
+    assert len(REPORT_SCHEMA) == 37
+
+
+def test_clients_do_not_influence_each_other(spark):
+    inputs = example(spark)
+    every = rows(build_report(inputs, AS_OF).where("Client = 'A'"), "*")
+    assert rows(build_report(inputs, AS_OF, clients=["A"]), "*") == every
+    assert len(every) == 5
+
+
+def test_logical_client_takes_only_its_catalogue_from_the_sources(spark):
+    inputs = tables(
+        spark,
+        types=[
+            type_row("O1", "1", "first", dt.date(2020, 1, 1)), type_row("O2", "1", "second", dt.date(2021, 1, 1)),
+            type_row("O2", "2", "second", dt.date(2019, 1, 1)), type_row("T", "9", "own row"),
+        ],
+        visits=[visit_row(client="T", type_id="1"), visit_row(client="O1", type_id="2")],
+        lookup=[("T", "second", "TRUE"), ("O2", "second", "FALSE")],
+    )
+    report = by_type(build_report(inputs, AS_OF, clients=["T"], aliases={"T": ["O1", "O2"]}))
+    assert {k: (r["DESCRIPTION"], r["Final Recurring"], r["hasVisitsInPast2Years"]) for k, r in report.items()} == {
+        ("T", 1): ("second", True, True), ("T", 2): ("second", True, False),
+    }
+    assert all(r["Repeated Name"] for r in report.values())
+
+
+def test_unfiltered_report_repeats_types_for_every_match(spark):
+    inputs = tables(
+        spark,
+        types=[type_row(type_id="1", description="x"), type_row(type_id="2", description="y")],
+        visits=[visit_row(type_id="1")], subs=[sub_row(type_id="1")],
+        lookup=[("A", "x", "TRUE"), ("A", "x", "TRUE"), ("A", "x", "no"), ("A", "x", "FALSE")],
+    )
+    report = build_report(inputs, AS_OF, dedupe=False, ranks=False)
+    assert rows(report, "TYPE_ID", "`Final Recurring`", "`Repeated Name`") == [
+        (1, False, True), (1, False, True), (1, True, True), (1, True, True), (2, False, False),
+    ]
+    assert {(r["Appointment Share Pct"], r["AskClient High Priority - Reason"]) for r in report.collect()} == {(None, "")}
+    assert build_report(inputs, AS_OF).count() == 2
+    metrics = outputs.review_metrics(analysed(inputs, AS_OF, dedupe=False, ranks=False)).first()
+    assert (metrics.report_rows, metrics.high_priority) == (5, 0)
+
+
+def test_rows_of_one_type_share_the_first_rows_repeated_flag(spark):
+    inputs = tables(
+        spark,
+        types=[
+            type_row("O1", "1", "x", dt.date(2021, 1, 1)), type_row("O2", "1", "once", dt.date(2020, 1, 1)),
+            type_row("O1", "2", "x", dt.date(2020, 1, 1)), type_row("O2", "3", "alone"),
+        ],
+    )
+    report = build_report(inputs, AS_OF, ["T"], {"T": ["O1", "O2"]}, dedupe=False, ranks=False)
+    assert rows(report, "TYPE_ID", "DESCRIPTION", "`Repeated Name`") == [
+        (1, "once", True), (1, "x", True), (2, "x", True), (3, "alone", False),
+    ]
+
+
+def test_empty_inputs_give_empty_typed_frames(spark):
+    inputs = tables(spark)
+    report = build_report(inputs, AS_OF)
+    assert report.schema.fieldNames() == REPORT_SCHEMA.fieldNames()
+    for df in (report, outputs.activity_filter(report), outputs.review_queue(report),
+               outputs.settled_summary(report), share_report(inputs)):
+        assert df.count() == 0
+
+
+def test_a_catalogue_without_any_facts(spark):
+    row = build_report(tables(spark, types=[type_row()]), AS_OF).first()
+    assert row["Appt Recurring - Reason"] == "No appointments for client"
+    assert (row["AskClient"], row["Expired Code"], row["Appointment Share Pct"]) == (False, True, None)
+
+
+def test_activity_filter_passes_foreign_frames_through(spark):
+    assert outputs.activity_filter(spark.range(3)).count() == 3
+
+
+def test_outputs(spark):
+    report = build_report(example(spark), AS_OF)
+    used = outputs.activity_filter(report)
+    assert rows(used, "Client", "TYPE_ID") == [("A", 1), ("A", 2), ("A", 3), ("A", 4)]
+    queue = outputs.review_queue(used)
+    assert queue.columns == ["TYPE_ID", "DESCRIPTION", "Recurrence", "hasReservice", "isRervice",
+                             "zeroVisitTime", "Appointment Share Pct", "clientId"]
+    assert rows(queue, "TYPE_ID") == [(1,), (2,)]
+    wide = outputs.review_queue_unfiltered(report)
+    assert wide.columns == [c for c in queue.columns if c != "Appointment Share Pct"]
+    assert rows(wide, "TYPE_ID") == [(1,), (2,), (3,), (4,), (5,)]
+    asked, settled = outputs.review_split(report)
+    assert asked.count() + settled.count() == report.count()
+    assert len(outputs.settled_summary(report).columns) == 14
+    assert rows(outputs.settled_summary(report), "Client", "TYPE_ID") == [("B", 1)]
+
+
+@pytest.mark.parametrize(("day", "recent"), [(517.49, False), (517.5, True), (517.51, True), (5000, True), (None, False)])
+def test_recency_is_exact_to_the_time_of_day(spark, day, recent):
+    """The cutoff is 2021-06-01 12:00, 517.5 days after the fixture's first day; future visits count."""
+    inputs = tables(spark, types=[type_row()], visits=[visit_row(day=day)])
+    as_of = "2023-06-01 12:00:00"
+    types = spark.createDataFrame([("A", 1)], "clientId string, TYPE_ID bigint")
+    got = recent_activity(types, scan_visits(inputs.visits), as_of)
+    assert got.first().recent is recent
+    assert build_report(inputs, as_of).first()["hasVisitsInPast2Years"] is recent
+
+
+def test_expiry(spark):
+    types = spark.createDataFrame([("A", t) for t in (1, 2, 3, 4)], "clientId string, TYPE_ID bigint")
+    inputs = tables(
+        spark, visits=[visit_row(type_id=t) for t in "12"],
+        subs=[sub_row(type_id="1"), sub_row(type_id="3"), sub_row(type_id="4", active=None)],
+    )
+    df = active_subscription(
+        recent_activity(types, scan_visits(inputs.visits), AS_OF), scan_subscriptions(inputs.subscriptions)
+    )
+    assert rows(expired_flag(df), "TYPE_ID", "recent", "active", "expired") == [
+        (1, True, True, False), (2, True, False, True), (3, False, True, True), (4, False, False, True),
+    ]
+
+
+def test_share_report(spark):
+    inputs = tables(
+        spark,
+        types=[type_row(type_id="1", description="Pest"), type_row(type_id="2", description=None)],
+        visits=[visit_row(type_id=t) for t in ["1"] * 5 + ["2"] * 2 + ["3"] + ["bad", None]],
+    )
+    got = [tuple(r) for r in share_report(inputs).collect()]
+    assert got == [
+        ("A", 1, "Pest", 5, 50.0), ("A", None, "<unknown>", 2, 20.0), ("A", 2, "2", 2, 20.0), ("A", 3, "3", 1, 10.0),
+    ]
+
+
+def test_parameters_reach_the_report(spark):
+    params = Params(top_volume=1, top_revenue=0, strong_ratio=1.1, keywords={
+        "recurring": (), "reservice": (), "zero_time": (), "has_reservice": ("lawn",)})
+    report = build_report(example(spark), AS_OF, params=params)
+    assert rows(report.where(F.col("`AskClient High Priority - Reason`") != ""), "TYPE_ID") == [(1,)]
+    assert report.where(F.col("`AskClient High Revenue - Reason`") != "").count() == 0
+    assert report.where("`Appt Recurring`").count() == 0
+    assert rows(report.where("`Word Signal Has Reservice`"), "Client") == [("B",)]
