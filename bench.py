@@ -39,6 +39,7 @@ def main() -> None:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.cache.maxEntries", "3000")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )

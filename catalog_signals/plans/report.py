@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from catalog_signals.config import DEFAULTS, HAS_RESERVICE, RECURRING, RESERVICE, ZERO_TIME, Params
 from catalog_signals.functions.casts import years_before
 from catalog_signals.functions.text import share_pct
-from catalog_signals.operators.activity import expired_flag
+from catalog_signals.operators.activity import active_subscription, expired_flag
 from catalog_signals.operators.cadence import recurrence_score, type_history
 from catalog_signals.operators.lookup import (
     expand_copies,
@@ -94,23 +94,32 @@ for _name, _type in {
     REPORT_SCHEMA.add(_name, _type)
 
 
-def client_totals(counts: DataFrame, revenue: DataFrame) -> DataFrame:
-    """Per client: all visits, visits with a type, revenue; one aggregation over both inputs."""
-    no_money, no_count = F.lit(None).cast("decimal(38,6)"), F.lit(None).cast("bigint")
-    visits = counts.select(
-        "clientId", F.col("n").alias("visits"), F.when(F.col("TYPE_ID").isNotNull(), F.col("n")).alias("typed"),
-        no_money.alias("revenue"),
-    )
-    money = revenue.select(
-        "clientId", no_count.alias("visits"), no_count.alias("typed"), F.col("revenue").cast("decimal(38,6)"),
-    )
-    return visits.unionByName(money).groupBy("clientId").agg(
-        F.sum("visits").alias("client_visits"),
-        F.sum("typed").alias("client_typed_visits"),
-        F.sum("revenue").alias("client_revenue"),
+def client_visit_totals(counts: DataFrame) -> DataFrame:
+    """Per client: all visits, and visits with a type (NULL if there are none)."""
+    typed = F.when(F.col("TYPE_ID").isNotNull(), F.col("n"))
+    return counts.groupBy("clientId").agg(
+        F.sum("n").alias("client_visits"), F.sum(typed).alias("client_typed_visits")
     )
 
 
+def client_totals(counts: DataFrame, revenue: DataFrame) -> DataFrame:
+    """Visit totals and revenue per client. Both are reduced to one row per client, stacked and summed
+    again, so that the report joins per-client figures once."""
+    money = revenue.groupBy("clientId").agg(F.sum("revenue").alias("client_revenue"))
+    stacked = client_visit_totals(counts).unionByName(money, allowMissingColumns=True)
+    figures = ("client_visits", "client_typed_visits", "client_revenue")
+    return stacked.groupBy("clientId").agg(*[F.max(c).alias(c) for c in figures])
+
+
+def recurrence_frame(
+    types: DataFrame, visits: DataFrame, subscriptions: DataFrame, params: Params = DEFAULTS
+) -> DataFrame:
+    """The recurrence score of every type, on its own."""
+    rows = active_subscription(types, subscriptions).join(type_history(visits, params), _TYPE, "left")
+    rows = with_client_total(rows, client_visit_totals(visit_counts(visits)))
+    return recurrence_score(rows, params)
+
+
 def _named_versions(types: DataFrame, names: DataFrame) -> DataFrame:
     """Rows of one type id (from several sources) all go by the first row's ``repeated_name``."""
     versions = Window.partitionBy(*_TYPE).orderBy(*version_order("sourceClient"))
@@ -145,7 +154,8 @@ def evidence_frame(
         rows = rows.join(by_revenue.select(*_TYPE, F.lit(True).alias("top_revenue")), _TYPE, "left")
     if dedupe:
         rows = name_types(rows, names).withColumn("copies", F.lit(1))
-    rows = with_client_total(rows, client_totals(counts, revenue))
+    totals = client_totals(counts, revenue) if ranks else client_visit_totals(counts)
+    rows = with_client_total(rows, totals)
     rows = rows.withColumn("active", F.coalesce("active", F.lit(False)))
     rows = recurrence_score(rows, params)
     return mapping_signal(keyword_signals(api_signals(rows, params), "DESCRIPTION", params))

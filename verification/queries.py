@@ -17,7 +17,7 @@ from catalog_signals.operators.versions import (
     latest_version,
 )
 from catalog_signals.plans import outputs
-from catalog_signals.plans.report import analysed, build_report, evidence_frame
+from catalog_signals.plans.report import analysed, build_report, evidence_frame, recurrence_frame
 from catalog_signals.plans.share_report import share_report
 from catalog_signals.sources import scans
 from catalog_signals.sources.tables import CatalogTables
@@ -115,7 +115,7 @@ def _review_reasons(t: CatalogTables) -> DataFrame:
 
 
 def _recurrence(t: CatalogTables) -> DataFrame:
-    return _evidence(t).select(
+    return recurrence_frame(_types(t).select(*KEYS), _visits(t), _subs(t), PARAMS).select(
         *KEYS, "strong_accounts", "total_accounts", "strong_ratio", "appt_score", "appt_bool",
         "appt_reason",
     )
