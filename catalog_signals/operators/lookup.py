@@ -150,7 +150,7 @@ def reference_mismatch(types: DataFrame, merged: DataFrame) -> DataFrame:
     merged_text = F.col("DESCRIPTION_MERGED")
     differing = expand_copies(
         spread_join(
-            theirs, mine, keys, ["DESCRIPTION_MERGED"], "inner", null_safe=["TYPE_ID"]
+            theirs, mine, keys, ["DESCRIPTION_MERGED"], "inner", null_safe=["TYPE_ID"], salts=4
         ).where(
             merged_text.isNull() | ~merged_text.eqNullSafe(F.col("DESCRIPTION"))
         )

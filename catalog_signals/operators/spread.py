@@ -25,7 +25,9 @@ def spread_join(
     The rows of a key are spread over ``salts`` tasks by a hash of ``spread_by``, and ``right`` is
     replicated once per salt. The hash depends on the row alone, so a task re-run after a lost
     executor puts every row where it was. No side is broadcast by hint: Spark does so by itself
-    where the replicated side is measured to be small. Columns in ``null_safe`` match NULL to NULL.
+    where the replicated side is measured to be small. Both sides reach the join straight from a
+    shuffle, so adaptive execution can split what is left of a hot key. Columns in ``null_safe``
+    match NULL to NULL.
     """
     if salts & (salts - 1):
         raise ValueError("salts must be a power of two")

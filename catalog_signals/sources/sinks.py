@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,14 +28,16 @@ def write_table(df: DataFrame, table: str) -> DataFrame:
     return df.sparkSession.table(table)
 
 
-def write_report(report: DataFrame, folder: str) -> dict[str, DataFrame]:
+def write_report(
+    report: DataFrame, folder: str, queue: Callable[[DataFrame], DataFrame] = review_queue
+) -> dict[str, DataFrame]:
     """``report``, ``review_queue``, ``ask_client`` and ``settled_summary`` under ``folder``.
 
     The report is computed once and written; the other three are cut from the written files.
     """
     written = write_path(conform(report), f"{folder}/report")
     parts = {
-        "review_queue": review_queue(written),
+        "review_queue": queue(written),
         "ask_client": review_split(written)[0],
         "settled_summary": settled_summary(written),
     }

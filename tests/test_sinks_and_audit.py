@@ -2,7 +2,7 @@ from frames import AS_OF, rows, sub_row, tables, type_row, visit_row
 
 from catalog_signals import build_report, read_tables
 from catalog_signals.operators.audit import source_row_audit, table_profile
-from catalog_signals.plans import outputs
+from catalog_signals.plans import jobs, outputs
 from catalog_signals.sources import sinks
 from catalog_signals.sources.tables import TABLE_NAMES
 
@@ -90,3 +90,20 @@ def test_table_profile_walks_nested_fields_and_survives_a_bad_table(spark):
     assert ("three", "id", "bigint", "REQUIRED", None, 3) in found
     bad = profile.where("table_name = 'missing'").collect()
     assert len(bad) == 1 and bad[0].num_rows is None and "nowhere" in bad[0].error
+
+
+def test_batch_runs(spark, tmp_path):
+    inputs, folder = example(spark), str(tmp_path)
+    written = jobs.run_report(inputs, AS_OF, f"{folder}/a")
+    used = outputs.activity_filter(build_report(inputs, AS_OF))
+    assert rows(written["report"], "*") == rows(used, "*")
+    assert written["report"].count() == 4  # type 3 of either client is not in use
+    client = sinks.read_client_report(spark, f"{folder}/a/clients", "B")
+    assert rows(client["report"], "*") == rows(used.where("Client = 'B'"), "*")
+    unfiltered = jobs.run_unfiltered_report(inputs, AS_OF, f"{folder}/b", clients=["A"])
+    assert unfiltered["report"].count() == 5
+    assert "Appointment Share Pct" not in unfiltered["review_queue"].columns
+    shares = jobs.run_share_report(inputs, f"{folder}/c")
+    assert rows(shares, "clientId", "TYPE_ID", "appointmentSharePct") == [
+        ("A", 1, 50.0), ("A", 2, 50.0), ("B", 1, 50.0), ("B", 2, 50.0),
+    ]
