@@ -62,31 +62,38 @@ def field_rows(schema: T.StructType, prefix: str = "") -> Iterator[tuple[str, st
             yield from field_rows(dtype, f"{path}.")
 
 
+_FIELDS = (
+    "table_name string, field_path string, field_type string, mode string, comment string, "
+    "table_comment string, error string"
+)
+
+
 def table_profile(
-    spark: SparkSession, tables: Mapping[str, DataFrame | Callable[[], DataFrame]]
+    spark: SparkSession, tables: Mapping[str, str | DataFrame | Callable[[], DataFrame]]
 ) -> DataFrame:
     """One row per table and field path, with the table's row count.
 
-    A table is given as a DataFrame or as a function that opens it. One that cannot be opened yields a
-    single row with the error. The counts are one aggregate per table, stacked into a single job.
+    A table is given as a catalogue name, a DataFrame, or a function that opens it. One that cannot be
+    opened yields a single row with the error. The counts are one aggregate per table, stacked into a
+    single job.
     """
     fields: list[tuple] = []
     counts: list[DataFrame] = []
     for name, source in tables.items():
+        table_comment = None
         try:
-            df = source() if callable(source) else source
+            if isinstance(source, str):
+                df, table_comment = spark.table(source), spark.catalog.getTable(source).description
+            else:
+                df = source() if callable(source) else source
             rows = list(field_rows(df.schema))
         except PySparkException as problem:
-            fields.append((name, None, None, None, None, str(problem)))
+            fields.append((name, None, None, None, None, None, str(problem)))
             continue
-        fields += [(name, *row, None) for row in rows]
-        counts.append(df.agg(F.count(F.lit(1)).alias("num_rows")).select(F.lit(name).alias("table_name"), "num_rows"))
-    listed = spark.createDataFrame(
-        fields,
-        "table_name string, field_path string, field_type string, mode string, comment string, error string",
-    )
+        fields += [(name, *row, table_comment, None) for row in rows]
+        total = df.agg(F.count(F.lit(1)).alias("num_rows"))
+        counts.append(total.select(F.lit(name).alias("table_name"), "num_rows"))
+    listed = spark.createDataFrame(fields, _FIELDS)
     if not counts:
         return listed.withColumn("num_rows", F.lit(None).cast("bigint"))
-    return listed.join(reduce(DataFrame.unionByName, counts), "table_name", "left").select(
-        "table_name", "field_path", "field_type", "mode", "comment", "num_rows", "error"
-    )
+    return listed.join(reduce(DataFrame.unionByName, counts), "table_name", "left")

@@ -200,6 +200,9 @@ def test_share_report(spark):
     assert got == [
         ("A", 1, "Pest", 5, 50.0), ("A", None, "<unknown>", 2, 20.0), ("A", 2, "2", 2, 20.0), ("A", 3, "3", 1, 10.0),
     ]
+    stray = tables(spark, types=[type_row()], visits=[visit_row(), visit_row(client="Z", type_id="7")])
+    assert rows(share_report(stray), "clientId", "service") == [("A", "plain")]
+    assert rows(share_report(stray, ["Z"]), "clientId", "service") == [("Z", "7")]
 
 
 def test_parameters_reach_the_report(spark):

@@ -89,6 +89,13 @@ def test_table_profile_walks_nested_fields_and_survives_a_bad_table(spark):
     ])
     assert ("three", "id", "bigint", "REQUIRED", None, 3) in found
     bad = profile.where("table_name = 'missing'").collect()
+    spark.sql("CREATE TABLE profiled (n int COMMENT 'count') USING parquet COMMENT 'about it'")
+    by_name = table_profile(spark, {"p": "profiled", "q": "no_such_table"}).collect()
+    spark.sql("DROP TABLE profiled")
+    assert [(r.field_path, r.comment, r.table_comment, r.num_rows) for r in by_name if r.table_name == "p"] == [
+        ("n", "count", "about it", 0)
+    ]
+    assert ["no_such_table" in r.error for r in by_name if r.table_name == "q"] == [True]
     assert len(bad) == 1 and bad[0].num_rows is None and "nowhere" in bad[0].error
 
 

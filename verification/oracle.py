@@ -573,6 +573,7 @@ ORACLE: dict[str, str] = {
                {_pct('v.n', 'sum(v.n) OVER (PARTITION BY v.clientId)')} AS "appointmentSharePct"
         FROM type_visits v LEFT JOIN types t
         ON t.clientId = v.clientId AND t.TYPE_ID IS NOT DISTINCT FROM v.TYPE_ID
+        WHERE v.clientId IN (SELECT clientId FROM types)
         ORDER BY v.clientId, v.n DESC, v.TYPE_ID
         """,
         "type_visits", "types",
@@ -628,7 +629,8 @@ ORACLE: dict[str, str] = {
     "table_profile": f"""
         SELECT c.table_name, c.column_name AS field_path, {_SPARK_TYPES} AS field_type,
                CASE WHEN data_type LIKE '%[]' THEN 'REPEATED' ELSE 'NULLABLE' END AS mode,
-               CAST(NULL AS VARCHAR) AS comment, n.num_rows, CAST(NULL AS VARCHAR) AS error
+               CAST(NULL AS VARCHAR) AS comment, CAST(NULL AS VARCHAR) AS table_comment, n.num_rows,
+               CAST(NULL AS VARCHAR) AS error
         FROM duckdb_columns() c
         JOIN ({' UNION ALL '.join(f"SELECT '{t}' AS table_name, count(*) AS num_rows FROM {t}" for t in DRIVER_TABLES)}) n
         ON n.table_name = c.table_name
