@@ -21,7 +21,7 @@ from catalog_signals.plans.report import analysed, build_report, evidence_frame,
 from catalog_signals.plans.share_report import share_report
 from catalog_signals.sources import scans
 from catalog_signals.sources.tables import CatalogTables
-from verification.standin import ALIASES, AS_OF, PARAMS, StandInTables
+from verification.standin import ALIASES, AS_OF, PARAMS, StandInTables, open_table
 
 KEYS = ["clientId", "TYPE_ID"]
 DRIVER_TABLES = (
@@ -94,7 +94,7 @@ def _word_columns() -> list[str]:
 
 
 def _document_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents = open_table(spark, sf_dir, "documents")
     return signals.keyword_signals(documents, "text").select("doc_id", *_word_columns())
 
 

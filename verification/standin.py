@@ -10,6 +10,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from catalog_signals import Params
 from catalog_signals.config import HAS_RESERVICE, RECURRING, RESERVICE, ZERO_TIME
@@ -86,11 +87,23 @@ _SOURCES = {
 }
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
+def open_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table; its schema is read from the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
 def stand_in(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
-    ctes = [f"{t} AS (SELECT * FROM parquet.`{sf_dir}/{t}.parquet`)" for t in _SOURCES[view]]
+    sources = {t: open_table(spark, sf_dir, t) for t in _SOURCES[view]}
+    ctes = [f"{t} AS (SELECT * FROM {{{t}}})" for t in sources]
     if view == "merged_service_type":
         ctes.append(f"service_type_raw AS ({VIEWS['service_type_raw']})")
-    return spark.sql(f"WITH {', '.join(ctes)} {VIEWS[view]}")
+    return spark.sql(f"WITH {', '.join(ctes)} {VIEWS[view]}", **sources)
 
 
 class StandInTables:
