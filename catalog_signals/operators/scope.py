@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog_signals.sources.scans import of_clients
+from catalog_signals.sources.tables import CatalogTables
 
 MAX_BROADCAST_PAIRS = 100_000
 
@@ -30,18 +31,34 @@ def requested_clients(
     return None
 
 
-def tenant_rollup(raw: DataFrame, aliases: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Rows of the aliased source clients, each under its logical client in ``clientId``.
+def tenant_rollup(
+    df: DataFrame,
+    aliases: Mapping[str, Sequence[str]],
+    source: str = "CLIENT",
+    logical: str = "clientId",
+) -> DataFrame:
+    """Rows of the aliased clients in column ``source``, each under its logical client in ``logical``.
 
     ``aliases`` maps a logical client to its sources. A source of several logical clients appears
     once under each. The pairs are a Python literal; only a short one is broadcast.
     """
-    pairs = [(s, logical) for logical, sources in aliases.items() for s in sources]
-    table = raw.sparkSession.createDataFrame(pairs, "CLIENT string, clientId string")
-    sources = list(dict.fromkeys(s for s, _ in pairs))
+    pairs = [(s, name) for name, sources in aliases.items() for s in sources]
+    table = df.sparkSession.createDataFrame(pairs, "_source string, _logical string")
     if len(pairs) <= MAX_BROADCAST_PAIRS:
         table = F.broadcast(table)
-    return of_clients(raw, sources, "CLIENT").join(table, "CLIENT")
+    rows = of_clients(df, list(dict.fromkeys(s for s, _ in pairs)), source)
+    joined = rows.join(table, F.col(source) == F.col("_source")).drop("_source")
+    return joined.withColumn(logical, F.col("_logical")).drop("_logical")
+
+
+def _asked_aliases(
+    clients: Sequence[str] | None, aliases: Mapping[str, Sequence[str]] | None
+) -> dict[str, Sequence[str]]:
+    """Sources of every asked-for client, if any of them is a logical one; else nothing."""
+    known = aliases or {}
+    if not any(c in known for c in clients or ()):
+        return {}
+    return {c: known.get(c, [c]) for c in clients}
 
 
 def scoped_service_types(
@@ -54,7 +71,25 @@ def scoped_service_types(
     An aliased logical client takes part only if it is asked for by name; otherwise its sources are
     clients of their own.
     """
-    asked = {c: aliases[c] for c in clients or () if c in (aliases or {})}
+    asked = _asked_aliases(clients, aliases)
+    if asked:
+        return tenant_rollup(raw, asked)
+    return of_clients(raw, clients, "CLIENT").withColumn("clientId", F.col("CLIENT"))
+
+
+def roll_up_facts(
+    tables: CatalogTables,
+    clients: Sequence[str] | None,
+    aliases: Mapping[str, Sequence[str]] | None,
+) -> CatalogTables:
+    """The tables with visits, subscriptions, lookup and validation rows of the sources moved to the
+    asked-for logical clients, too. Without this, those four are read under the logical name only."""
+    asked = _asked_aliases(clients, aliases)
     if not asked:
-        return of_clients(raw, clients, "CLIENT").withColumn("clientId", F.col("CLIENT"))
-    return tenant_rollup(raw, {**{c: [c] for c in clients if c not in asked}, **asked})
+        return tables
+    columns = {
+        "merged_service_types": "clientID", "visits": "clientID", "subscriptions": "clientID",
+        "lookup": "clientId",
+    }
+    moved = {n: tenant_rollup(getattr(tables, n), asked, c, c) for n, c in columns.items()}
+    return CatalogTables(service_types=tables.service_types, **moved)

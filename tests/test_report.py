@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from catalog_signals import Params, build_report
 from catalog_signals.operators.activity import active_subscription, expired_flag, recent_activity
+from catalog_signals.operators.scope import roll_up_facts
 from catalog_signals.plans import outputs
 from catalog_signals.plans.report import REPORT_SCHEMA, analysed
 from catalog_signals.plans.share_report import share_report
@@ -96,6 +97,13 @@ def test_logical_client_takes_only_its_catalogue_from_the_sources(spark):
         ("T", 1): ("second", True, True), ("T", 2): ("second", True, False),
     }
     assert all(r["Repeated Name"] for r in report.values())
+    aliases = {"T": ["O1", "O2"]}
+    rolled = roll_up_facts(inputs, ["T"], aliases)
+    report = by_type(build_report(rolled, AS_OF, clients=["T"], aliases=aliases))
+    assert {k: (r["Final Recurring"], r["hasVisitsInPast2Years"]) for k, r in report.items()} == {
+        ("T", 1): (False, False), ("T", 2): (False, True),
+    }
+    assert roll_up_facts(inputs, ["O1"], aliases) is inputs
 
 
 def test_unfiltered_report_repeats_types_for_every_match(spark):
