@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,6 +111,17 @@ def client_totals(counts: DataFrame, revenue: DataFrame) -> DataFrame:
     return stacked.groupBy("clientId").agg(*[F.max(c).alias(c) for c in figures])
 
 
+def important_types(counts: DataFrame, revenue: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """The top types by volume and by revenue of every client, with a flag for either."""
+    by_volume = top_k(counts, "n", params.top_volume)
+    by_revenue = top_k(revenue, "revenue", params.top_revenue)
+    marked = by_volume.selectExpr(*_TYPE, "TRUE AS top_volume", "FALSE AS top_revenue").unionByName(
+        by_revenue.selectExpr(*_TYPE, "FALSE AS top_volume", "TRUE AS top_revenue")
+    )
+    flags = [F.max(f).alias(f) for f in ("top_volume", "top_revenue")]
+    return marked.groupBy(*_TYPE).agg(*flags)
+
+
 def recurrence_frame(
     types: DataFrame, visits: DataFrame, subscriptions: DataFrame, params: Params = DEFAULTS
 ) -> DataFrame:
@@ -148,10 +159,7 @@ def evidence_frame(
     rows = rows.join(type_history(visits, params), _TYPE, "left")
     rows = rows.join(revenue.withColumn("active", F.lit(True)), _TYPE, "left")
     if ranks:
-        by_volume = top_k(counts, "n", params.top_volume)
-        by_revenue = top_k(revenue, "revenue", params.top_revenue)
-        rows = rows.join(by_volume.select(*_TYPE, F.lit(True).alias("top_volume")), _TYPE, "left")
-        rows = rows.join(by_revenue.select(*_TYPE, F.lit(True).alias("top_revenue")), _TYPE, "left")
+        rows = rows.join(important_types(counts, revenue, params), _TYPE, "left")
     if dedupe:
         rows = name_types(rows, names).withColumn("copies", F.lit(1))
     totals = client_totals(counts, revenue) if ranks else client_visit_totals(counts)
@@ -161,10 +169,6 @@ def evidence_frame(
     return mapping_signal(keyword_signals(api_signals(rows, params), "DESCRIPTION", params))
 
 
-def _or_empty(flag: str, text: str) -> Column:
-    return F.when(F.coalesce(flag, F.lit(False)), text).otherwise("")
-
-
 def analysed(
     tables: CatalogTables,
     as_of: dt.datetime | str,
@@ -183,40 +187,41 @@ def analysed(
         rows = rows.withColumns({
             "volume_share": share_pct(F.col("type_visits"), F.col("client_typed_visits")),
             "revenue_share": share_pct(F.col("revenue"), F.col("client_revenue")),
-            "volume_reason": _or_empty("top_volume", "high priority service"),
-            "revenue_reason": F.when(F.col("client_revenue") > 0, _or_empty("top_revenue", "high revenue service")).otherwise(""),
+            "volume_reason": F.expr("if(top_volume, 'high priority service', '')"),
+            "revenue_reason": F.expr(
+                "if(top_revenue AND client_revenue > 0, 'high revenue service', '')"
+            ),
         })
     else:
-        unknown = F.lit(None).cast("double")
-        rows = rows.withColumns({
-            "volume_share": unknown, "revenue_share": unknown,
-            "volume_reason": F.lit(""), "revenue_reason": F.lit(""),
-        })
-    important = (F.col("volume_reason") != "") | (F.col("revenue_reason") != "")
-    return rows.withColumn("ask_client", (F.col("conflicts") > 0) | important)
+        rows = rows.selectExpr(
+            "*", "CAST(NULL AS DOUBLE) AS volume_share", "CAST(NULL AS DOUBLE) AS revenue_share",
+            "'' AS volume_reason", "'' AS revenue_reason",
+        )
+    asked = "conflicts > 0 OR volume_reason <> '' OR revenue_reason <> ''"
+    return rows.withColumn("ask_client", F.expr(asked))
 
 
 def to_report(rows: DataFrame) -> DataFrame:
-    """Public names and order; every row once per lookup match it stands for."""
+    """Public names and order, and ``copies``."""
+    signals = (RESERVICE, RECURRING, ZERO_TIME, HAS_RESERVICE)
     sources = [
-        "TYPE_ID", F.coalesce("DESCRIPTION", F.lit("")),
+        "TYPE_ID", "coalesce(DESCRIPTION, '')",
         "API_RESERVICE", "API_REGULAR_SERVICE", "API_FREQUENCY", "API_DEFAULT_LENGTH",
         "API_INITIAL_ID", "API_INITIAL",
         "recent", "active", "repeated_name",
-        *[f"flagged_{s}" for s in (RESERVICE, RECURRING, ZERO_TIME, HAS_RESERVICE)],
-        *[f"word_{s}" for s in (RESERVICE, RECURRING, ZERO_TIME, HAS_RESERVICE)],
+        *[f"flagged_{s}" for s in signals], *[f"word_{s}" for s in signals],
         "appt_bool", "appt_score", "appt_reason",
-        *[f"final_{s}" for s in (RESERVICE, RECURRING, ZERO_TIME, HAS_RESERVICE)],
+        *[f"final_{s}" for s in signals],
         "expired",
         *[f"conflict_{s}" for s in (RESERVICE, RECURRING, ZERO_TIME)],
-        F.lit(""), "ask_client", "volume_share", "revenue_share", "volume_reason", "revenue_reason",
+        "''", "ask_client", "volume_share", "revenue_share", "volume_reason", "revenue_reason",
         "clientId",
     ]
     columns = [
-        (F.col(s) if isinstance(s, str) else s).cast(f.dataType).alias(f.name)
-        for s, f in zip(sources, REPORT_SCHEMA.fields, strict=True)
+        f"CAST({sql} AS {field.dataType.simpleString()}) AS `{field.name}`"
+        for sql, field in zip(sources, REPORT_SCHEMA.fields, strict=True)
     ]
-    return expand_copies(rows.select(*columns, "copies"))
+    return rows.selectExpr(*columns, "copies")
 
 
 def build_report(
@@ -233,4 +238,5 @@ def build_report(
     ``dedupe=False, ranks=False`` gives the unfiltered report: a type is repeated for every lookup row
     it matches, and there are no shares and no importance reasons.
     """
-    return to_report(analysed(tables, as_of, clients, aliases, dedupe, ranks, params))
+    report = to_report(analysed(tables, as_of, clients, aliases, dedupe, ranks, params))
+    return report.drop("copies") if dedupe else expand_copies(report)
