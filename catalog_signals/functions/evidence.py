@@ -80,6 +80,8 @@ def top_two_conflict(metric: str, evidence: Sequence[Evidence]) -> str:
 
 def top_vs_rest_differ(evidence: Sequence[Evidence]) -> str:
     """Does the strongest available source differ from all others? False if there are no others."""
+    if len(evidence) == 2:
+        return top_two_differ(evidence)
     saying = {
         value: " + ".join(f"int({e.value} <=> {value})" for e in evidence) for value in (True, False)
     }
@@ -95,6 +97,16 @@ def top_vs_rest_conflict(metric: str, evidence: Sequence[Evidence]) -> str:
     if len(evidence) < 2:
         return "CAST(NULL AS STRING)"
 
+    if len(evidence) == 2:
+        a, b = evidence
+        return _case([
+            (
+                f"{a.value} = {top} AND {b.value} = {not top}",
+                quoted(f"{metric}: {a.source}={top} vs others=['{b.source}={not top}']"),
+            )
+            for top in (True, False)
+        ])
+
     def text(top: bool) -> str:
         leader = _case([(f"{e.value} IS NOT NULL", quoted(f"{e.source}={top}")) for e in evidence])
         others = [_case([(f"{e.value} = {not top}", quoted(f"{e.source}={not top}"))]) for e in evidence]

@@ -113,6 +113,18 @@ def recurrence_score(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     Expects the columns of ``type_history`` (NULL where a type has no visits), ``client_visits``
     (NULL where the client has none) and the boolean ``active``.
     """
+    return explain_visitless_clients(score_accounts(df, params))
+
+
+def explain_visitless_clients(df: DataFrame) -> DataFrame:
+    """The reason of a type without visits, where its client has none at all. The other columns of
+    the score are the same either way."""
+    reason = "if(client_visits IS NULL, 'No appointments for client', appt_reason)"
+    return df.withColumn("appt_reason", F.expr(reason))
+
+
+def score_accounts(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """``recurrence_score`` without regard to the client's other visits."""
     scored = df.withColumns({
         "strong_accounts": F.expr("coalesce(strong_accounts, 0L)"),
         "total_accounts": F.expr("coalesce(total_accounts, 0L)"),
@@ -120,8 +132,7 @@ def recurrence_score(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
             "CASE WHEN total_accounts > 0 THEN strong_accounts / total_accounts ELSE 0D END"
         ),
         "_missing": F.expr(
-            """CASE WHEN client_visits IS NULL THEN 'No appointments for client'
-                    WHEN type_visits IS NULL THEN 'No appointments for this service type'
+            """CASE WHEN type_visits IS NULL THEN 'No appointments for this service type'
                     WHEN dated_visits = 0 THEN 'No valid appointment dates' END"""
         ),
     })

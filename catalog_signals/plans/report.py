@@ -20,7 +20,12 @@ from catalog_signals.config import DEFAULTS, HAS_RESERVICE, RECURRING, RESERVICE
 from catalog_signals.functions.casts import years_before
 from catalog_signals.functions.text import share_pct
 from catalog_signals.operators.activity import active_subscription, expired_flag
-from catalog_signals.operators.cadence import recurrence_score, type_history
+from catalog_signals.operators.cadence import (
+    explain_visitless_clients,
+    recurrence_score,
+    score_accounts,
+    type_history,
+)
 from catalog_signals.operators.lookup import (
     expand_copies,
     name_facts,
@@ -155,18 +160,20 @@ def evidence_frame(
     revenue = active_revenue(scan_subscriptions(tables.subscriptions, clients))
     counts = visit_counts(visits)
 
-    rows = types if dedupe else _named_versions(types, names)
+    # Every signal is computed as soon as its inputs are there: the code of the last stage, which would
+    # otherwise hold every expression, stays small enough for the JVM to compile.
+    rows = keyword_signals(api_signals(types, params), "DESCRIPTION", params)
+    if not dedupe:
+        rows = _named_versions(rows, names)
     rows = rows.join(type_history(visits, params), _TYPE, "left")
     rows = rows.join(revenue.withColumn("active", F.lit(True)), _TYPE, "left")
+    rows = score_accounts(rows.withColumn("active", F.coalesce("active", F.lit(False))), params)
     if ranks:
         rows = rows.join(important_types(counts, revenue, params), _TYPE, "left")
     if dedupe:
         rows = name_types(rows, names).withColumn("copies", F.lit(1))
     totals = client_totals(counts, revenue) if ranks else client_visit_totals(counts)
-    rows = with_client_total(rows, totals)
-    rows = rows.withColumn("active", F.coalesce("active", F.lit(False)))
-    rows = recurrence_score(rows, params)
-    return mapping_signal(keyword_signals(api_signals(rows, params), "DESCRIPTION", params))
+    return explain_visitless_clients(with_client_total(mapping_signal(rows), totals))
 
 
 def analysed(
