@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalog_signals.llm.line_dedup import dedup_lines
 from catalog_signals.llm.mixing import mixture
+from catalog_signals.llm.packing import Packing, pack
 from catalog_signals.llm.quality_rules import quality_rules
 from catalog_signals.llm.text import table
 from catalog_signals.llm.url_filters import filter_urls
@@ -20,6 +22,16 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def packing_parameters() -> Packing:
+    import public_tokenizers
+
+    return Packing(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), packing_parameters())
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents"))
 
@@ -28,8 +40,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("removed_words")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filters": op3_url_filters,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op8_mixing": op8_mixing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_line_dedup": op10_line_dedup,
 }

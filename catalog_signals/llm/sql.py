@@ -154,4 +154,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM failing
 """
 
-ORACLE = {"op3_url_filters": _OP3, "op8_mixing": _OP8, "op9_quality_rules": _OP9}
+_OP10 = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS id, coalesce(doc_id, -9223372036854775808) AS doc, doc_id, text FROM documents
+), line AS (
+    SELECT id, doc, coalesce(text, '') AS text, unnest(string_split(coalesce(text, ''), chr(10))) AS l,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+    FROM docs
+), worded AS (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY pos) AS i FROM line
+    WHERE regexp_matches(l, '[^\x20\x09-\x0D]')
+), windows AS (
+    SELECT a.id, a.doc, a.text, [a.l, b.l, c.l] AS w, a.pos AS a1, b.pos AS a2, c.pos AS a3
+    FROM worded a JOIN worded b ON a.id = b.id AND b.i = a.i + 1 JOIN worded c ON a.id = c.id AND c.i = a.i + 2
+), ranked AS (
+    SELECT *, dense_rank() OVER (PARTITION BY w ORDER BY doc, md5(text), a1) AS place FROM windows
+), gone AS (
+    SELECT DISTINCT id, unnest([a1, a2, a3]) AS pos FROM ranked WHERE place > 1
+), counted AS (
+    SELECT l.id, count(*) AS n, count(g.pos) AS lost,
+           string_agg(l.l, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL) AS rest
+    FROM line l LEFT JOIN gone g ON l.id = g.id AND l.pos = g.pos GROUP BY l.id
+)
+SELECT doc_id, CASE WHEN lost = 0 THEN text ELSE coalesce(rest, '') END AS text,
+       CASE WHEN text IS NULL THEN 0 ELSE n END AS n_lines, lost AS n_removed
+FROM docs d JOIN counted c ON d.id = c.id
+"""
+
+ORACLE = {"op3_url_filters": _OP3, "op8_mixing": _OP8, "op9_quality_rules": _OP9, "op10_line_dedup": _OP10}
