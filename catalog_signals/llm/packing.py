@@ -286,7 +286,7 @@ def pack(documents: DataFrame, how: Packing) -> DataFrame:
             length, rank = batch["length"].to_numpy(), batch["_rank"].to_numpy()
             row = table[np.searchsorted(starts, length * shift + rank, "right") - 1]
             sequence = row[:, 3] + rank - row[:, 1]
-            columns = [batch[c] for c in cut.columns] + [pa.array(sequence), pa.array(row[:, 4])]
+            columns = [batch[c] for c in names[:-2]] + [pa.array(sequence), pa.array(row[:, 4])]
             yield pa.record_batch(columns, names=names)
 
     ranked = _ranked(cut).select(*cut.columns, "_rank")

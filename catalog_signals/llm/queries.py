@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalog_signals.llm.embedding_dedup import near_duplicates
 from catalog_signals.llm.line_dedup import dedup_lines
 from catalog_signals.llm.mixing import mixture
+from catalog_signals.llm.ngram_join import jaccard_join
 from catalog_signals.llm.packing import Packing, pack
 from catalog_signals.llm.quality_rules import quality_rules
+from catalog_signals.llm.sharding import shard
 from catalog_signals.llm.text import table
 from catalog_signals.llm.url_filters import filter_urls
 
@@ -32,6 +35,19 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), packing_parameters())
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = shard(table(spark, sf_dir, "documents"))
+    return sharded.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents"))
 
@@ -47,6 +63,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filters": op3_url_filters,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
+    "op7_sharding": op7_sharding,
     "op8_mixing": op8_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
