@@ -9,12 +9,14 @@ pieces find their place by their rank.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,9 +24,9 @@ from catalog_signals.llm.text import NULL_ID, checkpointed, text_of
 
 _BUCKETS = 256
 #: Chunks whose tokens a worker remembers; it starts anew when there are more.
-_REMEMBERED = 500_000
-#: Texts split into chunks at a time.
-_AT_ONCE = 64
+_REMEMBERED = 1_000_000
+#: Bytes of text split into chunks at a time.
+_AT_ONCE = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -36,18 +38,23 @@ class Packing:
     end: int = 1
 
 
+#: A run of letters that ends in an ASCII letter, and another ASCII character with what follows it.
+_WORD_AND_TAIL = re.compile(rb"([A-Za-z\x80-\xff]*[A-Za-z])([^A-Za-z\x80-\xff].*)", re.DOTALL)
+
+
 class _Tokens(dict):
     """From a chunk of a text, as bytes without white space, to its token ids as bytes.
 
     White space never is part of a token here, nor does a token or a normalisation reach across it,
-    so the ids of a text are those of its chunks in a row. A full stop or comma after an ASCII letter
-    is a token of its own, which halves the number of chunks.
+    so the ids of a text are those of its chunks in a row. A token doesn't reach from a letter to a
+    character of another kind either, so most chunks are a word and a tail, which are learnt alone.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.lowers = "Lowercase" in str(self.tokenizer.normalizer)
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True) if suffix else {}
         self.ends = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
@@ -71,16 +78,20 @@ class _Tokens(dict):
         return [ids[c] for c in chunks]
 
     def learn(self, chunks: set[bytes]) -> None:
-        new = {c for c in chunks if c not in self}
+        new = [c for c in chunks if c not in self]
         if len(self) + len(new) > _REMEMBERED:
             self.clear()
-            new = chunks
-        stems = {c: c[:-1] for c in new if len(c) > 1 and c[-1:] in b".," and c[-2:-1].isalpha()}
-        wanted = list((new - stems.keys()) | set(stems.values()) | ({c[-1:] for c in stems}))
-        wanted = [c for c in wanted if c not in self]
+            new = list(chunks)
+        parts = {c: m.groups() for c in new if (m := _WORD_AND_TAIL.fullmatch(c))}
+        if self.lowers:
+            parts = {c: (word.lower(), tail) for c, (word, tail) in parts.items()}
+            whole = [c for c in new if c not in parts and b"<" not in c]
+            parts |= {c: (low, b"") for c, low in zip(whole, map(bytes.lower, whole)) if c != low}
+        wanted = {c for c in new if c not in parts}.union(*parts.values())
+        wanted = [c for c in wanted if c and c not in self]
         self.update(zip(wanted, self.of_chunks([c.decode("utf-8", "replace") for c in wanted])))
-        for chunk, stem in stems.items():
-            self[chunk] = self[stem] + self[chunk[-1:]]
+        for chunk, (word, tail) in parts.items():
+            self[chunk] = self[word] + self[tail] if tail else self[word]
 
     def of_texts(self, texts: list[str]) -> list[bytes]:
         chunks = [text.encode("utf-8", "replace").split() for text in texts]
@@ -88,10 +99,24 @@ class _Tokens(dict):
         return [b"".join(map(self.__getitem__, of_text)) for of_text in chunks]
 
 
-def _sliced(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+#: A worker process serves many tasks; it keeps what it has learnt.
+_known: dict[str, _Tokens] = {}
+
+
+def _tokens(path: str) -> _Tokens:
+    if path not in _known:
+        _known[path] = _Tokens(path)
+    return _known[path]
+
+
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows, some at a time: as many as have ``_AT_ONCE`` bytes of text, or a single longer one."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False)
+        turn = np.cumsum(sizes) // _AT_ONCE
+        cuts = [0, *(np.flatnonzero(np.diff(turn)) + 1).tolist(), batch.num_rows]
+        for start, end in zip(cuts, cuts[1:]):
+            yield batch.slice(start, end - start)
 
 
 _PIECES = "_doc bigint, _null boolean, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -101,8 +126,8 @@ def pieces(documents: DataFrame, how: Packing) -> DataFrame:
     """The documents as pieces of at most ``capacity`` tokens: place, length and checksum of each."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, end, most = _Tokens(how.tokenizer), np.array([how.end], "<u4").tobytes(), how.capacity * 4
-        for batch in _sliced(batches, _AT_ONCE):
+        tokens, end, most = _tokens(how.tokenizer), np.array([how.end], "<u4").tobytes(), how.capacity * 4
+        for batch in _sliced(batches):
             rows: list[tuple] = []
             texts = tokens.of_texts(batch["text"].to_pylist())
             for doc, ids in zip(batch["doc_id"].to_pylist(), texts):

@@ -12,12 +12,22 @@ from catalog_signals.llm.line_dedup import dedup_lines
 from catalog_signals.llm.mixing import mixture
 from catalog_signals.llm.ngram_join import jaccard_join
 from catalog_signals.llm.packing import Packing, pack
+from catalog_signals.llm.passages import repeated_passages
 from catalog_signals.llm.quality_rules import quality_rules
 from catalog_signals.llm.sharding import shard
 from catalog_signals.llm.text import table
+from catalog_signals.llm.toxicity import toxicity
 from catalog_signals.llm.url_filters import filter_urls
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels carry ids only; the label of id i is taken as the outcome of page i."""
     outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
@@ -61,6 +71,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_url_filters": op3_url_filters,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
