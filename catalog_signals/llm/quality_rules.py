@@ -6,12 +6,14 @@ many of them are removed. A document left without enough words is depleted and r
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalog_signals.llm.text import (
+    checkpointed,
     document_key,
     lines,
     normal_line,
@@ -36,55 +38,76 @@ class LineLimits:
     min_words: int = 20
 
 
-def _repeat_words(df: DataFrame) -> DataFrame:
-    """``n_repeat_words`` from ``_words``: words in 8-word windows found twice or more.
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body mentions it and wherever
+    Catalyst moves the expression."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _covered(windows: Column) -> Column:
+    """Words in repeated windows, from (hash, position) of all windows sorted."""
+
+    def repeated(all_: Column) -> Column:
+        def if_repeated(x: Column, i: Column) -> Column:
+            return F.when((F.get(all_, i - 1)["h"] == x["h"]) | (F.get(all_, i + 1)["h"] == x["h"]), x["p"])
+
+        return F.sort_array(F.filter(F.transform(all_, if_repeated), F.isnotnull))
+
+    def total(at: Column) -> Column:
+        own = F.transform(at, lambda p, i: F.least(F.lit(_WINDOW), F.coalesce(F.get(at, i + 1) - p, F.lit(_WINDOW))))
+        return F.aggregate(own, F.lit(0).cast("bigint"), lambda a, b: a + b)
+
+    return _let(windows, lambda all_: _let(repeated(all_), total))
+
+
+def _repeat_words(of: Column) -> Column:
+    """The words in 8-word windows that are found twice or more among the words ``of`` a text.
 
     Window hashes are built by doubling (1, 2, 4, 8 words). Only texts with equal windows sort them.
-    Every step is a column of its own, as Spark evaluates an expression once for each mention.
     """
-    df = df.withColumn("_h", F.transform("_words", lambda w: F.xxhash64(w)))
+
+    def doubled(hashes: Column, shift: int) -> Column:
+        def pair(h: Column) -> Column:
+            later = F.slice(h, 1 + shift, F.greatest(F.size(h), F.lit(1)))
+            return F.zip_with(h, later, lambda a, b: F.xxhash64(a, b))
+
+        return _let(hashes, pair)
+
+    hashes = F.transform(of, lambda w: F.xxhash64(w))
     for shift in (1, 2, 4):
-        later = F.slice("_h", 1 + shift, F.greatest(F.size("_h"), F.lit(1)))
-        df = df.withColumn("_h", F.zip_with("_h", later, lambda a, b: F.xxhash64(a, b)))
-    count = F.greatest(F.size("_h") - (_WINDOW - 1), F.lit(0))
-    df = df.withColumn("_h", F.slice("_h", 1, count))
-    repeats = F.size(F.array_distinct("_h")) < F.size("_h")
-    pairs = F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("p")))
-    df = df.withColumn("_s", F.when(repeats, F.sort_array(pairs)))
-
-    def if_repeated(x: Column, i: Column) -> Column:
-        return F.when((F.get("_s", i - 1)["h"] == x["h"]) | (F.get("_s", i + 1)["h"] == x["h"]), x["p"])
-
-    df = df.withColumn("_p", F.sort_array(F.filter(F.transform("_s", if_repeated), F.isnotnull)))
-    covered = F.transform(
-        "_p", lambda p, i: F.least(F.lit(_WINDOW), F.coalesce(F.get("_p", i + 1) - p, F.lit(_WINDOW)))
-    )
-    total = F.aggregate(covered, F.lit(0).cast("bigint"), lambda a, b: a + b)
-    return df.withColumn("n_repeat_words", F.coalesce(total, F.lit(0).cast("bigint"))).drop("_h", "_s", "_p")
+        hashes = doubled(hashes, shift)
+    windows = _let(hashes, lambda h: F.slice(h, 1, F.greatest(F.size(h) - (_WINDOW - 1), F.lit(0))))
+
+    def count(h: Column) -> Column:
+        pairs = F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("p")))
+        repeats = F.size(F.array_distinct(h)) < F.size(h)
+        return F.when(repeats, _covered(F.sort_array(pairs))).otherwise(F.lit(0).cast("bigint"))
 
+    return _let(windows, count)
 
-def base_statistics(documents: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: key, ``doc_id``, ``host``, the columns to ``carry``, and the statistics of its whole
-    text; a null text is empty. One pass without a shuffle, whatever the length of a text."""
+
+def base_statistics(documents: DataFrame) -> DataFrame:
+    """Per row: key, ``doc_id``, ``host`` and the statistics of its whole text; a null text is empty.
+    One pass without a shuffle, whatever the length of a text."""
     text = F.col("_body")
     bare = text
     for symbol in _SYMBOLS:
         bare = F.replace(bare, F.lit(symbol))
     with_word = F.filter(lines(text), lambda line: without_gaps(line) != "")
-    df = documents.select(*document_key(documents), "doc_id", "host", *carry, text_of().alias("_body")).select(
-        "_doc", "_text", "doc_id", "host", *carry,
+    df = documents.select(*document_key(documents), "doc_id", "host", text_of().alias("_body")).select(
+        "_doc", "_text", "doc_id", "host",
         words(text).alias("_words"),
         with_word.alias("_lines"),
         F.length(without_gaps(text)).cast("bigint").alias("word_chars"),
         (F.length(text) - F.length(bare)).cast("bigint").alias("n_symbols"),
     )
     df = df.select(
-        "_doc", "_text", "doc_id", "host", *carry, "_words",
+        "_doc", "_text", "doc_id", "host", "_words",
         F.size("_words").cast("bigint").alias("n_words"),
         "word_chars", "n_symbols",
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
     )
-    df = _repeat_words(df).drop("_words")
+    df = df.withColumn("n_repeat_words", _repeat_words(F.col("_words"))).drop("_words")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return df.withColumn("base_failed", failed)
 
@@ -182,14 +205,20 @@ def clean_documents(
     """
     limits = limits or LineLimits()
     slim = documents.select("doc_id", "text", F.col(host).alias("host"))
-    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
-    rows = documents.select("doc_id", "text", F.col(host).alias("host"), row.alias("_row"))
-    # the base rules see a row's own text only, so rows that fail them go before the first shuffle
-    passed = base_statistics(rows, carry=("_row",)).where("not base_failed")
-    judged = _with_removed(passed, slim, limits)
+    judged = _with_removed(base_statistics(slim), slim, limits)
     removed = F.coalesce("removed_words", F.lit(0))
-    kept = judged.where((removed == 0) | (F.col("n_words") - removed >= limits.min_words))
+    kept = judged.where(~F.col("base_failed") & ((removed == 0) | (F.col("n_words") - removed >= limits.min_words)))
+    # rows that repeat id and text are one document here, and are all kept below
+    kept = kept.groupBy("_doc", "_text", "host").agg(F.first("removed_at").alias("_removed"))
+    kept = checkpointed(kept).withColumnsRenamed({"_doc": "_kept_doc", "_text": "_kept_text", "host": "_kept_host"})
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row")
+    rows = documents.select(*document_key(documents), F.col(host).alias("host"), row)
+    same = (
+        (F.col("_doc") == F.col("_kept_doc"))
+        & (F.col("_text") == F.col("_kept_text"))
+        & F.col("host").eqNullSafe(F.col("_kept_host"))
+    )
     text = F.col("_row")["text"]
-    left = F.filter(lines(text), lambda line, i: ~F.array_contains("removed_at", i))
-    kept = kept.withColumn("_new", F.when(F.col("removed_at").isNull(), text).otherwise(F.array_join(left, "\n")))
-    return restored(kept, documents, "_row", "_new")
+    left = F.filter(lines(text), lambda line, i: ~F.array_contains("_removed", i))
+    new = F.when(F.col("_removed").isNull(), text).otherwise(F.array_join(left, "\n"))
+    return restored(rows.join(kept, same).withColumn("_new", new), documents, "_row", "_new")
