@@ -93,11 +93,10 @@ _LINKS = "node bigint, links bigint, least bigint"
 _NUMBERS = ("bucket", "low", "high", "chunk", "cross", "node", "weight")
 
 
-def links_in_buckets(members: DataFrame, verify: Verify) -> DataFrame:
-    """``node``, ``links``, ``least``: links are weighed by the other node's ``weight``; rows add up.
+def _dealt(members: DataFrame) -> DataFrame:
+    """``members`` dealt to the blocks of their buckets, in the order of buckets and blocks.
 
-    ``members`` has one row per node: ``node``, ``weight``, ``payload`` (binary) and ``buckets`` (array
-    of structs of ``bucket``, ``chunks``). A node is in its bucket once per block that its chunk has.
+    A block is that of a chunk with itself, or of two chunks, and then has the members of both.
     """
     chunk = F.pmod(F.xxhash64("node", F.lit(7)), F.col("b.chunks")).cast("int")
     own = members.select("node", "weight", "payload", "buckets", F.explode("buckets").alias("b")).select(
@@ -109,7 +108,32 @@ def links_in_buckets(members: DataFrame, verify: Verify) -> DataFrame:
         (F.col("chunk") != F.col("other")).cast("int").alias("cross"), "node", "weight", "others", "payload",
     )
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grouped = dealt.repartition(n, "bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+    return dealt.repartition(n, "bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+
+
+def promising(members: DataFrame, verify: Verify) -> DataFrame:
+    """``bucket``, ``node`` of members that ``verify`` links with another one of their bucket.
+
+    For a cheap test on short payloads, before whole ones travel. ``members`` as in ``links_in_buckets``.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches):
+            numbers = {c: table[c].to_numpy() for c in ("chunk", "cross", "bucket", "node")}
+            cross = numbers["chunk"] if numbers["cross"][0] else None
+            some = _linked_pairs(verify(table["payload"].to_pylist()), cross).any(1)
+            if some.any():
+                yield pa.record_batch([pa.array(numbers[c][some]) for c in ("bucket", "node")], names=["bucket", "node"])
+
+    return _dealt(members).mapInArrow(compare, "bucket bigint, node bigint").distinct()
+
+
+def links_in_buckets(members: DataFrame, verify: Verify) -> DataFrame:
+    """``node``, ``links``, ``least``: links are weighed by the other node's ``weight``; rows add up.
+
+    ``members`` has one row per node: ``node``, ``weight``, ``payload`` (binary) and ``buckets`` (array
+    of structs of ``bucket``, ``chunks``). A node is in its bucket once per block that its chunk has.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches):
@@ -119,7 +143,7 @@ def links_in_buckets(members: DataFrame, verify: Verify) -> DataFrame:
             if found is not None:
                 yield pa.record_batch([pa.array(x.astype(np.int64)) for x in found], names=["node", "links", "least"])
 
-    return grouped.mapInArrow(compare, _LINKS)
+    return _dealt(members).mapInArrow(compare, _LINKS)
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:

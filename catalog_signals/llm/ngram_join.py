@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalog_signals.llm.buckets import chunked, links_in_buckets, shared_buckets
+from catalog_signals.llm.buckets import chunked, links_in_buckets, promising, shared_buckets
 from catalog_signals.llm.components import resolved
 from catalog_signals.llm.text import NULL_ID, checkpointed, document_key, straight_from_shuffle, text_of
 from catalog_signals.llm.words import mixed, runs, word_hashes
@@ -77,25 +77,70 @@ def _digest(tokens: np.ndarray) -> int:
     return int(mixed(mixed(tokens).sum(keepdims=True) ^ _U(len(tokens))).astype(np.int64)[0])
 
 
+#: Bins of a sketch, and the tokens from which on it is compared; smaller sets always pass it.
+_BINS, _SKETCHED = 128, 64
+
+
+def _sketch(tokens: np.ndarray) -> bytes:
+    """The number of tokens, and eight bits of the least one in each bin of the hashes, 0 if empty."""
+    edges = np.arange(_BINS, dtype=_U) << _U(57)
+    first = np.searchsorted(tokens, edges)
+    after = np.r_[first[1:], len(tokens)]
+    least = tokens[np.minimum(first, len(tokens) - 1)]
+    bits = np.where(first < after, ((least >> _U(16)) % _U(255)).astype(np.uint8) + 1, 0).astype(np.uint8)
+    return np.array([len(tokens)], np.uint32).tobytes() + bits.tobytes()
+
+
+def _maybe_similar(part: int, whole: int) -> Callable[[list[bytes]], np.ndarray]:
+    """Pairs whose sizes allow the threshold and whose sketches agree in half of their bins.
+
+    At a Jaccard of 0.8, 64 tokens fill some 50 bins for each, of which fewer than half agree less
+    than once in a million times; larger sets are surer still. What passes is compared exactly.
+    """
+
+    def verify(payloads: list[bytes]) -> np.ndarray:
+        data = np.stack([np.frombuffer(p, np.uint8) for p in payloads])
+        size, bins = data[:, :4].copy().view(np.uint32)[:, 0].astype(np.int64), data[:, 4:]
+        fits = whole * np.minimum(size[:, None], size[None, :]) >= part * np.maximum(size[:, None], size[None, :])
+        n = len(size)
+        agree, empty = np.zeros((n, n), np.int16), np.zeros((n, n), np.int16)
+        if n <= 48:
+            same, none = bins[:, None, :] == bins[None, :, :], bins == 0
+            both = none[:, None, :] & none[None, :, :]
+            agree, empty = (same & ~both).sum(2), both.sum(2)
+        else:
+            for column in bins.T:
+                both = (column == 0)[:, None] & (column == 0)[None, :]
+                agree += (column[:, None] == column[None, :]) & ~both
+                empty += both
+        small = size < _SKETCHED
+        return fits & ((2 * agree >= _BINS - empty) | small[:, None] | small[None, :])
+
+    return verify
+
+
 def _chosen(documents: DataFrame, how: ChosenPaths) -> DataFrame:
-    """Per row: key, ``node`` (a hash of its set, null for none), ``size`` of the set, ``paths``."""
+    """Per row: key, ``node`` (a hash of its set, null for none), ``size`` of the set, ``sketch``, ``paths``."""
     roots = [int(x) for x in mixed(np.arange(1, how.runs + 1, dtype=_U) + _U(how.seed << 20)).astype(np.int64)]
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, size, paths = [], [], []
+            node, size, sketch, paths = [], [], [], []
             for _, tokens in shingle_sets(batch["text"], how.words):
                 node.append(_digest(tokens) if len(tokens) else None)
                 size.append(len(tokens))
+                sketch.append(_sketch(tokens) if len(tokens) else None)
                 taken = [_choose(tokens, root, how.part, how.whole) for root in roots] if len(tokens) else []
                 paths.append(np.unique(np.concatenate(taken)) if taken else [])
             yield pa.record_batch([
                 batch["_doc"], batch["_text"], pa.array(node, pa.int64()), pa.array(size, pa.int64()),
-                pa.array(paths, pa.list_(pa.int64())),
-            ], names=["_doc", "_text", "node", "size", "paths"])
+                pa.array(sketch, pa.binary()), pa.array(paths, pa.list_(pa.int64())),
+            ], names=["_doc", "_text", "node", "size", "sketch", "paths"])
 
     keyed = documents.select(*document_key(documents), text_of().alias("text"))
-    return keyed.mapInArrow(choose, "_doc bigint, _text bigint, node bigint, size bigint, paths array<bigint>")
+    return keyed.mapInArrow(
+        choose, "_doc bigint, _text bigint, node bigint, size bigint, sketch binary, paths array<bigint>"
+    )
 
 
 def _with_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -180,11 +225,16 @@ def _linked(documents: DataFrame, how: ChosenPaths) -> tuple[DataFrame, DataFram
     classes = checkpointed(
         chosen.where("node is not null").groupBy("node").agg(
             F.count(F.lit(1)).alias("weight"), F.min(F.struct("_doc", "_text")).alias("first"),
-            F.first("size").alias("size"), F.first("paths").alias("paths"),
+            F.first("size").alias("size"), F.first("sketch").alias("payload"), F.first("paths").alias("paths"),
         )
     )
-    rows = shared_buckets(_buckets(documents, classes, how)).withColumnRenamed("node", "_n")
+    rows = shared_buckets(_buckets(documents, classes, how))
     facts = classes.select("node", "weight", "size", "first")
+    sketches = classes.select("node", "payload", F.lit(1).alias("weight"))
+    placed = chunked(rows.withColumn("_size", F.lit(_BINS)), "_size").withColumnRenamed("node", "_n")
+    rough = placed.join(sketches, F.col("_n") == F.col("node")).drop("_n")
+    rows = checkpointed(promising(rough, _maybe_similar(how.part, how.whole)))
+    rows = shared_buckets(rows).withColumnRenamed("node", "_n")
     sized = rows.join(facts.select("node", (8 * F.col("size")).alias("_size")), F.col("_n") == F.col("node"))
     per_node = chunked(sized.drop("_n"), "_size").withColumnRenamed("node", "_n")
     wanted = per_node.join(facts.select("node", "weight", "first"), F.col("_n") == F.col("node")).drop("_n")
