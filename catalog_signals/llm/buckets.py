@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from catalog_signals.llm.text import straight_from_shuffle
 
-#: From the payloads of n members to the n x n matrix of those that are linked.
+#: From the payloads of n members to the n x n matrix of those that are linked; its diagonal doesn't count.
 Verify = Callable[[list[bytes]], np.ndarray]
 
 #: Members, and bytes of their payloads, that a chunk has at most (or one member).
@@ -111,21 +111,22 @@ def _dealt(members: DataFrame) -> DataFrame:
     return dealt.repartition(n, "bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
 
 
-def promising(members: DataFrame, verify: Verify) -> DataFrame:
-    """``bucket``, ``node`` of members that ``verify`` links with another one of their bucket.
+def rough_links(members: DataFrame, verify: Verify) -> DataFrame:
+    """``node``, ``least`` of members that ``verify`` links with others, one row per member and block.
 
     For a cheap test on short payloads, before whole ones travel. ``members`` as in ``links_in_buckets``.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches):
-            numbers = {c: table[c].to_numpy() for c in ("chunk", "cross", "bucket", "node")}
-            cross = numbers["chunk"] if numbers["cross"][0] else None
-            some = _linked_pairs(verify(table["payload"].to_pylist()), cross).any(1)
+            chunk, cross, node = (table[c].to_numpy() for c in ("chunk", "cross", "node"))
+            linked = _linked_pairs(verify(table["payload"].to_pylist()), chunk if cross[0] else None)
+            some = linked.any(1)
             if some.any():
-                yield pa.record_batch([pa.array(numbers[c][some]) for c in ("bucket", "node")], names=["bucket", "node"])
+                least = _least_connected(linked, node)
+                yield pa.record_batch([pa.array(node[some]), pa.array(least[some])], names=["node", "least"])
 
-    return _dealt(members).mapInArrow(compare, "bucket bigint, node bigint").distinct()
+    return _dealt(members).mapInArrow(compare, "node bigint, least bigint")
 
 
 def links_in_buckets(members: DataFrame, verify: Verify) -> DataFrame:

@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from catalog_signals.llm.text import checkpointed, straight_from_shuffle
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").bitwiseAND(2**31 - 1))).first())
+def _stars(edges: DataFrame) -> bool:
+    """Does every node that points somewhere point at one node only, which points nowhere?"""
+    ends = F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("out")), F.struct(F.col("v").alias("x"), F.lit(0).alias("out")))
+    nodes = edges.select(F.explode(ends).alias("e")).select("e.x", "e.out").groupBy("x").agg(
+        F.sum("out").alias("out"), F.min("out").alias("least")
+    )
+    return nodes.where("out > 1 or (out = 1 and least = 0)").isEmpty()
 
 
 def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -17,35 +22,26 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
 
     Edges go from the greater node ``u`` to the lesser ``v``. The large step points the greater
     neighbours of a node to its least neighbour, the small step the lesser ones; the number of edges
-    never grows, and after about log(nodes) rounds every node points at its least. Minima are taken in
-    every task before a shuffle, and joins can be split at a node with very many neighbours. Each
-    round is checkpointed; only a count and a checksum reach the driver.
+    never grows, and after about log(nodes) rounds every node points at its least, which is what ends
+    the rounds. Minima are taken in every task before a shuffle, and joins can be split at a node with
+    very many neighbours. Each round is checkpointed; no edge reaches the driver.
     """
     edges = links.where(F.col(a) != F.col(b)).select(
         F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
     )
     edges = checkpointed(edges.distinct())
-    seen = _fingerprint(edges)
-    while True:
-        both = edges.select(F.col("u").alias("x"), F.col("v").alias("y")).unionByName(
-            edges.select(F.col("v").alias("x"), F.col("u").alias("y"))
-        )
-        least = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"))
-        large = (
-            edges.join(straight_from_shuffle(least), F.col("v") == F.col("x"))
-            .select("u", F.col("m").alias("v"))
-            .distinct()
+    while not _stars(edges):
+        ways = F.array(
+            F.struct(F.col("u").alias("x"), F.col("v").alias("y")), F.struct(F.col("v").alias("x"), F.col("u").alias("y"))
         )
+        both = edges.select(F.explode(ways).alias("e")).select("e.x", "e.y")
+        least = both.groupBy("x").agg(F.min("y").alias("y")).select("x", F.least("x", "y").alias("m"))
+        large = edges.join(straight_from_shuffle(least), F.col("v") == F.col("x")).select("u", F.col("m").alias("v"))
         large = checkpointed(large)
         least = large.groupBy(F.col("u").alias("x")).agg(F.min("v").alias("m"))
-        small = large.join(straight_from_shuffle(least), F.col("u") == F.col("x")).select(
-            F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
-        )
+        turned = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
+        small = large.join(straight_from_shuffle(least), F.col("u") == F.col("x")).select(F.explode(turned).alias("e"))
         edges = checkpointed(small.select("e.u", "e.v").where("u <> v").distinct())
-        now = _fingerprint(edges)
-        if now == seen:
-            break
-        seen = now
     pointing = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return pointing.unionByName(roots)

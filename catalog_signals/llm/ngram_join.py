@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalog_signals.llm.buckets import chunked, links_in_buckets, promising, shared_buckets
-from catalog_signals.llm.components import resolved
+from catalog_signals.llm.buckets import chunked, links_in_buckets, rough_links, shared_buckets
+from catalog_signals.llm.components import connected_components, resolved
 from catalog_signals.llm.text import NULL_ID, checkpointed, document_key, straight_from_shuffle, text_of
 from catalog_signals.llm.words import mixed, runs, word_hashes
 
@@ -233,9 +233,10 @@ def _linked(documents: DataFrame, how: ChosenPaths) -> tuple[DataFrame, DataFram
     sketches = classes.select("node", "payload", F.lit(1).alias("weight"))
     placed = chunked(rows.withColumn("_size", F.lit(_BINS)), "_size").withColumnRenamed("node", "_n")
     rough = placed.join(sketches, F.col("_n") == F.col("node")).drop("_n")
-    rows = checkpointed(promising(rough, _maybe_similar(how.part, how.whole)))
-    rows = shared_buckets(rows).withColumnRenamed("node", "_n")
-    sized = rows.join(facts.select("node", (8 * F.col("size")).alias("_size")), F.col("_n") == F.col("node"))
+    rough = checkpointed(rough_links(rough, _maybe_similar(how.part, how.whole)))
+    # buckets whose members may be similar merge, so that a set travels to one place, and pairs meet once
+    merged = connected_components(rough, "node", "least").select(F.col("component").alias("bucket"), F.col("node").alias("_n"))
+    sized = merged.join(facts.select("node", (8 * F.col("size")).alias("_size")), F.col("_n") == F.col("node"))
     per_node = chunked(sized.drop("_n"), "_size").withColumnRenamed("node", "_n")
     wanted = per_node.join(facts.select("node", "weight", "first"), F.col("_n") == F.col("node")).drop("_n")
 
