@@ -34,10 +34,10 @@ class Subwords:
     lengths: tuple[int, ...] = (3, 4, 5)
     buckets: int = 1 << 17
     dimensions: int = 8
-    window: int = 8
-    average_steps: int = 20
+    window: int = 4
+    average_steps: int = 40
     window_steps: int = 60
-    rate: float = 0.5
+    rate: float = 0.2
     seed: int = 0
 
 
