@@ -22,6 +22,8 @@ from catalog_signals.llm.words import mixed
 _U = np.uint64
 #: Words whose value a worker remembers; it starts anew when there are more.
 _REMEMBERED = 500_000
+#: Words taken apart at a time.
+_AT_ONCE = 20_000
 _EDGES = ".,;:!?\"'()[]"
 
 
@@ -56,14 +58,22 @@ def subwords(words: list[str], how: Subwords) -> tuple[np.ndarray, np.ndarray]:
 
     The n-grams of ``<word>`` and the whole of it; the latter makes sure that there is one.
     """
+    parts = [_subwords(words[at : at + _AT_ONCE], how) for at in range(0, len(words), _AT_ONCE)]
+    if not parts:
+        return np.zeros(0, np.int32), np.zeros(1, np.int64)
+    counts = np.concatenate([count for _, count in parts])
+    return np.concatenate([bucket for bucket, _ in parts]), np.r_[0, np.cumsum(counts)]
+
+
+def _subwords(words: list[str], how: Subwords) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets, word by word, and how many each word has."""
     sizes = np.array([len(w) + 2 for w in words], np.int64)
     points = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32)
     points, ends = points.astype(_U) + _U(1), np.cumsum(sizes)
     owner = np.repeat(np.arange(len(words)), sizes)
     room = ends[owner] - np.arange(len(points))
     steps = mixed((sizes[owner] - room + 1).astype(_U))
-    whole = np.add.reduceat(points * steps, ends - sizes) if len(words) else points
-    found, owners = [mixed(whole)], [np.arange(len(words))]
+    found, owners = [mixed(np.add.reduceat(points * steps, ends - sizes))], [np.arange(len(words))]
     code = np.zeros(len(points), _U)
     for n in range(1, max(how.lengths) + 1):
         code = code[: max(len(points) - n + 1, 0)] * _U(0x9E3779B97F4A7C15) + points[n - 1 :]
@@ -72,9 +82,8 @@ def subwords(words: list[str], how: Subwords) -> tuple[np.ndarray, np.ndarray]:
             found.append(mixed(code[inside] + _U(n << 40)))
             owners.append(owner[: len(code)][inside])
     owner = np.concatenate(owners)
-    order = np.argsort(owner, kind="stable")
-    bucket = (np.concatenate(found) % _U(how.buckets)).astype(np.int64)[order]
-    return bucket, np.searchsorted(owner[order], np.arange(len(words) + 1))
+    bucket = (np.concatenate(found) % _U(how.buckets)).astype(np.int32)
+    return bucket[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words))
 
 
 def _plain(word: str) -> str:
@@ -126,16 +135,20 @@ def fit(texts: list[str], toxic: np.ndarray, share: float, how: Subwords) -> Mod
     held = np.arange(len(y)) % 4 == 3
     if len(set(y[~held])) < 2:
         return Model(how, np.zeros(how.buckets), 1.0, flat)
-    split = [[_plain(w) for w in text.split()] for text in texts]
     vocabulary: dict[str, int] = {}
-    tokens = np.array([vocabulary.setdefault(w, len(vocabulary)) for ws in split for w in ws], np.int64)
-    sizes = np.array([len(ws) for ws in split], np.int64)
+    parts = [
+        np.array([vocabulary.setdefault(_plain(w), len(vocabulary)) for w in text.split()], np.int32) for text in texts
+    ]
+    tokens, sizes = np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+    n_words = len(vocabulary)
     bucket, bounds = subwords(list(vocabulary), how)
     grams = np.diff(bounds)
-    doc = np.repeat(np.arange(len(y)), sizes)
-    inside = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    vocabulary.clear()
+    doc = np.repeat(np.arange(len(y), dtype=np.int32), sizes)
     counts = -(-sizes // how.window)
-    window = np.repeat(np.cumsum(counts) - counts, sizes) + inside // how.window
+    inside = np.arange(len(tokens), dtype=np.int32) - np.repeat((np.cumsum(sizes) - sizes).astype(np.int32), sizes)
+    window = np.repeat((np.cumsum(counts) - counts).astype(np.int32), sizes) + inside // how.window
+    del inside, parts
     n_windows, of = int(counts.sum()), np.repeat(np.arange(len(y)), counts)
     weight = np.where(y > 0, 0.5 / max((y[~held] > 0).sum(), 1), 0.5 / max((y[~held] == 0).sum(), 1)) * ~held
 
@@ -145,7 +158,7 @@ def fit(texts: list[str], toxic: np.ndarray, share: float, how: Subwords) -> Mod
     learn = [_Descent(p, how.rate) for p in (vectors, classes)]
     for step in range(how.average_steps + how.window_steps + 1):
         difference = classes[1] - classes[0]
-        values = vectors @ difference
+        values = (vectors @ difference).astype(np.float32)
         word = _means(values, bucket, bounds)
         sums = np.bincount(window, word[tokens], n_windows) / how.window
         best = np.full(len(y), -np.inf)
@@ -161,8 +174,8 @@ def fit(texts: list[str], toxic: np.ndarray, share: float, how: Subwords) -> Mod
             error = weight * (_sigmoid(best + bias) - y)
             each = np.where(top[window], error[doc] / how.window, 0.0)
             z = best + bias
-        per_word = np.bincount(tokens, each, len(vocabulary)) / grams
-        per_bucket = np.bincount(bucket, np.repeat(per_word, grams), how.buckets)
+        per_word = np.bincount(tokens, each, n_words) / grams
+        per_bucket = np.bincount(bucket, np.repeat(per_word.astype(np.float32), grams), how.buckets)
         toward = vectors.T @ per_bucket
         gradients = per_bucket[:, None] * difference, np.stack([-toward, toward])
         for parameter, descent, gradient in zip((vectors, classes), learn, gradients):

@@ -45,7 +45,7 @@ def test_misspellings_share_ngrams():
     assert len(sets[0] & sets[1]) > 10 > len(sets[0] & sets[2])
     one, _ = subwords(["garden"], how)
     assert sets[2] == set(one.tolist())
-    assert len(subwords([""], how)[0]) == 1 + 0 and subwords([], how)[0].size == 0
+    assert len(subwords([""], how)[0]) == 1 and subwords([], how)[0].size == 0
 
 
 def test_labels_of_held_out_documents_are_never_learnt(spark):
