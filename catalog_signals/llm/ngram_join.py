@@ -144,10 +144,13 @@ def _chosen(documents: DataFrame, how: ChosenPaths) -> DataFrame:
 
 
 def _with_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``wanted`` (with ``first``, the key of a document that has the set) and that document's text."""
+    """``wanted`` (with ``first``, the key of a document that has the set) and that document's text.
+
+    ``wanted`` grows with the documents, so the join is a merge join at every size, never a broadcast.
+    """
     keyed = documents.select(*document_key(documents), text_of().alias("text"))
     key = wanted.withColumns({"_d": F.col("first")["_doc"], "_t": F.col("first")["_text"]}).drop("first")
-    joined = keyed.join(key, (F.col("_doc") == F.col("_d")) & (F.col("_text") == F.col("_t")))
+    joined = keyed.join(key.hint("merge"), (F.col("_doc") == F.col("_d")) & (F.col("_text") == F.col("_t")))
     return joined.drop("_d", "_t").dropDuplicates(["_doc", "_text"]).drop("_doc", "_text")
 
 
