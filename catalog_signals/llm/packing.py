@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from catalog_signals.llm.text import NULL_ID, checkpointed, text_of
 
 _BUCKETS = 256
-#: Chunks whose tokens a worker remembers; it starts anew when there are more.
-_REMEMBERED = 1_000_000
+#: Chunks in either of the two generations that a worker remembers.
+_REMEMBERED = 300_000
 #: Bytes of text split into chunks at a time.
 _AT_ONCE = 1 << 19
 
@@ -42,18 +42,20 @@ class Packing:
 _WORD_AND_TAIL = re.compile(rb"([A-Za-z\x80-\xff]*[A-Za-z])([^A-Za-z\x80-\xff].*)", re.DOTALL)
 
 
-class _Tokens(dict):
+class _Tokens:
     """From a chunk of a text, as bytes without white space, to its token ids as bytes.
 
     White space never is part of a token here, nor does a token or a normalisation reach across it,
     so the ids of a text are those of its chunks in a row. A token doesn't reach from a letter to a
     character of another kind either, so most chunks are a word and a tail, which are learnt alone.
+    When the recent chunks are many, they become the older ones, which are forgotten unless needed.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.recent, self.older = {}, {}
         self.lowers = "Lowercase" in str(self.tokenizer.normalizer)
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True) if suffix else {}
@@ -77,26 +79,32 @@ class _Tokens(dict):
         ids |= {c: np.array(e.ids, "<u4").tobytes() for c, e in zip(others, encoded)}
         return [ids[c] for c in chunks]
 
-    def learn(self, chunks: set[bytes]) -> None:
-        new = [c for c in chunks if c not in self]
-        if len(self) + len(new) > _REMEMBERED:
-            self.clear()
-            new = list(chunks)
+    def learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
+        """A dictionary that has all the given chunks."""
+        if len(self.recent) > _REMEMBERED:
+            self.recent, self.older = {}, self.recent
+        recent, older = self.recent, self.older
+        new = [c for c in chunks if c not in recent]
+        if older:
+            recent.update({c: older[c] for c in new if c in older})
+            new = [c for c in new if c not in recent]
         parts = {c: m.groups() for c in new if (m := _WORD_AND_TAIL.fullmatch(c))}
         if self.lowers:
             parts = {c: (word.lower(), tail) for c, (word, tail) in parts.items()}
             whole = [c for c in new if c not in parts and b"<" not in c]
             parts |= {c: (low, b"") for c, low in zip(whole, map(bytes.lower, whole)) if c != low}
         wanted = {c for c in new if c not in parts}.union(*parts.values())
-        wanted = [c for c in wanted if c and c not in self]
-        self.update(zip(wanted, self.of_chunks([c.decode("utf-8", "replace") for c in wanted])))
+        recent.update({c: older[c] for c in wanted if c in older and c not in recent})
+        wanted = [c for c in wanted if c and c not in recent]
+        recent.update(zip(wanted, self.of_chunks([c.decode("utf-8", "replace") for c in wanted])))
         for chunk, (word, tail) in parts.items():
-            self[chunk] = self[word] + self[tail] if tail else self[word]
+            recent[chunk] = recent[word] + recent[tail] if tail else recent[word]
+        return recent
 
     def of_texts(self, texts: list[str]) -> list[bytes]:
         chunks = [text.encode("utf-8", "replace").split() for text in texts]
-        self.learn(set().union(*chunks))
-        return [b"".join(map(self.__getitem__, of_text)) for of_text in chunks]
+        find = self.learn(set().union(*chunks)).__getitem__
+        return [b"".join(map(find, of_text)) for of_text in chunks]
 
 
 #: A worker process serves many tasks; it keeps what it has learnt.
