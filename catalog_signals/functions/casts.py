@@ -20,6 +20,10 @@ WHITESPACE = (
 )
 DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
+_MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec"
+#: A time of day, then Z or an offset.
+_OFFSET = r":\d{2}(\.\d+)?\s*(Z|UTC|GMT|[+-]\d{2}:?\d{2})$"
+
 #: Money is summed in this type, so that a total does not depend on the order of its rows.
 EXACT_MONEY = "decimal(28,6)"
 
@@ -30,13 +34,15 @@ def clean_text(col: Column) -> Column:
 
 
 def safe_bigint(df: DataFrame, name: str) -> Column:
-    """Whole number, or NULL for anything else (``'1.5'``, ``'5d'``, ``'0x1F'``, overflow).
+    """Whole number, or NULL for anything else (``'1.5'``, ``'5d'``, ``'0x1F'``, overflow). ``'7.0'`` is 7.
 
     For text ``try_cast`` itself takes nothing but a sign, digits and surrounding white space.
     """
     col, dtype = F.col(name), df.schema[name].dataType
     if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
         return F.when(col == F.floor(col), col.try_cast("bigint"))
+    if isinstance(dtype, T.StringType):
+        return F.regexp_replace(col, r"(?<=\d)\.0*(?=\s*$)", "").try_cast("bigint")
     return col.try_cast("bigint")
 
 
@@ -46,11 +52,31 @@ def strict_bigint(name: str) -> Column:
 
 
 def safe_timestamp(df: DataFrame, name: str) -> Column:
-    """Zone-less timestamp, or NULL for text that is no date."""
+    """Zone-less timestamp, or NULL for text that is no date.
+
+    A moment, be it a TIMESTAMP or text with an offset, is read as the time in UTC, whatever the zone
+    of the session. Text may be ISO, ``6/1/2024``, ``20240601``, ``Jun 1, 2024`` or ``1 June 2024``.
+    """
     col, dtype = F.col(name), df.schema[name].dataType
-    if isinstance(dtype, T.TimestampNTZType):
-        return col
-    return col.try_cast("timestamp_ntz")
+    if isinstance(dtype, T.TimestampType):
+        return _in_utc(col)
+    if not isinstance(dtype, T.StringType):
+        return col.try_cast("timestamp_ntz")
+    text = clean_text(col)
+    iso = F.regexp_replace(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})\b", "$3-$1-$2")
+    iso = F.regexp_replace(iso, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    iso = F.regexp_replace(iso, r"^([A-Za-z]{3})[a-z]*\.? (\d{1,2}),? (\d{4})\b", "$3-$1-$2")
+    iso = F.regexp_replace(iso, r"^(\d{1,2}) ([A-Za-z]{3})[a-z]*\.? (\d{4})\b", "$3-$2-$1")
+    month = F.regexp_extract(iso, r"^\d{4}-([A-Za-z]{3})-", 1)
+    number = F.floor((F.instr(F.lit(_MONTHS), F.lower(month)) + 3) / 4)
+    named = F.concat(F.substring(iso, 1, 5), number.cast("string"), F.substring(iso, 9, 100))
+    iso = F.when(F.length(month) > 0, named).otherwise(iso)
+    return F.when(text.rlike(_OFFSET), _in_utc(text.try_cast("timestamp"))).otherwise(iso.try_cast("timestamp_ntz"))
+
+
+def _in_utc(moment: Column) -> Column:
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(moment), epoch)
 
 
 def is_true(df: DataFrame, name: str) -> Column:
@@ -67,14 +93,15 @@ def parse_money(df: DataFrame, name: str) -> Column:
     """Accounting text to a double: ``'$1,200.50'`` is 1200.5, ``'($45)'`` is -45.
 
     Parentheses around the whole text, once ``,`` and ``$`` are gone, mean a negative amount. ``nan``
-    and ``inf`` are no amounts.
+    and ``inf`` are no amounts, nor is what is too large for a double.
     """
     if isinstance(df.schema[name].dataType, T.NumericType):
         amount = F.col(name).cast("double")
         return F.when(F.abs(amount) < float("inf"), amount)
     text = F.translate(clean_text(F.col(name)), ",$", "")
     digits = F.translate(text, "()", "")
-    amount = F.when(digits.rlike(DECIMAL), digits.try_cast("double"))
+    number = digits.try_cast("double")
+    amount = F.when(digits.rlike(DECIMAL) & (F.abs(number) < float("inf")), number)
     bracketed = text.startswith("(") & text.endswith(")")
     return F.when(bracketed, -F.abs(amount)).otherwise(amount)
 

@@ -2,33 +2,43 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalog_signals.functions.casts import EXACT_MONEY
 from catalog_signals.operators.lookup import lookup_match_count
 from catalog_signals.operators.scope import scoped_service_types
 from catalog_signals.operators.versions import latest_version
-from catalog_signals.sources.scans import scan_lookup
+from catalog_signals.sources.scans import Clients, of_clients, scan_lookup, scan_subscriptions
 from catalog_signals.sources.tables import CatalogTables
 
 
 
-def source_row_audit(tables: CatalogTables) -> DataFrame:
-    """Per client: rows of each source, and catalogue rows before and after the dedupe by type.
+def source_row_audit(
+    tables: CatalogTables, clients: Clients = None, aliases: Mapping[str, Sequence[str]] | None = None
+) -> DataFrame:
+    """Per client: rows of each source, catalogue rows before and after the dedupe by type, and
+    subscriptions whose amount is given but can't be summed. Rows without a client are no one's.
 
     Each source is reduced to one row per client inside its tasks; the counts are then stacked and
     summed, so that no source has to be joined to another.
     """
-    versions = latest_version(scoped_service_types(tables.service_types), "clientId")
-    matched = lookup_match_count(versions, scan_lookup(tables.lookup))
+    versions = latest_version(scoped_service_types(tables.service_types, clients, aliases), "clientId")
+    matched = lookup_match_count(versions, scan_lookup(tables.lookup, clients))
 
     def rows_of(df: DataFrame, client: str = "clientID") -> DataFrame:
-        return df.groupBy(F.col(client).alias("clientId")).agg(F.count(F.lit(1)).alias("n"))
+        return of_clients(df, clients, client).groupBy(F.col(client).alias("clientId")).agg(
+            F.count(F.lit(1)).alias("n")
+        )
+
+    subscriptions = scan_subscriptions(tables.subscriptions, clients)
+    unread = F.col("amountText").isNotNull() & F.col("amount").try_cast(EXACT_MONEY).isNull()
 
     counts = {
         "service_types": rows_of(versions, "clientId"),
@@ -38,6 +48,7 @@ def source_row_audit(tables: CatalogTables) -> DataFrame:
         "after_dedupe": rows_of(versions.select("clientId", "TYPE_ID").distinct(), "clientId"),
         "appointments": rows_of(tables.visits),
         "subscriptions": rows_of(tables.subscriptions),
+        "unread_amounts": rows_of(subscriptions.where(unread), "clientId"),
     }
     stacked = reduce(
         DataFrame.unionByName,
@@ -64,7 +75,7 @@ def field_rows(schema: T.StructType, prefix: str = "") -> Iterator[tuple[str, st
 
 _FIELDS = (
     "table_name string, field_path string, field_type string, mode string, comment string, "
-    "table_comment string, error string"
+    "table_comment string, error string, num_rows bigint"
 )
 
 
@@ -74,11 +85,10 @@ def table_profile(
     """One row per table and field path, with the table's row count.
 
     A table is given as a catalogue name, a DataFrame, or a function that opens it. One that cannot be
-    opened yields a single row with the error. The counts are one aggregate per table, stacked into a
-    single job.
+    opened or counted yields a single row with the error, and the others their profile; hence a job of
+    its own for each count, which is a single number.
     """
     fields: list[tuple] = []
-    counts: list[DataFrame] = []
     for name, source in tables.items():
         table_comment = None
         try:
@@ -86,14 +96,9 @@ def table_profile(
                 df, table_comment = spark.table(source), spark.catalog.getTable(source).description
             else:
                 df = source() if callable(source) else source
-            rows = list(field_rows(df.schema))
-        except PySparkException as problem:
-            fields.append((name, None, None, None, None, None, str(problem)))
+            rows, total = list(field_rows(df.schema)), df.count()
+        except (PySparkException, Py4JError) as problem:
+            fields.append((name, None, None, None, None, None, str(problem), None))
             continue
-        fields += [(name, *row, table_comment, None) for row in rows]
-        total = df.agg(F.count(F.lit(1)).alias("num_rows"))
-        counts.append(total.select(F.lit(name).alias("table_name"), "num_rows"))
-    listed = spark.createDataFrame(fields, _FIELDS)
-    if not counts:
-        return listed.withColumn("num_rows", F.lit(None).cast("bigint"))
-    return listed.join(reduce(DataFrame.unionByName, counts), "table_name", "left")
+        fields += [(name, *row, table_comment, None, total) for row in rows]
+    return spark.createDataFrame(fields, _FIELDS)

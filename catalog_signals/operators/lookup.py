@@ -6,25 +6,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalog_signals.operators.signals import mapping_text
-from catalog_signals.operators.spread import spread_join
+from catalog_signals.operators.spread import splittable_join
 
 _BY_NAME = ["clientId", "serviceType"]
+#: Copies that are written out at a time.
+_BLOCK = 4096
 
 
 def _join_by_name(types: DataFrame, named: DataFrame) -> DataFrame:
     """``named`` joined to types whose DESCRIPTION equals its ``serviceType``; NULL equals NULL.
 
-    One description may belong to a third of all types, hence the spreading, by type id.
+    One description may belong to a third of all types, hence a join that can be split.
     """
     keyed = named.withColumnRenamed("serviceType", "DESCRIPTION")
-    return spread_join(
-        types, keyed, ["clientId", "DESCRIPTION"], ["TYPE_ID"], null_safe=["DESCRIPTION"]
-    )
+    return splittable_join(types, keyed, ["clientId", "DESCRIPTION"], null_safe=["DESCRIPTION"])
+
+
+def best_text(column: str = "isRecurring") -> Column:
+    """Aggregate: the greatest mapping text that says TRUE or FALSE, else the greatest of all."""
+    usable = F.coalesce(mapping_text(F.col(column)).isin("TRUE", "FALSE"), F.lit(False))
+    return F.max(F.struct(usable.alias("usable"), F.col(column).alias("text")))["text"]
 
 
 def lookup_attach(types: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Adds ``isRecurring``; where the lookup is ambiguous the greatest non-null text wins."""
-    one_per_name = lookup.groupBy(*_BY_NAME).agg(F.max("isRecurring").alias("isRecurring"))
+    """Adds ``isRecurring``; where the lookup is ambiguous, a text that says TRUE or FALSE wins over
+    one that says neither, then the greatest."""
+    one_per_name = lookup.groupBy(*_BY_NAME).agg(best_text().alias("isRecurring"))
     return _join_by_name(types, one_per_name)
 
 
@@ -41,9 +48,16 @@ def lookup_attach_copies(types: DataFrame, lookup: DataFrame) -> DataFrame:
 
 
 def expand_copies(df: DataFrame) -> DataFrame:
-    """Each row ``copies`` times; a narrow step, to be the last one."""
-    repeated = df.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return repeated.drop("_copy", "copies")
+    """Each row ``copies`` times; a narrow step, to be the last one.
+
+    In two levels, so that no task holds an array as long as the number of copies.
+    """
+    block = F.lit(_BLOCK).cast("bigint")
+    first = F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("copies") / block) - 1)
+    blocks = df.where("copies > 0").withColumn("_block", F.explode(first))
+    inside = F.least(block, F.col("copies") - F.col("_block") * block)
+    repeated = blocks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), inside)))
+    return repeated.drop("_block", "_copy", "copies")
 
 
 def lookup_attach_fanout(types: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -80,7 +94,7 @@ def name_facts(types: DataFrame, lookup: DataFrame) -> DataFrame:
     )
     sums = [F.sum(n).alias(n) for n in ("n_true", "n_false", "n_other", "n_types")]
     facts = from_lookup.unionByName(from_types).groupBy(*_BY_NAME)
-    return facts.agg(F.max("isRecurring").alias("isRecurring"), *sums)
+    return facts.agg(best_text().alias("isRecurring"), *sums)
 
 
 def repeated_names(types: DataFrame) -> DataFrame:
@@ -133,27 +147,15 @@ def reference_mismatch(types: DataFrame, merged: DataFrame) -> DataFrame:
     """Types that the validation table lacks or describes differently (NULL counts as lacking).
 
     A type is repeated for each of its differing validation rows. Those rows are counted per
-    distinct description first, and spread by it, so a type with very many of them is no bottleneck.
+    distinct description first, and one left join serves the lacking and the differing types.
     """
     mine = types.select("clientId", "TYPE_ID", "DESCRIPTION")
-    keys = ["clientId", "TYPE_ID"]
-    known = merged.select(F.col("clientId").alias("_client"), F.col("TYPE_ID").alias("_type")).distinct()
+    theirs = merged.groupBy(
+        F.col("clientId").alias("_client"), F.col("TYPE_ID").alias("_type"),
+        F.col("DESCRIPTION").alias("DESCRIPTION_MERGED"),
+    ).agg(F.count(F.lit(1)).alias("copies"))
     same_type = (F.col("clientId") == F.col("_client")) & F.col("TYPE_ID").eqNullSafe(F.col("_type"))
-    lacking = mine.join(known, same_type, "left_anti").select(
-        "*", F.lit(None).cast("string").alias("DESCRIPTION_MERGED")
-    )
-    theirs = (
-        merged.withColumnRenamed("DESCRIPTION", "DESCRIPTION_MERGED")
-        .groupBy(*keys, "DESCRIPTION_MERGED")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
+    joined = mine.join(theirs, same_type, "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
     merged_text = F.col("DESCRIPTION_MERGED")
-    differing = expand_copies(
-        spread_join(
-            theirs, mine, keys, ["DESCRIPTION_MERGED"], "inner", null_safe=["TYPE_ID"], salts=4
-        ).where(
-            merged_text.isNull() | ~merged_text.eqNullSafe(F.col("DESCRIPTION"))
-        )
-    )
-    columns = [*keys, "DESCRIPTION", "DESCRIPTION_MERGED"]
-    return lacking.select(columns).unionByName(differing.select(columns))
+    differing = joined.where(merged_text.isNull() | ~merged_text.eqNullSafe(F.col("DESCRIPTION")))
+    return expand_copies(differing.select("clientId", "TYPE_ID", "DESCRIPTION", "DESCRIPTION_MERGED", "copies"))

@@ -20,11 +20,11 @@ def visit_counts(visits: DataFrame) -> DataFrame:
 
 def active_revenue(subscriptions: DataFrame) -> DataFrame:
     """Revenue per (client, type) over active subscriptions. A row exists wherever there is an active
-    subscription; its revenue is NULL if no amount is readable."""
+    subscription; its revenue is NULL if no amount is readable, or none fits the money type."""
     return (
         subscriptions.where("isActive and TYPE_ID is not null")
         .groupBy(*_TYPE)
-        .agg(F.sum(F.col("amount").cast(EXACT_MONEY)).alias("revenue"))
+        .agg(F.try_sum(F.col("amount").try_cast(EXACT_MONEY)).alias("revenue"))
     )
 
 
@@ -39,7 +39,7 @@ def share_of_client(df: DataFrame, value: str, share: str) -> DataFrame:
     The total is aggregated and joined back. A window over the client would gather all of a client's
     rows in one task; this way each task reduces its rows to one per client first.
     """
-    totals = df.groupBy("clientId").agg(F.sum(value).alias("_total"))
+    totals = df.groupBy("clientId").agg(F.try_sum(value).alias("_total"))
     joined = with_client_total(df, totals)
     return joined.withColumn(share, share_pct(F.col(value), F.col("_total")))
 

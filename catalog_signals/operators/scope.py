@@ -2,35 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog_signals.sources.scans import of_clients
+from catalog_signals.sources.scans import Clients, of_clients, requested_clients
 from catalog_signals.sources.tables import CatalogTables
 
-MAX_BROADCAST_PAIRS = 100_000
-
 
 def distinct_clients(raw: DataFrame) -> DataFrame:
     return of_clients(raw, None, "CLIENT").select(F.col("CLIENT").alias("clientId")).distinct()
 
 
-def requested_clients(
-    explicit: str | Iterable[str] | None = None, fallback: str | Iterable[str] | None = None
-) -> list[str] | None:
-    """The explicit list if it is not empty, else the fallback, else ``None`` for every client.
-
-    Text is split at commas; entries are stripped and blank ones dropped.
-    """
-    for wanted in (explicit, fallback):
-        if wanted:
-            entries = wanted.split(",") if isinstance(wanted, str) else wanted
-            return list(dict.fromkeys(c.strip() for c in entries if c.strip()))
-    return None
-
-
 def tenant_rollup(
     df: DataFrame,
     aliases: Mapping[str, Sequence[str]],
@@ -40,22 +24,23 @@ def tenant_rollup(
     """Rows of the aliased clients in column ``source``, each under its logical client in ``logical``.
 
     ``aliases`` maps a logical client to its sources. A source of several logical clients appears
-    once under each. The pairs are a Python literal; only a short one is broadcast.
+    once under each, named twice or not. Spark knows the size of the pairs, a Python literal.
     """
-    pairs = [(s, name) for name, sources in aliases.items() for s in sources]
+    pairs = list(dict.fromkeys((s, name) for name, sources in aliases.items() for s in sources))
     table = df.sparkSession.createDataFrame(pairs, "_source string, _logical string")
-    if len(pairs) <= MAX_BROADCAST_PAIRS:
-        table = F.broadcast(table)
     rows = of_clients(df, list(dict.fromkeys(s for s, _ in pairs)), source)
     joined = rows.join(table, F.col(source) == F.col("_source")).drop("_source")
     return joined.withColumn(logical, F.col("_logical")).drop("_logical")
 
 
 def _asked_aliases(
-    clients: Sequence[str] | None, aliases: Mapping[str, Sequence[str]] | None
+    clients: Clients, aliases: Mapping[str, Sequence[str]] | None
 ) -> dict[str, Sequence[str]]:
-    """Sources of every asked-for client, if any of them is a logical one; else nothing."""
-    known = aliases or {}
+    """Sources of every asked-for client, if any of them is a logical one; else nothing. Logical
+    clients are asked for by name, not by a DataFrame."""
+    known, clients = aliases or {}, requested_clients(clients)
+    if isinstance(clients, DataFrame):
+        return {}
     if not any(c in known for c in clients or ()):
         return {}
     return {c: known.get(c, [c]) for c in clients}
@@ -63,7 +48,7 @@ def _asked_aliases(
 
 def scoped_service_types(
     raw: DataFrame,
-    clients: Sequence[str] | None = None,
+    clients: Clients = None,
     aliases: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Raw service types with the client they are analysed under in ``clientId``.
@@ -79,7 +64,7 @@ def scoped_service_types(
 
 def roll_up_facts(
     tables: CatalogTables,
-    clients: Sequence[str] | None,
+    clients: Clients,
     aliases: Mapping[str, Sequence[str]] | None,
 ) -> CatalogTables:
     """The tables with visits, subscriptions, lookup and validation rows of the sources moved to the

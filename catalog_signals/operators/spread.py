@@ -11,6 +11,28 @@ from pyspark.sql import functions as F
 SALTS = 16
 
 
+def splittable_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str = "left",
+    null_safe: Sequence[str] = (),
+) -> DataFrame:
+    """Join ``right``, an aggregate with one row per key, to ``left``, with possibly a hot key.
+
+    ``right`` is dealt out anew, so that both sides reach the join straight from a shuffle on the key;
+    adaptive execution then splits a hot key of ``left``, and no row is replicated for a cold one.
+    """
+    payload = [c for c in right.columns if c not in on]
+    parts = int(right.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = right.select(*[F.col(k).alias(f"_key_{k}") for k in on], *payload).repartition(parts)
+    condition = F.lit(True)
+    for key in on:
+        mine, theirs = F.col(key), F.col(f"_key_{key}")
+        condition &= mine.eqNullSafe(theirs) if key in null_safe else mine == theirs
+    return left.join(dealt, condition, how).select(*left.columns, *payload)
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,

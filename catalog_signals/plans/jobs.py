@@ -8,9 +8,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from catalog_signals.config import DEFAULTS, Params
-from catalog_signals.plans.outputs import activity_filter, review_queue_unfiltered
-from catalog_signals.plans.report import build_report
+from catalog_signals.operators.audit import source_row_audit
+from catalog_signals.operators.lookup import reference_mismatch
+from catalog_signals.operators.scope import roll_up_facts, scoped_service_types
+from catalog_signals.operators.versions import latest_types
+from catalog_signals.plans.outputs import activity_filter, review_metrics, review_queue_unfiltered
+from catalog_signals.plans.report import analysed, build_report
 from catalog_signals.plans.share_report import share_report
+from catalog_signals.sources.scans import Clients, requested_clients, scan_merged_service_types
 from catalog_signals.sources.sinks import write_path, write_per_client, write_report
 from catalog_signals.sources.tables import CatalogTables
 
@@ -19,26 +24,41 @@ def run_report(
     tables: CatalogTables,
     as_of: dt.datetime | str,
     folder: str,
-    clients: Sequence[str] | None = None,
+    clients: Clients = None,
     aliases: Mapping[str, Sequence[str]] | None = None,
     params: Params = DEFAULTS,
+    roll_up: bool = False,
 ) -> dict[str, DataFrame]:
-    """The types in use: full report, review queue, splits, and ``clients``, one folder per client."""
+    """The types in use: full report, review queue, splits, and ``clients``, one folder per client; and
+    what the inputs and the evidence are worth: ``mismatches``, ``audit`` and ``metrics``."""
+    clients = requested_clients(clients)
+    if roll_up:
+        tables = roll_up_facts(tables, clients, aliases)
     report = activity_filter(build_report(tables, as_of, clients, aliases, params=params))
     written = write_report(report, folder)
-    write_per_client(written["report"], f"{folder}/clients")
-    return written
+    covered = [r[0] for r in clients.distinct().collect()] if isinstance(clients, DataFrame) else clients
+    write_per_client(written["report"], f"{folder}/clients", clients=covered)
+    types = latest_types(scoped_service_types(tables.service_types, clients, aliases), "clientId")
+    checks = {
+        "mismatches": reference_mismatch(types, scan_merged_service_types(tables.merged_service_types, clients)),
+        "audit": source_row_audit(tables, clients, aliases),
+        "metrics": review_metrics(analysed(tables, as_of, clients, aliases, params=params)),
+    }
+    return written | {name: write_path(df, f"{folder}/{name}") for name, df in checks.items()}
 
 
 def run_unfiltered_report(
     tables: CatalogTables,
     as_of: dt.datetime | str,
     folder: str,
-    clients: Sequence[str] | None = None,
+    clients: Clients = None,
     aliases: Mapping[str, Sequence[str]] | None = None,
     params: Params = DEFAULTS,
+    roll_up: bool = False,
 ) -> dict[str, DataFrame]:
     """Every catalogue row, once per lookup match, with expired types in the review queue too."""
+    if roll_up:
+        tables = roll_up_facts(tables, clients, aliases)
     report = build_report(tables, as_of, clients, aliases, dedupe=False, ranks=False, params=params)
     return write_report(report, folder, review_queue_unfiltered)
 
@@ -46,8 +66,12 @@ def run_unfiltered_report(
 def run_share_report(
     tables: CatalogTables,
     folder: str,
-    clients: Sequence[str] | None = None,
+    clients: Clients = None,
     aliases: Mapping[str, Sequence[str]] | None = None,
+    roll_up: bool = False,
 ) -> DataFrame:
-    """Visit shares per client and service."""
+    """Visit shares per client and service. ``roll_up``, in all three runs, moves the facts of aliased
+    sources to the logical clients that are asked for."""
+    if roll_up:
+        tables = roll_up_facts(tables, clients, aliases)
     return write_path(share_report(tables, clients, aliases), f"{folder}/appointment_share")

@@ -50,7 +50,7 @@ from catalog_signals.operators.signals import (
     mapping_signal,
 )
 from catalog_signals.operators.versions import latest_types, latest_version, version_order
-from catalog_signals.sources.scans import scan_lookup, scan_subscriptions, scan_visits
+from catalog_signals.sources.scans import Clients, requested_clients, scan_lookup, scan_subscriptions, scan_visits
 from catalog_signals.sources.tables import CatalogTables
 
 _TYPE = ["clientId", "TYPE_ID"]
@@ -145,7 +145,7 @@ def _named_versions(types: DataFrame, names: DataFrame) -> DataFrame:
 
 def evidence_frame(
     tables: CatalogTables,
-    clients: Sequence[str] | None = None,
+    clients: Clients = None,
     aliases: Mapping[str, Sequence[str]] | None = None,
     dedupe: bool = True,
     ranks: bool = True,
@@ -153,6 +153,7 @@ def evidence_frame(
 ) -> DataFrame:
     """Catalogue rows with every signal, the usage figures and, with ``ranks``, the top-k marks.
     ``copies`` is the number of report rows a row stands for (1 with ``dedupe``)."""
+    clients = requested_clients(clients)
     raw = scoped_service_types(tables.service_types, clients, aliases)
     types = latest_types(raw, "clientId") if dedupe else latest_version(raw, "clientId")
     names = name_facts(types, scan_lookup(tables.lookup, clients))
@@ -179,7 +180,7 @@ def evidence_frame(
 def analysed(
     tables: CatalogTables,
     as_of: dt.datetime | str,
-    clients: Sequence[str] | None = None,
+    clients: Clients = None,
     aliases: Mapping[str, Sequence[str]] | None = None,
     dedupe: bool = True,
     ranks: bool = True,
@@ -234,7 +235,7 @@ def to_report(rows: DataFrame) -> DataFrame:
 def build_report(
     tables: CatalogTables,
     as_of: dt.datetime | str,
-    clients: Sequence[str] | None = None,
+    clients: Clients = None,
     aliases: Mapping[str, Sequence[str]] | None = None,
     dedupe: bool = True,
     ranks: bool = True,

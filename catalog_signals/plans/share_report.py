@@ -11,7 +11,7 @@ from catalog_signals.operators.ranking import share_of_client, visit_counts
 from catalog_signals.operators.scope import distinct_clients, scoped_service_types
 from catalog_signals.operators.spread import spread_join
 from catalog_signals.operators.versions import latest_types
-from catalog_signals.sources.scans import scan_visits
+from catalog_signals.sources.scans import Clients, requested_clients, scan_visits
 from catalog_signals.sources.tables import CatalogTables
 
 UNKNOWN_SERVICE = "<unknown>"
@@ -19,13 +19,14 @@ UNKNOWN_SERVICE = "<unknown>"
 
 def share_report(
     tables: CatalogTables,
-    clients: Sequence[str] | None = None,
+    clients: Clients = None,
     aliases: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Clients ascending, busiest services first. A service without a description shows its id.
 
     Without a client list, the clients are those of the catalogue.
     """
+    clients = requested_clients(clients)
     raw = scoped_service_types(tables.service_types, clients, aliases)
     names = latest_types(raw, "clientId").select(
         F.col("clientId").alias("_client"), F.col("TYPE_ID").alias("_type"), "DESCRIPTION"

@@ -6,7 +6,7 @@ a pushed-down predicate.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,29 +20,46 @@ from catalog_signals.functions.casts import (
     strict_bigint,
 )
 
-#: Longer client lists are joined rather than spelled out in the predicate.
-MAX_IN_LIST = 1000
+#: Which clients a run is for: names, names in a text, a DataFrame with one column of names, or all.
+Clients = str | Iterable[str] | DataFrame | None
 
 
-def of_clients(df: DataFrame, clients: Sequence[str] | None, column: str) -> DataFrame:
+def requested_clients(explicit: Clients = None, fallback: Clients = None) -> list[str] | DataFrame | None:
+    """The explicit clients if there are any, else the fallback, else ``None`` for every client.
+
+    Text is split at commas; entries are stripped and blank ones dropped. A DataFrame stays one.
+    """
+    for wanted in (explicit, fallback):
+        if isinstance(wanted, DataFrame):
+            return wanted
+        if wanted:
+            entries = wanted.split(",") if isinstance(wanted, str) else wanted
+            return list(dict.fromkeys(c.strip() for c in entries if c.strip()))
+    return None
+
+
+def of_clients(df: DataFrame, clients: Clients, column: str) -> DataFrame:
     """Rows of the given clients; for ``None`` of every client. A row without a client is no one's.
 
+    Names, however many, become a predicate that reaches the scan; a DataFrame of names is joined.
+
     Saying so here, rather than leaving it to the joins that imply it, gives all branches of a plan
     the same scan, which Spark then reads and shuffles once (ReusedExchange).
     """
-    if clients is None:
+    wanted = requested_clients(clients)
+    if wanted is None:
         return df.where(F.col(column).isNotNull())
-    if len(clients) <= MAX_IN_LIST:
-        return df.where(F.col(column).isin(list(clients)))
-    wanted = df.sparkSession.createDataFrame([(c,) for c in dict.fromkeys(clients)], f"`{column}` string")
-    return df.join(wanted, column, "left_semi")
+    if isinstance(wanted, DataFrame):
+        names = wanted.select(F.col(wanted.columns[0]).alias("_wanted"))
+        return df.join(names, F.col(column) == F.col("_wanted"), "left_semi")
+    return df.where(F.col(column).isin(wanted))
 
 
 def flag_columns(df: DataFrame) -> list[Column]:
     return [safe_bigint(df, flag).alias(f"API_{flag}") for flag in FLAGS]
 
 
-def scan_merged_service_types(df: DataFrame, clients: Sequence[str] | None = None) -> DataFrame:
+def scan_merged_service_types(df: DataFrame, clients: Clients = None) -> DataFrame:
     return of_clients(df, clients, "clientID").select(
         F.col("clientID").alias("clientId"),
         strict_bigint("typeID").alias("TYPE_ID"),
@@ -50,7 +67,7 @@ def scan_merged_service_types(df: DataFrame, clients: Sequence[str] | None = Non
     )
 
 
-def scan_visits(df: DataFrame, clients: Sequence[str] | None = None) -> DataFrame:
+def scan_visits(df: DataFrame, clients: Clients = None) -> DataFrame:
     return of_clients(df, clients, "clientID").select(
         F.col("clientID").alias("clientId"),
         safe_bigint(df, "type").alias("TYPE_ID"),
@@ -59,9 +76,12 @@ def scan_visits(df: DataFrame, clients: Sequence[str] | None = None) -> DataFram
     )
 
 
-def scan_subscriptions(df: DataFrame, clients: Sequence[str] | None = None) -> DataFrame:
+def scan_subscriptions(df: DataFrame, clients: Clients = None) -> DataFrame:
     """Subscriptions with their amount as a number. Amounts are parsed only where they are used:
-    Catalyst drops the column, and its parsing, from plans that need presence alone."""
+    Catalyst drops the column, and its parsing, from plans that need presence alone. Without the
+    column there are no amounts, hence no revenue, and everything else goes on."""
+    if "annualRecurringServices" not in df.columns:
+        df = df.withColumn("annualRecurringServices", F.lit(None).cast("string"))
     return of_clients(df, clients, "clientID").select(
         F.col("clientID").alias("clientId"),
         F.col("subscriptionID").alias("subscriptionId"),
@@ -72,7 +92,7 @@ def scan_subscriptions(df: DataFrame, clients: Sequence[str] | None = None) -> D
     )
 
 
-def scan_lookup(df: DataFrame, clients: Sequence[str] | None = None) -> DataFrame:
+def scan_lookup(df: DataFrame, clients: Clients = None) -> DataFrame:
     return of_clients(df, clients, "clientId").select(
         "clientId", "serviceType", F.col("isRecurring").cast("string").alias("isRecurring")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,22 +44,37 @@ def write_report(
     return {"report": written, **{n: write_path(df, f"{folder}/{n}") for n, df in parts.items()}}
 
 
-def write_per_client(report: DataFrame, path: str, fmt: str = "parquet") -> None:
+def write_per_client(
+    report: DataFrame, path: str, fmt: str = "parquet", clients: Sequence[str] | None = None
+) -> None:
     """One folder per client; a run replaces the folders of the clients it covers and no others.
 
-    ``rebalance`` gathers a client's rows into few files, and splits those of a huge client.
+    ``clients`` are those that the run covers, ``None`` for all: those without any row left lose their
+    folder. ``rebalance`` gathers a client's rows into few files, and splits those of a huge client.
     """
+    if clients is not None:
+        _delete_folders(report.sparkSession, path, clients)
     (
         conform(report)
         .hint("rebalance", "Client")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if clients is None else "dynamic")
         .partitionBy("Client")
         .format(fmt)
         .save(path)
     )
 
 
+def _delete_folders(spark: SparkSession, path: str, clients: Sequence[str]) -> None:
+    """The folders of the given clients, in whatever store the path names."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    escaped = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    for client in clients:
+        store.delete(jvm.org.apache.hadoop.fs.Path(root, escaped("Client", client)), True)
+
+
 def read_client_report(
     spark: SparkSession, path: str, client: str, fmt: str = "parquet"
 ) -> dict[str, DataFrame]:

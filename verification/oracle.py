@@ -16,7 +16,8 @@ API = ", ".join(f"API_{f}" for f in FLAGS)
 
 
 def _integer(col: str) -> str:
-    return rf"CASE WHEN regexp_matches({col}, '^\s*[+-]?\d+\s*$') THEN TRY_CAST({col} AS BIGINT) END"
+    whole = rf"regexp_replace({col}, '\.0*\s*$', '')"
+    return rf"CASE WHEN regexp_matches({col}, '^\s*[+-]?\d+(\.0*)?\s*$') THEN TRY_CAST({whole} AS BIGINT) END"
 
 
 def _has_word(text: str, words: tuple[str, ...]) -> str:
@@ -75,7 +76,8 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "visits": (
         ("appointments",),
         f"SELECT clientID AS clientId, {_integer('type')} AS TYPE_ID, individualAccountID AS accountId, "
-        "appointmentDate AS visitDate FROM appointments",
+        "try_strptime(appointmentDate, ['%Y-%m-%d %H:%M:%S', '%Y-%m-%d', '%m/%d/%Y', '%Y%m%d', '%b %d, %Y']) "
+        "AS visitDate FROM appointments",
     ),
     "subs": (
         ("subscriptions",),
@@ -84,7 +86,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                CASE WHEN regexp_matches(t, '^\(.*\)$') THEN -abs(num) ELSE num END AS amount
         FROM (
             SELECT *, CASE WHEN regexp_matches(d, '^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$')
-                           THEN TRY_CAST(d AS DOUBLE) END AS num
+                           THEN CASE WHEN isfinite(TRY_CAST(d AS DOUBLE)) THEN TRY_CAST(d AS DOUBLE) END END AS num
             FROM (
                 SELECT *, regexp_replace(t, '[()]', '', 'g') AS d
                 FROM (
@@ -102,7 +104,8 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "lookup_one": (
         ("recurring_lookup",),
-        "SELECT clientId, serviceType, max(isRecurring) AS isRecurring FROM recurring_lookup GROUP BY ALL",
+        "SELECT clientId, serviceType, list(isRecurring ORDER BY upper(trim(isRecurring)) IN ('TRUE', 'FALSE') "
+        "DESC NULLS LAST, isRecurring DESC NULLS LAST)[1] AS isRecurring FROM recurring_lookup GROUP BY ALL",
     ),
     "attached": (
         ("types", "lookup_one"),
@@ -178,11 +181,11 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM (
             SELECT *, sum(revenue) OVER (PARTITION BY clientId) AS total
             FROM (
-                SELECT clientId, TYPE_ID, sum(CAST(amount AS DECIMAL(28, 6))) AS revenue
+                SELECT clientId, TYPE_ID, sum(TRY_CAST(amount AS DECIMAL(28, 6))) AS revenue
                 FROM subs WHERE isActive AND TYPE_ID IS NOT NULL AND amount IS NOT NULL GROUP BY ALL
             ) a
         ) b
-        WHERE total > 0
+        WHERE total > 0 AND revenue IS NOT NULL
         """,
     ),
     "client_visits": (("visits",), "SELECT clientId, count(*) AS client_n FROM visits GROUP BY ALL"),
@@ -433,6 +436,16 @@ _AUDITED = {
     "after_dedupe": _count("clientId", "types", "after_dedupe"),
     "appointments": _count("clientID", "appointments", "appointments"),
     "subscriptions": _count("clientID", "subscriptions", "subscriptions"),
+    "unread_amounts": _count(
+        "clientId", "(SELECT * FROM subs WHERE amountText IS NOT NULL AND TRY_CAST(amount AS DECIMAL(28, 6)) IS NULL) s",
+        "unread_amounts",
+    ),
+}
+
+#: Of the fact tables: their client column.
+_FACTS = {
+    "merged_service_types": ("merged_service_type", "clientID"), "visits": ("appointments", "clientID"),
+    "subscriptions": ("subscriptions", "clientID"), "lookup": ("recurring_lookup", "clientId"),
 }
 
 _SPARK_TYPES = """
@@ -453,6 +466,14 @@ ORACLE: dict[str, str] = {
     "tenant_rollup": _sql(
         f"SELECT {_TYPE_COLUMNS}, sourceClient FROM rolled_versions", "rolled_versions"
     ),
+    "tenant_rollup_facts": _sql(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, 'COMPACT' AS clientId, count(*) AS n FROM {view} "
+            f"WHERE {client} IN ('SMALL', 'MEDIUM')"
+            for name, (view, client) in _FACTS.items()
+        ),
+        "merged_service_type", "appointments", "subscriptions", "recurring_lookup",
+    ),
     "dedupe_by_key": _sql(
         f"SELECT {_TYPE_COLUMNS} FROM rolled_versions QUALIFY row_number() OVER "
         "(PARTITION BY clientId, TYPE_ID ORDER BY DATE_LOADED DESC, sourceClient) = 1",
@@ -607,8 +628,8 @@ ORACLE: dict[str, str] = {
         + ", ".join(
             f"CAST(coalesce(sum(n) FILTER (WHERE source = '{s}'), 0) AS BIGINT) AS {s}" for s in _AUDITED
         )
-        + f" FROM ({' UNION ALL '.join(_AUDITED.values())}) q GROUP BY clientId",
-        "types", "merged_service_type", "recurring_lookup", "fanned", "appointments", "subscriptions",
+        + f" FROM ({' UNION ALL '.join(_AUDITED.values())}) q WHERE clientId IS NOT NULL GROUP BY clientId",
+        "types", "merged_service_type", "recurring_lookup", "fanned", "appointments", "subscriptions", "subs",
     ),
     "review_metrics": _sql(
         """

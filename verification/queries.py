@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,6 +84,20 @@ def _rolled_up(t: CatalogTables) -> DataFrame:
     return latest_version(raw, "clientId")
 
 
+def _rolled_up_facts(t: CatalogTables) -> DataFrame:
+    """Rows of every fact table of the sources of a logical client, under that client."""
+    moved = scope.roll_up_facts(t, "COMPACT", ALIASES)
+    columns = {
+        "merged_service_types": "clientID", "visits": "clientID", "subscriptions": "clientID", "lookup": "clientId",
+    }
+    counts = [
+        getattr(moved, name).groupBy(F.col(c).alias("clientId")).agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(name).alias("table_name"), "clientId", "n")
+        for name, c in columns.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def _api_signals(t: CatalogTables) -> DataFrame:
     flags = [f"API_{f}" for f in FLAGS]
     found = [f"flagged_{s}" for s in SIGNALS]
@@ -143,12 +158,13 @@ def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "clients_distinct": _on_tables(lambda t: scope.distinct_clients(t.service_types)),
     "latest_version": _on_tables(
-        lambda t: latest_version(t.service_types).select(SERVICE_TYPE_COLUMNS)
+        lambda t: latest_version(scans.of_clients(t.service_types, None, "CLIENT")).select(SERVICE_TYPE_COLUMNS)
     ),
     "client_selection": _on_tables(_selected),
     "tenant_rollup": _on_tables(
         lambda t: _rolled_up(t).select(*SERVICE_TYPE_COLUMNS, "sourceClient")
     ),
+    "tenant_rollup_facts": _on_tables(_rolled_up_facts),
     "dedupe_by_key": _on_tables(lambda t: dedupe_types(_rolled_up(t)).select(SERVICE_TYPE_COLUMNS)),
     "lookup_attach": _on_tables(
         lambda t: lookup.lookup_attach(_types(t).select(*KEYS, "DESCRIPTION"), _lookup(t))

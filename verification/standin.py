@@ -1,8 +1,9 @@
 """The five input tables, stood in for by the driver's TPC-H-like tables.
 
-Plain SQL that Spark and DuckDB both accept: client = part type, service type = brand number, account =
-customer number modulo 100, visit = line item. The source data is clean; the CASE arms add NULLs,
-malformed numbers and accounting text deterministically.
+Plain SQL that Spark and DuckDB both accept: client = part type, service type = ten part numbers, account
+= customer, visit and subscription = line item, so that types and accounts grow with the scale factor.
+A customer's visits are of three neighbouring parts. The source data is clean; the CASE arms add NULLs,
+malformed numbers, dates in several spellings and accounting text deterministically.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ PARAMS = Params(keywords=KEYWORDS)
 
 VIEWS = {
     "service_type_raw": """
-        SELECT p_type AS CLIENT, substr(p_brand, 7) AS TYPE_ID,
+        SELECT CASE WHEN p_partkey % 101 = 7 THEN NULL ELSE p_type END AS CLIENT,
+               CAST(CAST(floor(p_partkey / 10) AS BIGINT) AS STRING) AS TYPE_ID,
                CASE WHEN p_partkey % 41 = 0 THEN NULL ELSE p_name END AS DESCRIPTION,
                CASE WHEN p_partkey % 11 = 0 THEN 'n/a' WHEN p_partkey % 13 = 0 THEN NULL
                     ELSE CAST(p_partkey % 3 AS STRING) END AS RESERVICE,
@@ -55,25 +57,39 @@ VIEWS = {
         FROM part
         UNION ALL
         SELECT DISTINCT p_type, p_name, 'TRUE' FROM part WHERE p_name LIKE 'hot %'
+        UNION ALL
+        SELECT DISTINCT p_type, p_name, 'unknown' FROM part WHERE p_name LIKE '%gear'
     """,
     "appointments": """
-        SELECT CASE WHEN o_custkey % 37 = 0 THEN NULL ELSE o_custkey % 100 END AS individualAccountID,
-               CASE WHEN l_orderkey % 97 = 0 THEN 'unknown' ELSE substr(p_brand, 7) END AS type,
-               CASE WHEN l_orderkey % 53 = 0 THEN NULL ELSE l_shipdate END AS appointmentDate,
+        SELECT CASE WHEN o_custkey % 37 = 0 THEN NULL ELSE o_custkey END AS individualAccountID,
+               CASE WHEN l_orderkey % 97 = 0 THEN 'unknown' WHEN l_orderkey % 89 = 0 THEN type_id || '.0'
+                    ELSE type_id END AS type,
+               CASE WHEN l_orderkey % 53 = 0 THEN NULL WHEN l_orderkey % 59 = 0 THEN 'soon'
+                    WHEN l_orderkey % 7 = 1 THEN substr(day, 6, 2) || '/' || substr(day, 9, 2) || '/' || substr(day, 1, 4)
+                    WHEN l_orderkey % 7 = 2 THEN substr(day, 1, 4) || substr(day, 6, 2) || substr(day, 9, 2)
+                    WHEN l_orderkey % 7 = 3
+                    THEN substr('JanFebMarAprMayJunJulAugSepOctNovDec', 3 * CAST(substr(day, 6, 2) AS INT) - 2, 3)
+                         || ' ' || substr(day, 9, 2) || ', ' || substr(day, 1, 4)
+                    ELSE day END AS appointmentDate,
                p_type AS clientID, l_extendedprice AS productionValue
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+        FROM (SELECT *, CAST(l_shipdate AS STRING) AS day FROM lineitem) l
+        JOIN orders ON l_orderkey = o_orderkey
+        JOIN (SELECT *, CAST(CAST(floor(p_partkey / 10) AS BIGINT) AS STRING) AS type_id FROM part) p ON p_partkey = o_custkey + l_linenumber % 3
     """,
     "subscriptions": """
-        SELECT concat(l_orderkey, '-', l_linenumber) AS subscriptionID, substr(p_brand, 7) AS serviceID, p_name AS serviceType,
-               CASE WHEN l_suppkey % 19 = 0 THEN 'n/a' WHEN l_suppkey % 7 = 0 THEN concat('($', amt, ')')
+        SELECT concat(l_orderkey, '-', l_linenumber) AS subscriptionID, 
+               CAST(CAST(floor(p_partkey / 10) AS BIGINT) AS STRING) AS serviceID, p_name AS serviceType,
+               CASE WHEN l_orderkey % 1009 = 5 THEN '1e22' WHEN l_orderkey % 1009 = 6 THEN '1e400'
+                    WHEN l_orderkey % 1009 = 7 THEN '$99999999999999999999999'
+                    WHEN l_suppkey % 19 = 0 THEN 'n/a' WHEN l_suppkey % 7 = 0 THEN concat('($', amt, ')')
                     WHEN l_suppkey % 5 = 0 THEN concat(' ', amt, ' ') ELSE concat('$', amt) END AS annualRecurringServices,
-               l_returnflag = 'N' AS active,
+               l_returnflag = 'N' AND p_partkey % 30 < 20 AS active,
                CASE WHEN l_linestatus = 'F' THEN l_shipdate ELSE NULL END AS dateCancelled,
                p_type AS clientID, l_shipdate AS dateAdded
         FROM (SELECT *, CASE WHEN length(raw) > 6
                              THEN concat(substr(raw, 1, length(raw) - 6), ',', substr(raw, length(raw) - 5)) ELSE raw END AS amt
               FROM (SELECT *, CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) AS STRING) AS raw
-                    FROM lineitem WHERE l_quantity >= 50) a) b
+                    FROM lineitem) a) b
         JOIN part ON l_partkey = p_partkey
     """,
 }
