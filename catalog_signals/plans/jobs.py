@@ -36,8 +36,8 @@ def run_report(
         tables = roll_up_facts(tables, clients, aliases)
     report = activity_filter(build_report(tables, as_of, clients, aliases, params=params))
     written = write_report(report, folder)
-    covered = [r[0] for r in clients.distinct().collect()] if isinstance(clients, DataFrame) else clients
-    write_per_client(written["report"], f"{folder}/clients", clients=covered)
+    named = clients if isinstance(clients, list) else ()
+    write_per_client(written["report"], f"{folder}/clients", covered=named, everyone=clients is None)
     types = latest_types(scoped_service_types(tables.service_types, clients, aliases), "clientId")
     checks = {
         "mismatches": reference_mismatch(types, scan_merged_service_types(tables.merged_service_types, clients)),

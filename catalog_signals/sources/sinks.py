@@ -45,20 +45,24 @@ def write_report(
 
 
 def write_per_client(
-    report: DataFrame, path: str, fmt: str = "parquet", clients: Sequence[str] | None = None
+    report: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    covered: Sequence[str] = (),
+    everyone: bool = False,
 ) -> None:
     """One folder per client; a run replaces the folders of the clients it covers and no others.
 
-    ``clients`` are those that the run covers, ``None`` for all: those without any row left lose their
-    folder. ``rebalance`` gathers a client's rows into few files, and splits those of a huge client.
+    Those are the clients of the report and ``covered``, which lose their folder if they have no row
+    left; with ``everyone``, all. ``rebalance`` gathers a client's rows into few files, and splits
+    those of a huge client.
     """
-    if clients is not None:
-        _delete_folders(report.sparkSession, path, clients)
+    _delete_folders(report.sparkSession, path, covered)
     (
         conform(report)
         .hint("rebalance", "Client")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if clients is None else "dynamic")
+        .option("partitionOverwriteMode", "static" if everyone else "dynamic")
         .partitionBy("Client")
         .format(fmt)
         .save(path)

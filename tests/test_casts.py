@@ -16,6 +16,8 @@ from catalog_signals.functions.casts import (
     years_before,
 )
 from catalog_signals.functions.text import percent_text, share_pct
+from catalog_signals.operators.ranking import active_revenue
+from catalog_signals.sources.scans import scan_subscriptions
 
 
 def column(spark, values, kind):
@@ -130,3 +132,41 @@ def test_percent_text_equals_python_formatting(spark):
     df = spark.createDataFrame(pairs, "s bigint, t bigint")
     got = [r[0] for r in df.select(F.expr(percent_text("s / t"))).collect()]
     assert got == [f"{s / t:.0%}" for s, t in pairs]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/New_York"])
+def test_dates_mean_the_same_in_every_session_zone(spark, zone):
+    texts = [
+        "2024-06-01", "2024-06-01 10:20:30", "06/01/2024", "6/1/2024", "20240601", "Jun 1 2024", "June 1, 2024", "1 Jun 2024",
+        "2024-06-01T10:00:00+02:00", "2024-06-01T08:00:00Z", "soon", "13/45/2024", "Foo 1 2024", "", None,
+    ]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        got = [str(r[0]) for r in df.select(safe_timestamp(df, "t")).collect()]
+        moments = spark.sql("SELECT timestamp_micros(1717228800000000) AS t")
+        moment = str(moments.select(safe_timestamp(moments, "t")).first()[0])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    day = "2024-06-01 00:00:00"
+    eight = "2024-06-01 08:00:00"
+    assert got == [day, "2024-06-01 10:20:30", day, day, day, day, day, day, eight, eight, *["None"] * 5]
+    assert moment == eight
+
+
+def test_amounts_out_of_range_are_null_and_never_fail(spark):
+    texts = ["1e22", "1e400", "$99999999999999999999999", "$5"]
+    df = spark.createDataFrame([(t, "A", "1", True, None, i) for i, t in enumerate(texts)],
+                               "annualRecurringServices string, clientID string, serviceID string, active boolean, "
+                               "dateCancelled timestamp_ntz, subscriptionID int")
+    assert [r[0] for r in df.select(parse_money(df, "annualRecurringServices")).collect()] == [1e22, None, 1e23, 5.0]
+    subs = scan_subscriptions(df)
+    assert [float(r.revenue) for r in active_revenue(subs).collect()] == [5.0]
+    without = scan_subscriptions(df.drop("annualRecurringServices"))
+    assert [r.revenue for r in active_revenue(without).collect()] == [None]
+
+
+def test_integral_decimal_texts_are_ids(spark):
+    df = spark.createDataFrame([(t,) for t in ("7.0", " 7.", "7.5", ".0", "7.00 ")], "t string")
+    assert [r[0] for r in df.select(safe_bigint(df, "t")).collect()] == [7, 7, None, None, 7]

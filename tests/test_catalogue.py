@@ -73,10 +73,30 @@ def test_client_list(spark):
     assert rows(scope.scoped_service_types(df), "clientId") == [("A",), ("B",)]
 
 
-def test_long_client_lists_are_joined(spark, monkeypatch):
-    monkeypatch.setattr(scans, "MAX_IN_LIST", 1)
+def test_clients_may_be_a_list_of_any_length_a_text_or_a_frame(spark):
     df = raw(spark, type_row("A"), type_row("B"), type_row("C"), type_row(None))
-    assert rows(scans.of_clients(df, ["A", "C", "Z"], "CLIENT"), "CLIENT") == [("A",), ("C",)]
+    wanted = ["A", "C", "Z", *map(str, range(5000))]
+    frame = spark.createDataFrame([(c,) for c in wanted], "name string")
+    for clients in (wanted, "A, C,Z", frame):
+        assert rows(scans.of_clients(df, clients, "CLIENT"), "CLIENT") == [("A",), ("C",)]
+    assert rows(scope.scoped_service_types(df, "AB"), "clientId") == []
+
+
+def test_a_source_named_twice_counts_once(spark):
+    df = raw(spark, type_row("O1"), type_row("O1", 2), type_row("B"))
+    assert scope.tenant_rollup(df, {"T": ["O1", "O1"]}).count() == 2
+
+
+def test_a_usable_mapping_text_wins(spark):
+    types = spark.createDataFrame([("A", 1, "x"), ("A", 2, "y")], NAMED)
+    table = spark.createDataFrame([("A", "x", "unknown"), ("A", "x", " true"), ("A", "y", "a"), ("A", "y", "b")], LOOKUP)
+    assert rows(lookup.lookup_attach(types, table), "TYPE_ID", "isRecurring") == [(1, " true"), (2, "b")]
+
+
+def test_copies_are_written_out_in_blocks(spark):
+    df = spark.createDataFrame([(1, 3 * 4096 + 5), (2, 4096), (3, 1)], "id int, copies bigint")
+    found = {r.id: r["count"] for r in lookup.expand_copies(df).groupBy("id").count().collect()}
+    assert found == {1: 3 * 4096 + 5, 2: 4096, 3: 1}
 
 
 def test_a_logical_client_exists_only_if_asked_for(spark):

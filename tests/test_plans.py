@@ -113,6 +113,24 @@ def test_cadence_reduces_to_days_before_it_orders(files):
 @pytest.mark.parametrize("build", [
     lambda t: lookup.lookup_attach(latest_types(t.service_types), scans.scan_lookup(t.lookup)),
     lambda t: lookup.repeated_names(latest_types(t.service_types)),
+])
+def test_joins_by_name_replicate_nothing_and_can_be_split(files, build):
+    plan = executed(build(files))
+    assert "Generate explode" not in plan and "_salt" not in plan
+    join = plan[plan.index("SortMergeJoin"):]
+    assert re.search(r"Exchange hashpartitioning\(_key_clientId#[^\n]*ENSURE_REQUIREMENTS", join)
+    assert re.search(r"Exchange hashpartitioning\(clientId#[^\n]*ENSURE_REQUIREMENTS", join)
+
+
+def test_client_lists_of_any_length_have_one_plan(files):
+    def shape(n):
+        df = scans.of_clients(files.visits, [str(i) for i in range(n)], "clientID")
+        return [re.split(r"[ (]", line.strip(" +-:*"))[0] for line in executed(df).splitlines() if line.strip()]
+
+    assert shape(2) == shape(5000) and not any("Join" in node for node in shape(5000))
+
+
+@pytest.mark.parametrize("build", [
     lambda t: ranking.volume_share(scans.scan_visits(t.visits)),
 ])
 def test_joins_that_can_meet_a_hot_key_are_salted(files, build):

@@ -46,6 +46,28 @@ def test_a_run_replaces_only_its_own_clients(spark, tmp_path):
     assert rows(b["report"], "*") == rows(build_report(example(spark, "B"), AS_OF), "*")
 
 
+def test_a_covered_client_without_rows_loses_its_folder(spark, tmp_path):
+    path, report = str(tmp_path / "clients"), build_report(example(spark), AS_OF)
+    sinks.write_per_client(report, path)
+    sinks.write_per_client(report.limit(0), path, covered=["A", "Z"])
+    left = spark.read.schema(report.schema).parquet(path)
+    assert rows(left.select("Client").distinct(), "Client") == [("B",)]
+    sinks.write_per_client(report.where("Client = 'A'"), path, everyone=True)
+    assert rows(spark.read.parquet(path).select("Client").distinct(), "Client") == [("A",)]
+
+
+def test_a_corrupt_file_spoils_its_own_table_only(spark, tmp_path):
+    good, bad = str(tmp_path / "good"), tmp_path / "bad"
+    spark.range(5).write.parquet(good)
+    spark.range(5).repartition(2).write.parquet(str(bad))
+    sorted(bad.glob("part-*"))[0].write_bytes(b"PAR1 broken")
+    schema = spark.read.parquet(good).schema
+    openers = {"good": lambda: spark.read.parquet(good), "bad": lambda: spark.read.schema(schema).parquet(str(bad))}
+    profile = {r.table_name: r for r in table_profile(spark, openers).collect()}
+    assert profile["good"].num_rows == 5 and profile["good"].error is None
+    assert profile["bad"].num_rows is None and profile["bad"].error
+
+
 def test_tables_are_read_by_path_or_name(spark, tmp_path):
     inputs = example(spark)
     for attribute, name in TABLE_NAMES.items():
@@ -61,9 +83,9 @@ def test_source_row_audit(spark):
     got = source_row_audit(example(spark)).orderBy("clientId").collect()
     assert [r.asDict() for r in got] == [
         {"clientId": "A", "service_types": 3, "merged_service_types": 1, "recurring_lookup": 2,
-         "before_dedupe": 5, "after_dedupe": 3, "appointments": 2, "subscriptions": 1},
+         "before_dedupe": 5, "after_dedupe": 3, "appointments": 2, "subscriptions": 1, "unread_amounts": 0},
         {"clientId": "B", "service_types": 3, "merged_service_types": 0, "recurring_lookup": 0,
-         "before_dedupe": 3, "after_dedupe": 3, "appointments": 2, "subscriptions": 1},
+         "before_dedupe": 3, "after_dedupe": 3, "appointments": 2, "subscriptions": 1, "unread_amounts": 0},
     ]
 
 
