@@ -1,7 +1,7 @@
-"""Wall time of the headline queries; prints one JSON line.
+"""Wall time of the registered queries of the reports; prints one JSON line.
 
 ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS`` (default all cores), ``BENCH_RUNS``
-(default 3). Each query is planned and run anew every time, into the ``noop`` sink; one run to warm
+(default 2). Each query is planned and run anew every time, into the ``noop`` sink; one run to warm
 up, then the median.
 """
 
@@ -20,18 +20,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from verification.queries import QUERIES  # noqa: E402
 
-HEADLINE = (
-    "latest_version", "dedupe_by_key", "lookup_attach", "reference_mismatch",
-    "keyword_signals_documents", "account_cadence", "recurrence_score", "recent_activity",
-    "active_subscription", "money_parse", "volume_share", "volume_topk", "revenue_topk",
-    "share_report", "source_row_audit", "final_report", "final_report_unfiltered", "review_queue",
-)
+HEADLINE = tuple(QUERIES)
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")
