@@ -92,7 +92,8 @@ def _split(keyed: DataFrame, how: Sharding) -> tuple[DataFrame, np.ndarray, np.n
     wanted = how.shards * how.ranges
     share = max(total / wanted, 1.0)
     keys = _sample(keyed, share / how.samples, how.seed)
-    splitters = np.unique(keys[how.samples :: how.samples])
+    # boundaries lie between groups of equal texts at first; only overfull ranges are divided within one
+    splitters = np.unique(keys[how.samples :: how.samples] & ~np.int64(2**32 - 1))
     for turn in range(how.rounds + 1):
         ranged = _in_ranges(keyed, splitters)
         sizes, counts = _measured(ranged, len(splitters) + 1)
@@ -112,7 +113,7 @@ def shard(documents: DataFrame, how: Sharding | None = None) -> DataFrame:
     """Per record: ``doc_id``, ``size``, ``text_crc32``, ``shard`` and ``slot``, its place there from 0.
 
     Shards are near equal in bytes, to about the size of a range (1/64 of a shard) or of the largest
-    record. Equal texts lie side by side, in one shard unless a boundary falls among them. Null text:
+    record. Equal texts lie side by side, in one shard unless they alone are several ranges. Null text:
     no bytes. Null ids and repeated rows: records like any other. No documents: no rows. The driver
     receives samples of a fixed size and one number per range.
     """

@@ -78,6 +78,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir", None)
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "llm-checkpoints"))
     return df.checkpoint()

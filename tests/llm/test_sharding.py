@@ -29,6 +29,15 @@ def test_shards_are_near_equal_in_bytes(spark, hot):
     assert sorted(rows) == sorted(again)
 
 
+def test_small_groups_of_equal_texts_stay_together(spark):
+    rng = random.Random(6)
+    texts = [prose(rng, rng.randint(1, 60)) for _ in range(800)]
+    rows = shard(frame(spark, [(i, texts[i % 800], "", "", 0) for i in range(3200)]), Sharding(shards=10, ranges=16)).collect()
+    sizes = _checked(rows, 10)
+    assert max(sizes) < 1.25 * min(sizes)
+    assert len({(r.text_crc32, r.shard) for r in rows}) == 800
+
+
 def test_rows_that_repeat_id_and_text_are_divided(spark):
     rows = shard(frame(spark, [(1, "x" * 84, "", "", 0)] * 4000), Sharding(shards=4, ranges=8)).collect()
     sizes = _checked(rows, 4)
