@@ -90,13 +90,14 @@ def account_cadence(visits: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     return account_history(visits_per_day(usable), params).drop("all_visits", "latest")
 
 
-def type_history(visits: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+def type_history(visits: DataFrame, params: Params = DEFAULTS, untyped: bool = False) -> DataFrame:
     """Per (client, type): all visits, dated visits, latest visit, accounts and strong accounts.
 
     One pass over the visits serves the volume, the recency and the cadence of a type: visits without
-    an account or a date are carried along and left out of the account counts only.
+    an account or a date are carried along and left out of the account counts only; with ``untyped``,
+    so are those without a type, as the NULL type.
     """
-    accounts = account_history(visits_per_day(visits.where("TYPE_ID is not null")), params)
+    accounts = account_history(visits_per_day(visits if untyped else visits.where("TYPE_ID is not null")), params)
     counted = F.col("accountId").isNotNull() & (F.col("visits") > 0)
     return accounts.groupBy("clientId", "TYPE_ID").agg(
         F.sum("all_visits").alias("type_visits"),

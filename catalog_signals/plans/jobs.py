@@ -13,7 +13,7 @@ from catalog_signals.operators.lookup import reference_mismatch
 from catalog_signals.operators.scope import roll_up_facts, scoped_service_types
 from catalog_signals.operators.versions import latest_types
 from catalog_signals.plans.outputs import activity_filter, review_metrics, review_queue_unfiltered
-from catalog_signals.plans.report import analysed, build_report
+from catalog_signals.plans.report import Store, analysed, build_report, to_report
 from catalog_signals.plans.share_report import share_report
 from catalog_signals.sources.scans import Clients, requested_clients, scan_merged_service_types
 from catalog_signals.sources.sinks import write_path, write_per_client, write_report
@@ -30,19 +30,24 @@ def run_report(
     roll_up: bool = False,
 ) -> dict[str, DataFrame]:
     """The types in use: full report, review queue, splits, and ``clients``, one folder per client; and
-    what the inputs and the evidence are worth: ``mismatches``, ``audit`` and ``metrics``."""
+    what the inputs and the evidence are worth: ``mismatches``, ``audit`` and ``metrics``.
+
+    The visits are read once, for ``history``; ``analysis`` is computed once and the rest is cut from it.
+    """
     clients = requested_clients(clients)
     if roll_up:
         tables = roll_up_facts(tables, clients, aliases)
-    report = activity_filter(build_report(tables, as_of, clients, aliases, params=params))
-    written = write_report(report, folder)
+    history: Store = lambda df: write_path(df, f"{folder}/history")
+    rows = analysed(tables, as_of, clients, aliases, params=params, store=history)
+    rows = write_path(rows, f"{folder}/analysis")
+    written = write_report(activity_filter(to_report(rows).drop("copies")), folder)
     named = clients if isinstance(clients, list) else ()
     write_per_client(written["report"], f"{folder}/clients", covered=named, everyone=clients is None)
     types = latest_types(scoped_service_types(tables.service_types, clients, aliases), "clientId")
     checks = {
         "mismatches": reference_mismatch(types, scan_merged_service_types(tables.merged_service_types, clients)),
         "audit": source_row_audit(tables, clients, aliases),
-        "metrics": review_metrics(analysed(tables, as_of, clients, aliases, params=params)),
+        "metrics": review_metrics(rows),
     }
     return written | {name: write_path(df, f"{folder}/{name}") for name, df in checks.items()}
 

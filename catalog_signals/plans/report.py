@@ -10,7 +10,7 @@ frames, all unique per key. Joins on a client or a description alone can meet a
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,6 +55,8 @@ from catalog_signals.sources.tables import CatalogTables
 
 _TYPE = ["clientId", "TYPE_ID"]
 
+Store = Callable[[DataFrame], DataFrame]
+
 # The report's columns, in order.
 REPORT_SCHEMA = T.StructType()
 for _name, _type in {
@@ -150,23 +152,33 @@ def evidence_frame(
     dedupe: bool = True,
     ranks: bool = True,
     params: Params = DEFAULTS,
+    store: Store | None = None,
 ) -> DataFrame:
     """Catalogue rows with every signal, the usage figures and, with ``ranks``, the top-k marks.
-    ``copies`` is the number of report rows a row stands for (1 with ``dedupe``)."""
+    ``copies`` is the number of report rows a row stands for (1 with ``dedupe``).
+
+    ``store`` writes a frame and reads it back. With it, the visits are reduced once, to a row per type
+    that all their figures are taken from; without it, a second scan counts them.
+    """
     clients = requested_clients(clients)
     raw = scoped_service_types(tables.service_types, clients, aliases)
     types = latest_types(raw, "clientId") if dedupe else latest_version(raw, "clientId")
     names = name_facts(types, scan_lookup(tables.lookup, clients))
     visits = scan_visits(tables.visits, clients)
     revenue = active_revenue(scan_subscriptions(tables.subscriptions, clients))
-    counts = visit_counts(visits)
+    if store:
+        history = store(type_history(visits, params, untyped=True))
+        counts = history.select(*_TYPE, F.col("type_visits").alias("n"))
+        history = history.where("TYPE_ID is not null")
+    else:
+        history, counts = type_history(visits, params), visit_counts(visits)
 
     # Every signal is computed as soon as its inputs are there: the code of the last stage, which would
     # otherwise hold every expression, stays small enough for the JVM to compile.
     rows = keyword_signals(api_signals(types, params), "DESCRIPTION", params)
     if not dedupe:
         rows = _named_versions(rows, names)
-    rows = rows.join(type_history(visits, params), _TYPE, "left")
+    rows = rows.join(history, _TYPE, "left")
     rows = rows.join(revenue.withColumn("active", F.lit(True)), _TYPE, "left")
     rows = score_accounts(rows.withColumn("active", F.coalesce("active", F.lit(False))), params)
     if ranks:
@@ -185,9 +197,10 @@ def analysed(
     dedupe: bool = True,
     ranks: bool = True,
     params: Params = DEFAULTS,
+    store: Store | None = None,
 ) -> DataFrame:
     """The report's rows under internal names, with conflict and violation counts."""
-    rows = evidence_frame(tables, clients, aliases, dedupe, ranks, params)
+    rows = evidence_frame(tables, clients, aliases, dedupe, ranks, params, store)
     rows = constraint_correction(final_signals(conflict_reasons(rows, params), params), params)
     cutoff = years_before(as_of, params.activity_years)
     rows = expired_flag(rows.withColumn("recent", F.coalesce(F.col("latest") >= cutoff, F.lit(False))))

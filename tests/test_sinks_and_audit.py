@@ -1,9 +1,14 @@
+from dataclasses import replace
+
 from frames import AS_OF, rows, sub_row, tables, type_row, visit_row
 
 from catalog_signals import build_report, read_tables
+from catalog_signals.operators import lookup, scope
 from catalog_signals.operators.audit import source_row_audit, table_profile
+from catalog_signals.operators.versions import latest_types
 from catalog_signals.plans import jobs, outputs
-from catalog_signals.sources import sinks
+from catalog_signals.plans.report import analysed, evidence_frame
+from catalog_signals.sources import scans, sinks
 from catalog_signals.sources.tables import TABLE_NAMES
 
 
@@ -129,6 +134,16 @@ def test_batch_runs(spark, tmp_path):
     assert written["report"].count() == 4  # type 3 of either client is not in use
     client = sinks.read_client_report(spark, f"{folder}/a/clients", "B")
     assert rows(client["report"], "*") == rows(used.where("Client = 'B'"), "*")
+    assert rows(written["metrics"], "*") == rows(outputs.review_metrics(analysed(inputs, AS_OF)), "*")
+    assert rows(written["audit"], "*") == rows(source_row_audit(inputs), "*")
+    types = latest_types(scope.scoped_service_types(inputs.service_types), "clientId")
+    mismatches = lookup.reference_mismatch(types, scans.scan_merged_service_types(inputs.merged_service_types))
+    assert rows(written["mismatches"], "*") == rows(mismatches, "*")
+    # a client that lost its activity loses its folder with the next run
+    quiet = replace(inputs, visits=inputs.visits.where("clientID <> 'B'"), subscriptions=inputs.subscriptions.where("clientID <> 'B'"))
+    jobs.run_report(quiet, AS_OF, f"{folder}/a", clients="A, B")
+    left = spark.read.schema(used.schema).parquet(f"{folder}/a/clients").select("Client").distinct()
+    assert rows(left, "Client") == [("A",)]
     unfiltered = jobs.run_unfiltered_report(inputs, AS_OF, f"{folder}/b", clients=["A"])
     assert unfiltered["report"].count() == 5
     assert "Appointment Share Pct" not in unfiltered["review_queue"].columns
@@ -136,3 +151,19 @@ def test_batch_runs(spark, tmp_path):
     assert rows(shares, "clientId", "TYPE_ID", "appointmentSharePct") == [
         ("A", 1, 50.0), ("A", 2, 50.0), ("B", 1, 50.0), ("B", 2, 50.0),
     ]
+
+
+def test_stored_history_replaces_the_second_scan(spark):
+    """The figures taken from one reduction of the visits are those of two scans, for all clients."""
+    inputs = example(spark)
+    visits = inputs.visits.unionByName(inputs.visits.limit(1).selectExpr("* EXCEPT (type)", "'unknown' AS type"))
+    inputs = replace(inputs, visits=visits)
+    stored = []
+
+    def store(df):
+        stored.append(df)
+        return spark.createDataFrame(df.collect(), df.schema)
+
+    once, twice = (evidence_frame(inputs, store=s) for s in (store, None))
+    columns = sorted(twice.columns)
+    assert len(stored) == 1 and rows(once, *columns) == rows(twice, *columns)
