@@ -9,6 +9,7 @@ pieces find their place by their rank.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -113,6 +114,7 @@ _known: dict[str, _Tokens] = {}
 
 def _tokens(path: str) -> _Tokens:
     if path not in _known:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task per core already
         _known[path] = _Tokens(path)
     return _known[path]
 
