@@ -154,28 +154,37 @@ def _with_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     return joined.drop("_d", "_t").dropDuplicates(["_doc", "_text"]).drop("_doc", "_text")
 
 
-def _split(documents: DataFrame, classes: DataFrame, large: DataFrame, how: ChosenPaths) -> DataFrame:
-    """The paths below large buckets that their members take: ``bucket``, ``node``."""
-    wanted = large.groupBy(F.col("node").alias("_n")).agg(F.collect_list("bucket").alias("paths"))
-    wanted = wanted.join(classes.select("node", "first"), F.col("node") == F.col("_n")).drop("_n")
+def _sketch_tokens(sketch: bytes) -> np.ndarray:
+    """The bins of a sketch that aren't empty, with what they hold: a sample of the set's tokens."""
+    bins = np.frombuffer(sketch, np.uint8)[4:].astype(_U)
+    return mixed(((np.arange(len(bins), dtype=_U) << _U(8)) | bins)[bins > 0] + _U(1))
+
+
+def _split(classes: DataFrame, large: DataFrame, how: ChosenPaths) -> DataFrame:
+    """The paths below large buckets that their members take: ``bucket``, ``node``.
+
+    The tokens to choose from are those of the sketch, so that no text has to be fetched for it.
+    """
 
     def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, bucket = [], []
-            nodes, paths = batch["node"].to_pylist(), batch["paths"].to_pylist()
-            for i, tokens in shingle_sets(batch["text"], how.words):
-                for path in paths[i]:
+            rows = zip(batch["node"].to_pylist(), batch["paths"].to_pylist(), batch["payload"].to_pylist())
+            for one, paths, sketch in rows:
+                tokens = _sketch_tokens(sketch)
+                for path in paths:
                     below = _choose(tokens, path, how.part, how.whole)
                     bucket.append(below)
-                    node += [nodes[i]] * len(below)
+                    node += [one] * len(below)
             buckets = np.concatenate(bucket) if bucket else np.zeros(0, np.int64)
             yield pa.record_batch([pa.array(buckets), pa.array(node, pa.int64())], names=["bucket", "node"])
 
-    texts = _with_sets(documents, wanted).select("node", "paths", "text")
-    return texts.mapInArrow(descend, "bucket bigint, node bigint")
+    wanted = large.groupBy(F.col("node").alias("_n")).agg(F.collect_list("bucket").alias("paths"))
+    members = wanted.join(classes.select("node", "payload"), F.col("node") == F.col("_n"))
+    return members.select("node", "paths", "payload").mapInArrow(descend, "bucket bigint, node bigint")
 
 
-def _buckets(documents: DataFrame, classes: DataFrame, how: ChosenPaths) -> DataFrame:
+def _buckets(classes: DataFrame, how: ChosenPaths) -> DataFrame:
     """``bucket``, ``node`` of all small buckets, and of those still large at full depth."""
     rows = classes.select(F.explode("paths").alias("bucket"), "node")
     small = None
@@ -191,7 +200,7 @@ def _buckets(documents: DataFrame, classes: DataFrame, how: ChosenPaths) -> Data
         large = level.where(F.col("_n") > how.large)
         if last or large.isEmpty():
             break
-        rows = _split(documents, classes, large.select("bucket", "node"), how).distinct()
+        rows = _split(classes, large.select("bucket", "node"), how).distinct()
     return small
 
 
@@ -231,7 +240,7 @@ def _linked(documents: DataFrame, how: ChosenPaths) -> tuple[DataFrame, DataFram
             F.first("size").alias("size"), F.first("sketch").alias("payload"), F.first("paths").alias("paths"),
         )
     )
-    rows = shared_buckets(_buckets(documents, classes, how))
+    rows = shared_buckets(_buckets(classes, how))
     facts = classes.select("node", "weight", "size", "first")
     sketches = classes.select("node", "payload", F.lit(1).alias("weight"))
     placed = chunked(rows.withColumn("_size", F.lit(_BINS)), "_size").withColumnRenamed("node", "_n")
