@@ -25,7 +25,7 @@ from catalog_signals.llm.text import NULL_ID, checkpointed, text_of
 
 _BUCKETS = 256
 #: Chunks in either of the two generations that a worker remembers.
-_REMEMBERED = 300_000
+_REMEMBERED = 400_000
 #: Bytes of text split into chunks at a time.
 _AT_ONCE = 1 << 19
 
@@ -39,6 +39,8 @@ class Packing:
     end: int = 1
 
 
+#: A full stop or comma between an ASCII letter and a gap.
+_STOP = re.compile(rb"([.,])(?=[ \n])(?<=[a-z].)")
 #: A run of letters that ends in an ASCII letter, and another ASCII character with what follows it.
 _WORD_AND_TAIL = re.compile(rb"([A-Za-z\x80-\xff]*[A-Za-z])([^A-Za-z\x80-\xff].*)", re.DOTALL)
 
@@ -58,6 +60,8 @@ class _Tokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.recent, self.older = {}, {}
         self.lowers = "Lowercase" in str(self.tokenizer.normalizer)
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.marks = [token.content.lower().encode() for token in added]
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True) if suffix else {}
         self.ends = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
@@ -90,20 +94,25 @@ class _Tokens:
             recent.update({c: older[c] for c in new if c in older})
             new = [c for c in new if c not in recent]
         parts = {c: m.groups() for c in new if (m := _WORD_AND_TAIL.fullmatch(c))}
-        if self.lowers:
-            parts = {c: (word.lower(), tail) for c, (word, tail) in parts.items()}
-            whole = [c for c in new if c not in parts and b"<" not in c]
-            parts |= {c: (low, b"") for c, low in zip(whole, map(bytes.lower, whole)) if c != low}
         wanted = {c for c in new if c not in parts}.union(*parts.values())
         recent.update({c: older[c] for c in wanted if c in older and c not in recent})
         wanted = [c for c in wanted if c and c not in recent]
         recent.update(zip(wanted, self.of_chunks([c.decode("utf-8", "replace") for c in wanted])))
         for chunk, (word, tail) in parts.items():
-            recent[chunk] = recent[word] + recent[tail] if tail else recent[word]
+            recent[chunk] = recent[word] + recent[tail]
         return recent
 
+    def chunks(self, text: str) -> list[bytes]:
+        """The text in lower case, if the tokenizer lowers it anyway and none of its special tokens,
+        which are not lowered, can be in it; a full stop or comma after a word is a chunk of its own."""
+        data = text.encode("utf-8", "replace")
+        if self.lowers:
+            low = data.lower()
+            data = data if any(mark in low for mark in self.marks) else low
+        return _STOP.sub(rb" \1", data).split()
+
     def of_texts(self, texts: list[str]) -> list[bytes]:
-        chunks = [text.encode("utf-8", "replace").split() for text in texts]
+        chunks = [self.chunks(text) for text in texts]
         find = self.learn(set().union(*chunks)).__getitem__
         return [b"".join(map(find, of_text)) for of_text in chunks]
 
