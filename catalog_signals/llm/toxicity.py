@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalog_signals.llm.text import text_of
+from catalog_signals.llm.text import checkpointed, text_of
 from catalog_signals.llm.words import mixed
 
 _U = np.uint64
@@ -30,9 +30,10 @@ _EDGES = ".,;:!?\"'()[]"
 @dataclass(frozen=True)
 class Subwords:
     """``sample`` bounds the labelled documents that are fitted, half of them toxic where there are as
-    many. ``average_steps`` train on whole texts, ``window_steps`` on the most toxic window of each."""
+    many, and ``sample_bytes`` their texts, half of it for either class. ``average_steps`` train on whole texts, ``window_steps`` on the most toxic window of each."""
 
     sample: int = 6000
+    sample_bytes: int = 64 << 20
     lengths: tuple[int, ...] = (3, 4, 5)
     buckets: int = 1 << 17
     dimensions: int = 8
@@ -196,7 +197,9 @@ def held_out(doc_id: Column) -> Column:
 def train(documents: DataFrame, labels: DataFrame, how: Subwords) -> Model:
     """Fit on at most ``how.sample`` labelled documents, those of least hash in either class.
 
-    Several labels of a document count as their greatest. Null labels and ids are none.
+    Several labels of a document count as their greatest. Null labels and ids are none. Of several texts
+    with one id, that of least hash is taken. Texts are taken whole, in the order of the hashes of their
+    ids; one that doesn't fit in what is left of ``how.sample_bytes`` is passed over.
     """
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.where(~held_out(F.col("doc_id")))
@@ -206,8 +209,19 @@ def train(documents: DataFrame, labels: DataFrame, how: Subwords) -> Model:
     chosen = halves[0].unionByName(halves[1]).withColumnRenamed("doc_id", "_id")
     # at most how.sample rows of two numbers, so every task can have them
     texts = documents.select(F.col("doc_id").alias("_doc"), text_of().alias("_body"))
-    rows = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("_doc", "_body", "toxic")
-    rows = rows.toArrow().sort_by([("_doc", "ascending"), ("_body", "ascending")])
+    rows = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id"))
+    least = F.min(F.struct(F.xxhash64("_body"), "_body"))["_body"].alias("_body")
+    rows = checkpointed(rows.groupBy("_doc", "toxic").agg(least))
+    sizes = rows.select("_doc", "toxic", F.octet_length("_body"), F.xxhash64("_doc", F.lit(how.seed)).alias("_order"))
+    left, fitting = {0: how.sample_bytes // 2, 1: how.sample_bytes // 2}, []
+    found = sorted(sizes.collect(), key=lambda r: (r[3], r[0]))
+    for doc, label, size, _ in found:
+        if size <= left[label]:
+            left[label] -= size
+            fitting.append(doc)
+    if len(fitting) < len(found):
+        rows = rows.where(F.col("_doc").isin(fitting))
+    rows = rows.select("_doc", "_body", "toxic").toArrow().sort_by([("_doc", "ascending")])
     shuffled = np.random.default_rng(how.seed).permutation(len(rows))
     rows = rows.take(pa.array(shuffled))
     return fit(rows["_body"].to_pylist(), rows["toxic"].to_numpy(), float(share), how)

@@ -3,8 +3,9 @@ import zlib
 import duckdb
 import numpy as np
 
-from catalog_signals.llm.toxicity import Subwords, fit, score, subwords, toxicity
-from tests.llm.frames import dirty, dirty_rows, empty
+import catalog_signals.llm.toxicity as toxicity_module
+from catalog_signals.llm.toxicity import Subwords, fit, score, subwords, toxicity, train
+from tests.llm.frames import dirty, dirty_rows, empty, frame
 
 SF = "/root/testdata/sf0.1"
 
@@ -68,3 +69,19 @@ def test_dirty_and_empty_documents(spark):
         out = toxicity(dirty(spark), known).collect()
         assert len(out) == len(dirty_rows()) and all(0 <= r.score <= 1 for r in out)
         assert toxicity(empty(spark), known).count() == 0
+
+
+def test_one_whole_text_per_id_and_bounded_bytes_reach_the_driver(spark, monkeypatch):
+    rows = [(i, f"text {i} " + "word " * 50, "", "", 0) for i in range(60)]
+    rows += [(7, f"another {i}", "", "", 0) for i in range(300)] + [(8, "x" * 100_000, "", "", 0)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity_module, "fit", lambda texts, *rest: seen.append((texts, rest[0])))
+    documents = frame(spark, rows)
+    train(documents, labels, Subwords())
+    texts, ids = seen[0][0], [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    assert len(texts) == len(ids) and len(set(texts)) == len(texts) and set(texts) <= {r[1] for r in rows}
+    train(documents, labels, Subwords(sample_bytes=4000))
+    texts, toxic = seen[1]
+    assert set(texts) <= {r[1] for r in rows} and set(toxic) == {0, 1}
+    assert all(0 < sum(len(x) for x, y in zip(texts, toxic) if y == label) <= 2000 for label in (0, 1))
