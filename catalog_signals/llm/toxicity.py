@@ -1,7 +1,7 @@
 """Toxicity: bags of subword embeddings, averaged into a linear softmax, trained jointly in numpy.
 
 A word is the mean of the vectors of its character n-grams, which unseen misspellings share. Windows
-of words are averaged and classified, and a text is as toxic as its most toxic window, so that a few
+of words, one from every word on and those over either end, are averaged and classified, and a text is as toxic as its most toxic window, so that a few
 words in a long text are not averaged away. For two classes the softmax is a logistic function of
 the difference of the class weights, by which all vectors are projected before texts are scored.
 """
@@ -95,6 +95,14 @@ def _means(values: np.ndarray, bucket: np.ndarray, bounds: np.ndarray) -> np.nda
     return np.add.reduceat(values[bucket], bounds[:-1]) / np.diff(bounds)
 
 
+def _windows(values: np.ndarray, window: int) -> np.ndarray:
+    """The sums of the ``window`` values up to each one, over ``window``; zero before the first."""
+    sums = values.copy()
+    for back in range(1, window):
+        sums[back:] += values[:-back]
+    return sums / window
+
+
 class _Descent:
     """Steps along the averaged gradient, scaled so that its largest entry moves by ``rate``: features
     of many texts move, those of a few hardly do."""
@@ -146,11 +154,13 @@ def fit(texts: list[str], toxic: np.ndarray, share: float, how: Subwords) -> Mod
     grams = np.diff(bounds)
     vocabulary.clear()
     doc = np.repeat(np.arange(len(y), dtype=np.int32), sizes)
-    counts = -(-sizes // how.window)
+    # a text has its words and a gap of window - 1 places, so a window for each place that it ends at
+    counts = np.where(sizes > 0, sizes + how.window - 1, 0)
     inside = np.arange(len(tokens), dtype=np.int32) - np.repeat((np.cumsum(sizes) - sizes).astype(np.int32), sizes)
-    window = np.repeat((np.cumsum(counts) - counts).astype(np.int32), sizes) + inside // how.window
+    begins = np.cumsum(counts) - counts
+    place = np.repeat(begins.astype(np.int32), sizes) + inside
     del inside, parts
-    n_windows, of = int(counts.sum()), np.repeat(np.arange(len(y)), counts)
+    n_places, of, some = int(counts.sum()), np.repeat(np.arange(len(y), dtype=np.int32), counts), counts > 0
     weight = np.where(y > 0, 0.5 / max((y[~held] > 0).sum(), 1), 0.5 / max((y[~held] == 0).sum(), 1)) * ~held
 
     rng = np.random.default_rng(how.seed)
@@ -161,19 +171,23 @@ def fit(texts: list[str], toxic: np.ndarray, share: float, how: Subwords) -> Mod
         difference = classes[1] - classes[0]
         values = (vectors @ difference).astype(np.float32)
         word = _means(values, bucket, bounds)
-        sums = np.bincount(window, word[tokens], n_windows) / how.window
-        best = np.full(len(y), -np.inf)
-        np.maximum.at(best, of, sums)
-        best[counts == 0] = 0.0
+        spread = np.zeros(n_places)
+        spread[place] = word[tokens]
+        sums = _windows(spread, how.window)
+        best = np.zeros(len(y))
+        if n_places:
+            best[some] = np.maximum.reduceat(sums, begins[some])
         if step == how.average_steps + how.window_steps:
             break
         if step < how.average_steps:
             z = np.bincount(doc, word[tokens], len(y)) / np.maximum(sizes, 1) + bias
             each = (weight * (_sigmoid(z) - y) / np.maximum(sizes, 1))[doc]
         else:
-            top = sums == best[of]
+            top = (sums == best[of]).astype(np.float64)
+            top /= np.maximum(np.bincount(of, top, len(y)), 1)[of]
             error = weight * (_sigmoid(best + bias) - y)
-            each = np.where(top[window], error[doc] / how.window, 0.0)
+            # a word is in the windows that end at its place and up to window - 1 places later
+            each = _windows(top[::-1], how.window)[::-1][place] * error[doc]
             z = best + bias
         per_word = np.bincount(tokens, each, n_words) / grams
         per_bucket = np.bincount(bucket, np.repeat(per_word.astype(np.float32), grams), how.buckets)
@@ -250,9 +264,9 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
                 most = np.zeros(len(split))
                 for i, ws in enumerate(split):
                     if ws:
-                        value = np.zeros(-(-len(ws) // how.window) * how.window)
+                        value = np.zeros(len(ws) + how.window - 1)
                         value[: len(ws)] = np.fromiter(map(known.__getitem__, ws), np.float64, len(ws))
-                        most[i] = value.reshape(-1, how.window).sum(1).max() / how.window
+                        most[i] = _windows(value, how.window).max()
                 scores = _sigmoid(model.scale * most + model.offset)
                 yield pa.record_batch(
                     [part["doc_id"], part["held_out"], pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))],

@@ -1,11 +1,12 @@
+import random
 import zlib
 
 import duckdb
 import numpy as np
 
 import catalog_signals.llm.toxicity as toxicity_module
-from catalog_signals.llm.toxicity import Subwords, fit, score, subwords, toxicity, train
-from tests.llm.frames import dirty, dirty_rows, empty, frame
+from catalog_signals.llm.toxicity import Model, Subwords, fit, score, subwords, toxicity, train
+from tests.llm.frames import dirty, dirty_rows, empty, frame, prose
 
 SF = "/root/testdata/sf0.1"
 
@@ -85,3 +86,15 @@ def test_one_whole_text_per_id_and_bounded_bytes_reach_the_driver(spark, monkeyp
     texts, toxic = seen[1]
     assert set(texts) <= {r[1] for r in rows} and set(toxic) == {0, 1}
     assert all(0 < sum(len(x) for x, y in zip(texts, toxic) if y == label) <= 2000 for label in (0, 1))
+
+
+def test_the_score_is_that_of_the_best_of_all_overlapping_windows(spark):
+    how = Subwords(buckets=1 << 12)
+    model, rng = Model(how, np.random.default_rng(3).normal(0, 1, how.buckets), 1.0, 0.0), random.Random(3)
+    texts = [prose(rng, n) for n in range(1, 40)]
+    got = {r.doc_id: r.score for r in score(frame(spark, [(i, t, "", "", 0) for i, t in enumerate(texts)]), model).collect()}
+    for i, text in enumerate(texts):
+        bucket, bounds = subwords(text.split(), how)
+        value = [model.values[bucket[a:b]].mean() for a, b in zip(bounds, bounds[1:])]
+        best = max(sum(value[max(at, 0) : at + 4]) / 4 for at in range(-3, len(value)))
+        assert abs(got[i] - 1 / (1 + np.exp(-best))) < 1e-9
