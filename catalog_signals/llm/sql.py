@@ -181,4 +181,50 @@ SELECT doc_id, CASE WHEN lost = 0 THEN text ELSE coalesce(rest, '') END AS text,
 FROM docs d JOIN counted c ON d.id = c.id
 """
 
-ORACLE = {"op3_url_filters": _OP3, "op8_mixing": _OP8, "op9_quality_rules": _OP9, "op10_line_dedup": _OP10}
+_OP11 = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), found AS (
+    SELECT id, lang, source, unnest(terms) AS term FROM docs
+), kept AS (
+    SELECT lang, term, count(*) AS n FROM found GROUP BY lang, term HAVING count(DISTINCT id) >= 30
+), langs AS (
+    SELECT lang, sum(n)::HUGEINT AS total, count(*)::HUGEINT AS v FROM kept GROUP BY lang
+), counts AS (
+    SELECT f.lang, f.source, f.term, count(*) AS n
+    FROM found f JOIN kept k ON f.lang = k.lang AND f.term = k.term GROUP BY f.lang, f.source, f.term
+), totals AS (
+    SELECT d.lang, d.source, coalesce(any_value(c.total), 0) AS total FROM docs d
+    LEFT JOIN (SELECT lang, source, sum(n)::HUGEINT AS total FROM counts GROUP BY lang, source) c
+        ON d.lang = c.lang AND d.source = c.source
+    GROUP BY d.lang, d.source
+), shares AS (
+    SELECT t.lang, t.source, k.term, coalesce(c.n, 0) AS n,
+           1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (t.total + 5 * l.v) AS p,
+           1 + (1000000000::HUGEINT * (k.n + 5)) // (l.total + 5 * l.v) AS q
+    FROM totals t JOIN kept k ON t.lang = k.lang JOIN langs l ON t.lang = l.lang
+    LEFT JOIN counts c ON c.lang = t.lang AND c.source = t.source AND c.term = k.term
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source
+), valued AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(p.value, 0) AS BIGINT) AS value
+    FROM totals a JOIN totals b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+    FROM valued
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+ORACLE = {
+    "op3_url_filters": _OP3, "op8_mixing": _OP8, "op9_quality_rules": _OP9, "op10_line_dedup": _OP10,
+    "op11_source_divergence": _OP11,
+}
