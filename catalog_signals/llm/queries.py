@@ -14,6 +14,7 @@ from catalog_signals.llm.mixing import mixture
 from catalog_signals.llm.ngram_join import jaccard_join
 from catalog_signals.llm.packing import Packing, pack
 from catalog_signals.llm.passages import repeated_passages
+from catalog_signals.llm.periodic_runs import periodic_runs
 from catalog_signals.llm.quality_classifier import quality
 from catalog_signals.llm.quality_rules import quality_rules
 from catalog_signals.llm.sharding import shard
@@ -76,6 +77,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(table(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(table(spark, sf_dir, "documents"), planting=True)
+
+
 def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -92,5 +97,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
     "op11_source_divergence": op11_source_divergence,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_quality_classifier": op13_quality_classifier,
 }
