@@ -1,0 +1,166 @@
+import random
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+
+from catalog_signals.llm.quality_classifier import (
+    Indexing,
+    _row,
+    _temperature,
+    context_sums,
+    fit,
+    gradients,
+    index_vectors,
+    loss,
+    neighbour_sums,
+    pooled,
+    quality,
+    word_and_shape,
+    word_vectors,
+)
+from tests.llm.frames import dirty, dirty_rows, empty, frame, prose
+
+SF = "/root/testdata/sf0.1"
+TINY = Indexing(rows=64, dimensions=8)
+
+
+def _out(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 4 == 2
+
+
+def _tokens(text, how):
+    rows, before = [], None
+    for word in text.split():
+        plain, shape = word_and_shape(word)
+        own = _row(plain, how), _row(shape, how)
+        rows += [own[0], _row(" again", how) if own == before else own[1]]
+        before = own
+    return rows
+
+
+def _sums(texts, how):
+    """The neighbours' index vectors of every token, one by one."""
+    plus, minus = index_vectors(how)
+    sums = np.zeros((how.rows, how.dimensions), np.int64)
+    for text in texts:
+        tokens = _tokens(text, how)
+        for i, own in enumerate(tokens):
+            for j in range(max(i - how.window, 0), min(i + how.window + 1, len(tokens))):
+                if i != j:
+                    sums[own, plus[tokens[j]]] += 1
+                    sums[own, minus[tokens[j]]] -= 1
+    return sums
+
+
+def test_words_and_shapes():
+    assert word_and_shape("Worth,") == ("worth", " a,")
+    assert word_and_shape("OIÉ.!!") == ("oié", " A!.")
+    assert word_and_shape("I") == ("i", " a") and word_and_shape("|") == ("", " a|")
+    assert word_and_shape("a1$$$") == ("a1", " a0$")
+
+
+def test_context_sums_equal_brute_force(spark):
+    rng = random.Random(1)
+    texts = [prose(rng, rng.randint(0, 40)).upper() + " x x x!! x" * rng.randint(0, 3) for _ in range(60)] + ["", "one"]
+    rows = [(i, t, "", "", 0) for i, t in enumerate(texts)]
+    expected = _sums(texts, TINY)
+    for parts in (1, 7):
+        got = context_sums(frame(spark, rows).repartition(parts), TINY).collect()
+        table = np.zeros_like(expected)
+        for r in got:
+            table[r[0]] = r[1:]
+        assert (table == expected).all()
+    apart = [-1] * TINY.window
+    joined = np.array([t for text in texts for t in _tokens(text, TINY) + apart])
+    assert (neighbour_sums(joined, TINY) == expected).all()
+    vectors = word_vectors(frame(spark, rows), TINY)
+    plus, minus = index_vectors(TINY)
+    own = np.zeros(expected.shape)
+    own[np.arange(TINY.rows), plus], own[np.arange(TINY.rows), minus] = 2**-0.5, -(2**-0.5)
+    norm = np.maximum(np.linalg.norm(expected, axis=1), 1e-9)[:, None]
+    assert np.allclose(vectors, expected / norm + own, atol=1e-6)
+    means = {r.doc_id: r.vector for r in pooled(frame(spark, rows), vectors, TINY).collect()}
+    for i, text in enumerate(texts):
+        expected_mean = vectors[_tokens(text, TINY)].mean(0) if text.split() else np.zeros(TINY.dimensions)
+        assert np.allclose(means[i], expected_mean, atol=1e-6)
+
+
+def test_gradients_equal_differences_of_the_loss():
+    rng = np.random.default_rng(1)
+    z, y, weight = rng.normal(size=(30, 5)), rng.integers(0, 2, 30).astype(float), rng.random(30)
+    own = [rng.normal(size=(5, 3)), rng.normal(size=3), rng.normal(size=3), rng.normal(size=1)]
+    for i, found in enumerate(gradients(own, z, y, weight, 0.01)):
+        for at in np.ndindex(own[i].shape):
+            moved = []
+            for step in (1e-5, -1e-5):
+                other = [p.copy() for p in own]
+                other[i][at] += step
+                moved.append(loss(other, z, y, weight, 0.01))
+            assert abs(found[at] - (moved[0] - moved[1]) / 2e-5) < 1e-6
+
+
+def test_temperature_restores_scaled_logits():
+    rng = np.random.default_rng(2)
+    logits = rng.normal(0, 2, 40_000)
+    y = (rng.random(40_000) < 1 / (1 + np.exp(-logits))).astype(float)
+    for scale in (0.5, 1.0, 5.0):
+        assert abs(_temperature(logits * scale, y, np.ones(len(y))) / scale - 1) < 0.05
+
+
+@pytest.mark.parametrize("shift", [0.0, 1.5])
+def test_probabilities_follow_the_share_of_labels(shift):
+    """The sample is balanced, the labels are not: scores mean the labels' shares."""
+    rng = np.random.default_rng(3)
+    y = np.arange(3000) % 2
+    x = rng.normal(0, 1, (3000, TINY.dimensions)) + shift * y[:, None] / TINY.dimensions**0.5
+    net = fit(x, y, 0.9, TINY)
+    fresh = rng.random(20_000) < 0.9
+    points = rng.normal(0, 1, (20_000, TINY.dimensions)) + shift * fresh[:, None] / TINY.dimensions**0.5
+    assert abs(net.score(points).mean() - 0.9) < 0.05
+
+
+def test_held_out_documents_are_recognised(spark):
+    rows = duckdb.sql(
+        f"SELECT doc_id, text, quality FROM '{SF}/documents.parquet' d JOIN '{SF}/labels.parquet' l USING (doc_id) ORDER BY 1"
+    ).fetchall()
+    documents = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string").repartition(8)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, quality int")
+    truth = {r[0]: r[2] for r in rows}
+    got = quality(documents, labels).collect()
+    assert all(r.held_out == _out(r.doc_id) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in got)
+    held = sorted((r for r in got if r.held_out), key=lambda r: r.score)
+    places = [i for i, r in enumerate(held) if truth[r.doc_id]]
+    positives, negatives = len(places), len(held) - len(places)
+    auc = (sum(places) - positives * (positives - 1) / 2) / (positives * negatives)
+    # always saying 1 has an accuracy of 0.86
+    assert auc > 0.99 and np.mean([r.predicted == truth[r.doc_id] for r in held]) > 0.98
+    # scores are probabilities: a fold's sum is near its number of good documents
+    assert abs(sum(r.score for r in held) - positives) < 0.02 * len(held)
+
+
+def test_labels_of_held_out_documents_are_never_learnt(spark):
+    rng = random.Random(5)
+    rows = [(i, prose(rng, 20) + (" &&& ***" * 5 if i % 2 else " plain end"), "en", "s", 0) for i in range(400)]
+    labels = [(i, 1 - i % 2) for i in range(400)]
+    wrong = [(i, 1 - q if _out(i) else q) for i, q in labels]
+    how = Indexing(rows=1 << 10, dimensions=16, sample=200)
+    first, second = (
+        sorted(map(tuple, quality(frame(spark, rows), spark.createDataFrame(x, "doc_id bigint, quality int"), how).collect()))
+        for x in (labels, wrong)
+    )
+    assert first == second
+    assert np.mean([p == 1 - i % 2 for i, held, _, p in first if held]) > 0.95
+
+
+def test_dirty_and_empty_documents(spark):
+    for labels in ([], [(1, 0), (None, 1), (2, None)], [(i, i % 2) for i in range(16)] + [(3, 0), (3, 1)]):
+        known = spark.createDataFrame(labels, "doc_id bigint, quality int")
+        out = quality(dirty(spark), known, TINY).collect()
+        assert len(out) == len(dirty_rows()) and all(0 <= r.score <= 1 for r in out)
+        texts = {(r[0], r[1]): None for r in dirty_rows()}
+        assert len({(r.doc_id, r.score) for r in out}) <= len(texts)
+        assert quality(empty(spark), known, TINY).count() == 0
+    unlabelled = spark.createDataFrame([], "doc_id bigint, quality int")
+    assert {r.score for r in quality(dirty(spark), unlabelled, TINY).collect()} == {0.5}
