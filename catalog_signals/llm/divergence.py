@@ -68,7 +68,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (lang, source), (counts, found) in held.items():
             terms, n = list(counts), len(counts)
             yield pa.record_batch([
-                pa.array([lang] * n), pa.array([source] * n), pa.array(terms, pa.binary()).cast(pa.string()),
+                pa.array([lang] * n, pa.string()), pa.array([source] * n, pa.string()), pa.array(terms, pa.binary()).cast(pa.string()),
                 pa.array(list(counts.values()), pa.int64()), pa.array([found[t] for t in terms], pa.int64()),
             ], names=["lang", "source", "term", "n", "documents"])
         held.clear()
