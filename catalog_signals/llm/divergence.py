@@ -33,13 +33,15 @@ _COUNTED = "lang string, source string, term string, n bigint, documents bigint"
 class Audit:
     """Terms in ``documents`` documents of a language are kept; ``added`` is added to every count; shares
     are counted in parts of ``scale``; ``top`` terms are reported of a source. Pairs are evaluated in
-    blocks of about ``block`` counts."""
+    blocks of about ``block`` counts, or as many as there are pairs of sources, if that is more, so that no
+    more is summed than read; but never more than ``most_block``, which a task can hold."""
 
     documents: int = 30
     added: int = 5
     scale: int = 1_000_000_000
     top: int = 50
-    block: int = 1 << 20
+    block: int = 1 << 15
+    most_block: int = 1 << 20
 
 
 def _plain(documents: DataFrame) -> DataFrame:
@@ -187,7 +189,8 @@ def differences(table: pa.Table) -> pa.Table:
 
 def _pairs(kept: DataFrame, groups: DataFrame, how: Audit) -> DataFrame:
     """``value`` of every two sources of a language, in both directions."""
-    blocks = kept.count() // how.block + 1
+    sources = groups.groupBy("lang").count().agg(F.max("count")).first()[0] or 0
+    blocks = kept.count() // min(max(how.block, sources**2), how.most_block) + 1
     block = F.pmod(F.xxhash64("term"), F.lit(blocks))
     shares = kept.join(groups.select("lang", "source", "total", "v"), ["lang", "source"])
     present = shares.select("lang", "source", "term", F.expr(_share("n", "total", how)).alias("p"), block.alias("block"))

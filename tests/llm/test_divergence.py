@@ -64,7 +64,7 @@ def _rows(seed, n):
     return rows
 
 
-@pytest.mark.parametrize("how", [SMALL, Audit(documents=3, top=4, block=7), Audit(documents=10_000), Audit(documents=1)])
+@pytest.mark.parametrize("how", [SMALL, Audit(documents=3, top=4, block=7, most_block=20), Audit(documents=10_000), Audit(documents=1)])
 def test_results_equal_those_of_all_terms_and_pairs(spark, how):
     rows = _rows(1, 150)
     got = divergence(frame(spark, rows).repartition(5), how).collect()
