@@ -7,19 +7,19 @@ from functools import reduce
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalog_signals.functions.casts import EXACT_MONEY
 from catalog_signals.operators.lookup import lookup_match_count
+from catalog_signals.operators.ranking import unread_amount
 from catalog_signals.operators.scope import scoped_service_types
+from catalog_signals.operators.spread import splittable_join
 from catalog_signals.operators.versions import latest_version
 from catalog_signals.sources.scans import Clients, of_clients, scan_lookup, scan_subscriptions
 from catalog_signals.sources.tables import CatalogTables
 
 
-
 def source_row_audit(
     tables: CatalogTables, clients: Clients = None, aliases: Mapping[str, Sequence[str]] | None = None
 ) -> DataFrame:
@@ -38,8 +38,6 @@ def source_row_audit(
         )
 
     subscriptions = scan_subscriptions(tables.subscriptions, clients)
-    unread = F.col("amountText").isNotNull() & F.col("amount").try_cast(EXACT_MONEY).isNull()
-
     counts = {
         "service_types": rows_of(versions, "clientId"),
         "merged_service_types": rows_of(tables.merged_service_types),
@@ -48,8 +46,41 @@ def source_row_audit(
         "after_dedupe": rows_of(versions.select("clientId", "TYPE_ID").distinct(), "clientId"),
         "appointments": rows_of(tables.visits),
         "subscriptions": rows_of(tables.subscriptions),
-        "unread_amounts": rows_of(subscriptions.where(unread), "clientId"),
+        "unread_amounts": rows_of(subscriptions.where(unread_amount()), "clientId"),
     }
+    return _stacked(counts)
+
+
+def audit_of_reductions(
+    versions: DataFrame, names: DataFrame, history: DataFrame, usage: DataFrame, validation: DataFrame
+) -> DataFrame:
+    """``source_row_audit`` out of what a report has reduced its inputs to, without reading them again.
+
+    Exact whatever is run again after a lost executor, which counters kept beside a running query are not.
+    """
+    matches = F.col("n_true") + F.col("n_false") + F.col("n_other")
+
+    def per_client(df: DataFrame, rows: Column) -> DataFrame:
+        return df.groupBy("clientId").agg(F.sum(rows).alias("n"))
+
+    one = F.lit(1).cast("bigint")
+    by_name = names.select("clientId", F.col("serviceType").alias("DESCRIPTION"), matches.alias("_matches"))
+    keys = ["clientId", "DESCRIPTION"]
+    named = splittable_join(versions, by_name, keys, null_safe=["DESCRIPTION"])
+    return _stacked({
+        "service_types": per_client(versions, one),
+        "merged_service_types": per_client(validation, F.col("copies")),
+        "recurring_lookup": per_client(names, matches),
+        "before_dedupe": per_client(named, F.greatest(F.coalesce("_matches", one), one)),
+        "after_dedupe": per_client(versions.select("clientId", "TYPE_ID").distinct(), one),
+        "appointments": per_client(history, F.col("type_visits")),
+        "subscriptions": per_client(usage, F.col("subscriptions")),
+        "unread_amounts": per_client(usage, F.col("unread")),
+    })
+
+
+def _stacked(counts: dict[str, DataFrame]) -> DataFrame:
+    """One row per client with a column per source, 0 where a source has none of the client."""
     stacked = reduce(
         DataFrame.unionByName,
         [df.select("clientId", "n", F.lit(name).alias("source")) for name, df in counts.items()],

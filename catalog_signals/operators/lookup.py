@@ -149,11 +149,21 @@ def reference_mismatch(types: DataFrame, merged: DataFrame) -> DataFrame:
     A type is repeated for each of its differing validation rows. Those rows are counted per
     distinct description first, and one left join serves the lacking and the differing types.
     """
+    return mismatch_of_counts(types, validation_counts(merged))
+
+
+def validation_counts(merged: DataFrame) -> DataFrame:
+    """Validation rows per client, type and description, as ``copies``."""
+    return merged.groupBy("clientId", "TYPE_ID", "DESCRIPTION").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def mismatch_of_counts(types: DataFrame, validation: DataFrame) -> DataFrame:
+    """``reference_mismatch`` out of ``validation_counts``."""
     mine = types.select("clientId", "TYPE_ID", "DESCRIPTION")
-    theirs = merged.groupBy(
+    theirs = validation.select(
         F.col("clientId").alias("_client"), F.col("TYPE_ID").alias("_type"),
-        F.col("DESCRIPTION").alias("DESCRIPTION_MERGED"),
-    ).agg(F.count(F.lit(1)).alias("copies"))
+        F.col("DESCRIPTION").alias("DESCRIPTION_MERGED"), "copies",
+    )
     same_type = (F.col("clientId") == F.col("_client")) & F.col("TYPE_ID").eqNullSafe(F.col("_type"))
     joined = mine.join(theirs, same_type, "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
     merged_text = F.col("DESCRIPTION_MERGED")

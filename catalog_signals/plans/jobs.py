@@ -8,15 +8,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from catalog_signals.config import DEFAULTS, Params
-from catalog_signals.operators.audit import source_row_audit
-from catalog_signals.operators.lookup import reference_mismatch
-from catalog_signals.operators.scope import roll_up_facts, scoped_service_types
-from catalog_signals.operators.versions import latest_types
+from catalog_signals.operators.audit import audit_of_reductions
+from catalog_signals.operators.lookup import mismatch_of_counts
+from catalog_signals.operators.scope import roll_up_facts
+from catalog_signals.operators.versions import dedupe_types
 from catalog_signals.plans.outputs import activity_filter, review_metrics, review_queue_unfiltered
-from catalog_signals.plans.report import Store, analysed, build_report, to_report
+from catalog_signals.plans.report import analysed, build_report, reduced_inputs, to_report
 from catalog_signals.plans.share_report import share_report
-from catalog_signals.sources.scans import Clients, requested_clients, scan_merged_service_types
-from catalog_signals.sources.sinks import write_path, write_per_client, write_report
+from catalog_signals.sources.scans import Clients, requested_clients
+from catalog_signals.sources.sinks import deliver, report_outputs, write_report
+from catalog_signals.sources.snapshots import Snapshot
 from catalog_signals.sources.tables import CatalogTables
 
 
@@ -29,27 +30,29 @@ def run_report(
     params: Params = DEFAULTS,
     roll_up: bool = False,
 ) -> dict[str, DataFrame]:
-    """The types in use: full report, review queue, splits, and ``clients``, one folder per client; and
-    what the inputs and the evidence are worth: ``mismatches``, ``audit`` and ``metrics``.
+    """The types in use: full report, review queue, splits, and the delivery per client; and what the inputs
+    and the evidence are worth: ``mismatches``, ``audit`` and ``metrics``.
 
-    The visits are read once, for ``history``; ``analysis`` is computed once and the rest is cut from it.
+    Every input is read once, for its reduction; ``analysis`` is computed once from the reductions, and the
+    rest is cut from these. All outputs appear in ``folder`` at one moment, at the end
+    (``sources.snapshots``), to be read with ``read_outputs`` and ``read_client_report``.
     """
     clients = requested_clients(clients)
     if roll_up:
         tables = roll_up_facts(tables, clients, aliases)
-    history: Store = lambda df: write_path(df, f"{folder}/history")
-    rows = analysed(tables, as_of, clients, aliases, params=params, store=history)
-    rows = write_path(rows, f"{folder}/analysis")
-    written = write_report(activity_filter(to_report(rows).drop("copies")), folder)
-    named = clients if isinstance(clients, list) else ()
-    write_per_client(written["report"], f"{folder}/clients", covered=named, everyone=clients is None)
-    types = latest_types(scoped_service_types(tables.service_types, clients, aliases), "clientId")
-    checks = {
-        "mismatches": reference_mismatch(types, scan_merged_service_types(tables.merged_service_types, clients)),
-        "audit": source_row_audit(tables, clients, aliases),
-        "metrics": review_metrics(rows),
-    }
-    return written | {name: write_path(df, f"{folder}/{name}") for name, df in checks.items()}
+    with Snapshot(tables.visits.sparkSession, folder) as run:
+        inputs = reduced_inputs(tables, run.write, clients, aliases, params)
+        rows = run.write("analysis", analysed(inputs, as_of, params=params))
+        written = report_outputs(run, activity_filter(to_report(rows).drop("copies")))
+        deliver(run, written["report"], covered=() if clients is None else clients, everyone=clients is None)
+        checks = {
+            "mismatches": mismatch_of_counts(dedupe_types(inputs.versions), inputs.validation),
+            "audit": audit_of_reductions(
+                inputs.versions, inputs.names, inputs.history, inputs.usage, inputs.validation
+            ),
+            "metrics": review_metrics(rows),
+        }
+        return written | {name: run.write(name, df) for name, df in checks.items()}
 
 
 def run_unfiltered_report(
@@ -79,4 +82,5 @@ def run_share_report(
     sources to the logical clients that are asked for."""
     if roll_up:
         tables = roll_up_facts(tables, clients, aliases)
-    return write_path(share_report(tables, clients, aliases), f"{folder}/appointment_share")
+    with Snapshot(tables.visits.sparkSession, folder) as run:
+        return run.write("appointment_share", share_report(tables, clients, aliases))

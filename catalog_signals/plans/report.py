@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,9 +32,12 @@ from catalog_signals.operators.lookup import (
     name_facts,
     name_types,
     name_types_fanout,
+    validation_counts,
 )
 from catalog_signals.operators.ranking import (
     active_revenue,
+    revenue_of_facts,
+    subscription_facts,
     top_k,
     visit_counts,
     with_client_total,
@@ -49,13 +53,21 @@ from catalog_signals.operators.signals import (
     keyword_signals,
     mapping_signal,
 )
-from catalog_signals.operators.versions import latest_types, latest_version, version_order
-from catalog_signals.sources.scans import Clients, requested_clients, scan_lookup, scan_subscriptions, scan_visits
+from catalog_signals.operators.versions import dedupe_types, latest_types, latest_version, version_order
+from catalog_signals.sources.scans import (
+    Clients,
+    requested_clients,
+    scan_lookup,
+    scan_merged_service_types,
+    scan_subscriptions,
+    scan_visits,
+)
 from catalog_signals.sources.tables import CatalogTables
 
 _TYPE = ["clientId", "TYPE_ID"]
 
-Store = Callable[[DataFrame], DataFrame]
+#: Writes a frame under a name and reads it back.
+Store = Callable[[str, DataFrame], DataFrame]
 
 # The report's columns, in order.
 REPORT_SCHEMA = T.StructType()
@@ -145,32 +157,70 @@ def _named_versions(types: DataFrame, names: DataFrame) -> DataFrame:
     return named.withColumn("repeated_name", F.first("repeated_name").over(versions))
 
 
-def evidence_frame(
+@dataclass(frozen=True)
+class Reductions:
+    """What a report reads of its inputs: the latest ``versions`` of service types, the facts of their
+    ``names``, the ``history`` of visits and the ``usage`` by subscriptions of every type, and the rows of
+    the ``validation`` table, counted."""
+
+    versions: DataFrame
+    names: DataFrame
+    history: DataFrame
+    usage: DataFrame
+    validation: DataFrame
+
+
+def reduced_inputs(
     tables: CatalogTables,
+    store: Store,
+    clients: Clients = None,
+    aliases: Mapping[str, Sequence[str]] | None = None,
+    params: Params = DEFAULTS,
+) -> Reductions:
+    """The inputs, each read once, reduced and stored; report, checks and audit start from there."""
+    clients = requested_clients(clients)
+    raw = scoped_service_types(tables.service_types, clients, aliases)
+    versions = store("versions", latest_version(raw, "clientId"))
+    names = name_facts(dedupe_types(versions), scan_lookup(tables.lookup, clients))
+    history = type_history(scan_visits(tables.visits, clients), params, untyped=True)
+    merged = scan_merged_service_types(tables.merged_service_types, clients)
+    return Reductions(
+        versions,
+        store("names", names),
+        store("history", history),
+        store("usage", subscription_facts(scan_subscriptions(tables.subscriptions, clients))),
+        store("validation", validation_counts(merged)),
+    )
+
+
+def evidence_frame(
+    tables: CatalogTables | Reductions,
     clients: Clients = None,
     aliases: Mapping[str, Sequence[str]] | None = None,
     dedupe: bool = True,
     ranks: bool = True,
     params: Params = DEFAULTS,
-    store: Store | None = None,
 ) -> DataFrame:
     """Catalogue rows with every signal, the usage figures and, with ``ranks``, the top-k marks.
     ``copies`` is the number of report rows a row stands for (1 with ``dedupe``).
 
-    ``store`` writes a frame and reads it back. With it, the visits are reduced once, to a row per type
-    that all their figures are taken from; without it, a second scan counts them.
+    Out of ``Reductions``, which go with ``dedupe`` and have their clients chosen already, nothing is read
+    twice; out of raw tables, a second scan of two columns counts the visits.
     """
-    clients = requested_clients(clients)
-    raw = scoped_service_types(tables.service_types, clients, aliases)
-    types = latest_types(raw, "clientId") if dedupe else latest_version(raw, "clientId")
-    names = name_facts(types, scan_lookup(tables.lookup, clients))
-    visits = scan_visits(tables.visits, clients)
-    revenue = active_revenue(scan_subscriptions(tables.subscriptions, clients))
-    if store:
-        history = store(type_history(visits, params, untyped=True))
-        counts = history.select(*_TYPE, F.col("type_visits").alias("n"))
-        history = history.where("TYPE_ID is not null")
+    if isinstance(tables, Reductions):
+        if not dedupe:
+            raise ValueError("reductions are those of deduped types")
+        types, names = dedupe_types(tables.versions), tables.names
+        revenue = revenue_of_facts(tables.usage)
+        counts = tables.history.select(*_TYPE, F.col("type_visits").alias("n"))
+        history = tables.history.where("TYPE_ID is not null")
     else:
+        clients = requested_clients(clients)
+        raw = scoped_service_types(tables.service_types, clients, aliases)
+        types = latest_types(raw, "clientId") if dedupe else latest_version(raw, "clientId")
+        names = name_facts(types, scan_lookup(tables.lookup, clients))
+        visits = scan_visits(tables.visits, clients)
+        revenue = active_revenue(scan_subscriptions(tables.subscriptions, clients))
         history, counts = type_history(visits, params), visit_counts(visits)
 
     # Every signal is computed as soon as its inputs are there: the code of the last stage, which would
@@ -190,17 +240,16 @@ def evidence_frame(
 
 
 def analysed(
-    tables: CatalogTables,
+    tables: CatalogTables | Reductions,
     as_of: dt.datetime | str,
     clients: Clients = None,
     aliases: Mapping[str, Sequence[str]] | None = None,
     dedupe: bool = True,
     ranks: bool = True,
     params: Params = DEFAULTS,
-    store: Store | None = None,
 ) -> DataFrame:
     """The report's rows under internal names, with conflict and violation counts."""
-    rows = evidence_frame(tables, clients, aliases, dedupe, ranks, params, store)
+    rows = evidence_frame(tables, clients, aliases, dedupe, ranks, params)
     rows = constraint_correction(final_signals(conflict_reasons(rows, params), params), params)
     cutoff = years_before(as_of, params.activity_years)
     rows = expired_flag(rows.withColumn("recent", F.coalesce(F.col("latest") >= cutoff, F.lit(False))))

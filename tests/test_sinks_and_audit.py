@@ -1,14 +1,15 @@
 from dataclasses import replace
 
+import pytest
 from frames import AS_OF, rows, sub_row, tables, type_row, visit_row
 
 from catalog_signals import build_report, read_tables
 from catalog_signals.operators import lookup, scope
-from catalog_signals.operators.audit import source_row_audit, table_profile
+from catalog_signals.operators.audit import audit_of_reductions, source_row_audit, table_profile
 from catalog_signals.operators.versions import latest_types
 from catalog_signals.plans import jobs, outputs
-from catalog_signals.plans.report import analysed, evidence_frame
-from catalog_signals.sources import scans, sinks
+from catalog_signals.plans.report import analysed, evidence_frame, reduced_inputs
+from catalog_signals.sources import scans, sinks, snapshots
 from catalog_signals.sources.tables import TABLE_NAMES
 
 
@@ -29,7 +30,7 @@ def test_written_reports_can_be_replaced(spark, tmp_path):
     for _ in range(2):
         written = sinks.write_report(report, folder)
         assert set(written) == {"report", "review_queue", "ask_client", "settled_summary"}
-        assert rows(spark.read.parquet(f"{folder}/report"), "*") == rows(report, "*")
+        assert rows(snapshots.read_outputs(spark, folder)["report"], "*") == rows(report, "*")
         assert rows(written["review_queue"], "*") == rows(outputs.review_queue(report), "*")
         assert rows(written["settled_summary"], "*") == rows(outputs.settled_summary(report), "*")
 
@@ -55,10 +56,10 @@ def test_a_covered_client_without_rows_loses_its_folder(spark, tmp_path):
     path, report = str(tmp_path / "clients"), build_report(example(spark), AS_OF)
     sinks.write_per_client(report, path)
     sinks.write_per_client(report.limit(0), path, covered=["A", "Z"])
-    left = spark.read.schema(report.schema).parquet(path)
+    left = sinks.read_delivery(spark, path)
     assert rows(left.select("Client").distinct(), "Client") == [("B",)]
     sinks.write_per_client(report.where("Client = 'A'"), path, everyone=True)
-    assert rows(spark.read.parquet(path).select("Client").distinct(), "Client") == [("A",)]
+    assert rows(sinks.read_delivery(spark, path).select("Client").distinct(), "Client") == [("A",)]
 
 
 def test_a_corrupt_file_spoils_its_own_table_only(spark, tmp_path):
@@ -132,7 +133,7 @@ def test_batch_runs(spark, tmp_path):
     used = outputs.activity_filter(build_report(inputs, AS_OF))
     assert rows(written["report"], "*") == rows(used, "*")
     assert written["report"].count() == 4  # type 3 of either client is not in use
-    client = sinks.read_client_report(spark, f"{folder}/a/clients", "B")
+    client = sinks.read_client_report(spark, f"{folder}/a", "B")
     assert rows(client["report"], "*") == rows(used.where("Client = 'B'"), "*")
     assert rows(written["metrics"], "*") == rows(outputs.review_metrics(analysed(inputs, AS_OF)), "*")
     assert rows(written["audit"], "*") == rows(source_row_audit(inputs), "*")
@@ -142,7 +143,7 @@ def test_batch_runs(spark, tmp_path):
     # a client that lost its activity loses its folder with the next run
     quiet = replace(inputs, visits=inputs.visits.where("clientID <> 'B'"), subscriptions=inputs.subscriptions.where("clientID <> 'B'"))
     jobs.run_report(quiet, AS_OF, f"{folder}/a", clients="A, B")
-    left = spark.read.schema(used.schema).parquet(f"{folder}/a/clients").select("Client").distinct()
+    left = sinks.read_delivery(spark, f"{folder}/a").select("Client").distinct()
     assert rows(left, "Client") == [("A",)]
     unfiltered = jobs.run_unfiltered_report(inputs, AS_OF, f"{folder}/b", clients=["A"])
     assert unfiltered["report"].count() == 5
@@ -153,17 +154,25 @@ def test_batch_runs(spark, tmp_path):
     ]
 
 
-def test_stored_history_replaces_the_second_scan(spark):
-    """The figures taken from one reduction of the visits are those of two scans, for all clients."""
+def test_reductions_replace_the_inputs(spark):
+    """Evidence and audit taken from one reduction of every input are those of the inputs, for all clients."""
     inputs = example(spark)
     visits = inputs.visits.unionByName(inputs.visits.limit(1).selectExpr("* EXCEPT (type)", "'unknown' AS type"))
-    inputs = replace(inputs, visits=visits)
-    stored = []
+    more = spark.createDataFrame([sub_row("n/a", "x", "C"), sub_row("$1", "2", "A"), sub_row("1e400", "2", "B")], inputs.subscriptions.schema)
+    inputs = replace(inputs, visits=visits, subscriptions=inputs.subscriptions.unionByName(more))
+    stored = {}
 
-    def store(df):
-        stored.append(df)
-        return spark.createDataFrame(df.collect(), df.schema)
+    def store(name, df):
+        stored[name] = spark.createDataFrame(df.collect(), df.schema)
+        return stored[name]
 
-    once, twice = (evidence_frame(inputs, store=s) for s in (store, None))
+    reduced = reduced_inputs(inputs, store)
+    once, twice = (evidence_frame(t) for t in (reduced, inputs))
     columns = sorted(twice.columns)
-    assert len(stored) == 1 and rows(once, *columns) == rows(twice, *columns)
+    assert set(stored) == {"versions", "names", "history", "usage", "validation"}
+    assert rows(once, *columns) == rows(twice, *columns)
+    audit = audit_of_reductions(**stored)
+    assert audit.columns == source_row_audit(inputs).columns
+    assert rows(audit, "*") == rows(source_row_audit(inputs), "*")
+    with pytest.raises(ValueError):
+        evidence_frame(reduced, dedupe=False)

@@ -1,0 +1,200 @@
+"""Outputs appear together: crashes, concurrent runs, clean-up, layers of the delivery, replaced tables."""
+
+import re
+import signal
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+from frames import AS_OF, rows, sub_row, tables, type_row, visit_row
+
+from catalog_signals import build_report, read_tables
+from catalog_signals.plans import jobs
+from catalog_signals.sources import sinks, snapshots
+from catalog_signals.sources.snapshots import ConcurrentRun, Snapshot, read_outputs, vacuum
+from catalog_signals.sources.tables import TABLE_NAMES
+
+REPO = Path(__file__).resolve().parent.parent
+
+
+def example(spark, description="x", clients="AB"):
+    return tables(
+        spark,
+        types=[type_row(c, t, description, FREQUENCY="1") for c in clients for t in "12"],
+        merged=[("1", "A", "x")],
+        visits=[visit_row(client=c, type_id=t) for c in clients for t in "12"],
+        subs=[sub_row(client=c, type_id="1") for c in clients],
+        lookup=[("A", "x", "TRUE")],
+    )
+
+
+def values(spark, folder):
+    return {name: sorted(r[0] for r in df.collect()) for name, df in read_outputs(spark, folder).items()}
+
+
+@pytest.mark.parametrize("writes_before_the_crash", range(4))
+def test_a_run_that_fails_changes_nothing(spark, tmp_path, writes_before_the_crash):
+    folder = str(tmp_path)
+    with Snapshot(spark, folder) as run:
+        for name in "abc":
+            run.write(name, spark.range(1))
+    with pytest.raises(ZeroDivisionError), Snapshot(spark, folder) as run:
+        for name in list("abc")[:writes_before_the_crash]:
+            run.write(name, spark.range(5, 7))
+        1 / 0
+    assert values(spark, folder) == {"a": [0], "b": [0], "c": [0]}
+    with Snapshot(spark, folder) as run:
+        run.write("b", spark.range(2))
+    assert values(spark, folder) == {"a": [0], "b": [0, 1], "c": [0]}
+
+
+_KILLED = """
+import os, signal, sys
+from pyspark.sql import SparkSession
+from catalog_signals import read_tables
+from catalog_signals.plans import jobs
+from catalog_signals.sources import snapshots
+
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "2").getOrCreate())
+save, left = snapshots.Snapshot.save, [{writes}]
+
+def until(self, *args, **more):
+    if not left[0]:
+        os.kill(os.getpid(), signal.SIGKILL)
+    left[0] -= 1
+    return save(self, *args, **more)
+
+snapshots.Snapshot.save = until
+jobs.run_report(read_tables(spark, path="{inputs}"), "{as_of}", "{folder}")
+"""
+
+
+def test_readers_see_one_whole_run_after_a_killed_one(spark, tmp_path):
+    """The job is killed between two writes, after the report and before the delivery."""
+    folder, inputs = str(tmp_path / "out"), str(tmp_path / "in")
+    jobs.run_report(example(spark, "old"), AS_OF, folder)
+    newer = example(spark, "new", clients="BC")
+    for attribute, name in TABLE_NAMES.items():
+        getattr(newer, attribute).write.parquet(f"{inputs}/{name}")
+    before = {name: rows(df, "*") for name, df in read_outputs(spark, folder).items()}
+    code = _KILLED.format(writes=8, inputs=inputs, as_of=AS_OF, folder=folder)
+    died = subprocess.run([sys.executable, "-c", code], cwd=REPO, capture_output=True, text=True, timeout=300)
+    assert died.returncode == -signal.SIGKILL, died.stderr
+    runs = sorted(p.name for p in (tmp_path / "out/runs").iterdir())
+    assert len(runs) == 2 and {"report", "analysis"} <= {p.name for p in (tmp_path / "out/runs" / runs[1]).iterdir()}
+    assert {name: rows(df, "*") for name, df in read_outputs(spark, folder).items()} == before
+    assert {r.DESCRIPTION for r in sinks.read_delivery(spark, folder).collect()} == {"old"}
+    jobs.run_report(read_tables(spark, path=inputs), AS_OF, folder)
+    after = read_outputs(spark, folder)
+    assert {r.DESCRIPTION for r in after["report"].collect()} == {"new"}
+    assert {r.Client for r in sinks.read_delivery(spark, folder).collect()} == {"B", "C"}
+
+
+def test_of_two_concurrent_runs_the_second_fails(spark, tmp_path):
+    folder = str(tmp_path)
+    first, second = Snapshot(spark, folder), Snapshot(spark, folder)
+    first.write("a", spark.range(1))
+    second.write("a", spark.range(2))
+    second.commit()
+    with pytest.raises(ConcurrentRun):
+        first.commit()
+    assert values(spark, folder) == {"a": [0, 1]}
+    assert not [p for p in (tmp_path / "_manifests").iterdir() if len(p.name) > len(".000000000001.json.crc")]
+
+
+def test_vacuum_keeps_what_manifests_name(spark, tmp_path):
+    folder = str(tmp_path)
+    for n in (1, 2, 3):
+        with Snapshot(spark, folder) as run:
+            run.write("a", spark.range(n))
+            if n == 1:
+                run.write("old", spark.range(9, 10))
+    Snapshot(spark, folder).write("dead", spark.range(1))
+    assert vacuum(spark, folder) == []  # all are young
+    names = sorted(p.name for p in (tmp_path / "runs").iterdir())
+    removed = vacuum(spark, folder, keep=1, older_than_hours=0)
+    # the first run still holds an output, the last one is current
+    assert len(names) == 4 and len(removed) == 2
+    assert values(spark, folder) == {"a": [0, 1, 2], "old": [9]}
+    assert len(list((tmp_path / "_manifests").glob("[0-9]*.json"))) == 1
+
+
+def test_outputs_without_rows_keep_their_columns(spark, tmp_path):
+    report = build_report(example(spark), AS_OF)
+    sinks.write_report(report.limit(0), str(tmp_path))
+    outputs = read_outputs(spark, str(tmp_path))
+    assert outputs["report"].schema.simpleString() == report.schema.simpleString()
+    assert all(df.count() == 0 for df in outputs.values())
+    sinks.write_per_client(report.limit(0), str(tmp_path / "clients"))
+    assert sinks.read_delivery(spark, str(tmp_path / "clients")).columns == report.columns
+    assert sinks.read_client_report(spark, str(tmp_path / "nothing"), "A")["report"].count() == 0
+    assert read_outputs(spark, str(tmp_path / "nothing")) == {}
+
+
+@pytest.mark.parametrize("most_layers", [1, 3, 16])
+def test_layers_give_each_client_its_last_delivery(spark, tmp_path, monkeypatch, most_layers):
+    monkeypatch.setattr(sinks, "MOST_LAYERS", most_layers)
+    folder, report = str(tmp_path), build_report(example(spark, clients="ABCD"), AS_OF).cache()
+    odd = "a/b=c %"
+    named = report.where("Client = 'A'").drop("Client").selectExpr("*", f"'{odd}' AS Client")
+    expected = {}
+    steps = [
+        ("ABCD", [], False), ("AB", ["C"], False), ("B", spark.createDataFrame([("D",), ("Z",)], "name string"), False),
+        ("C", [], False), ("", ["A"], False), ("AD", [], False),
+    ]
+    for number, (clients, covered, everyone) in enumerate(steps):
+        part = report.where(report.Client.isin(list(clients))) if clients else report.limit(0)
+        part = part.withColumn("DESCRIPTION", sinks.F.lit(str(number)))
+        if number == 0:
+            part = part.unionByName(named.withColumn("DESCRIPTION", sinks.F.lit("0")).select(part.columns))
+            expected[odd] = "0"
+        for gone in covered if isinstance(covered, list) else ["D", "Z"]:
+            expected.pop(gone, None)
+        expected |= dict.fromkeys(clients, str(number))
+        sinks.write_per_client(part, folder, covered=covered, everyone=everyone)
+        found = {(r.Client, r.DESCRIPTION) for r in sinks.read_delivery(spark, folder).select("Client", "DESCRIPTION").collect()}
+        assert found == set(expected.items())
+    assert len(snapshots.latest(spark, folder).layers) <= most_layers
+    one = sinks.read_client_report(spark, folder, odd)["report"]
+    assert {r.DESCRIPTION for r in one.collect()} == {"0"} and one.count() == 2
+    sinks.write_per_client(report.where("Client = 'B'"), folder, everyone=True)
+    assert {r.Client for r in sinks.read_delivery(spark, folder).collect()} == {"B"}
+
+
+def test_a_table_keeps_its_rows_until_the_new_ones_are_written(spark):
+    spark.sql("DROP TABLE IF EXISTS kept")
+    try:
+        for n in (3, 2, 5, 4):
+            assert sinks.write_table(spark.range(n), "kept").count() == n
+        with pytest.raises(Exception, match="(?i)divi"):
+            sinks.write_table(spark.range(9).selectExpr("1 div (id - 8) AS id"), "kept")
+        assert spark.table("kept").count() == 4
+        with pytest.raises(ValueError):
+            sinks.write_table(spark.range(2).selectExpr("id AS other"), "kept")
+        root = Path(spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")) / "kept.versions"
+        assert len(list(root.iterdir())) <= 3  # the current folder, the one before, and the failed one
+    finally:
+        spark.sql("DROP TABLE kept")
+
+
+def test_a_run_reads_every_input_once(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "in")
+    inputs = example(spark)
+    for attribute, name in TABLE_NAMES.items():
+        getattr(inputs, attribute).write.parquet(f"{folder}/{name}")
+    plans, save = [], Snapshot.save
+
+    def noted(self, name, df, *more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return save(self, name, df, *more)
+
+    monkeypatch.setattr(Snapshot, "save", noted)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        jobs.run_report(read_tables(spark, path=folder), AS_OF, str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    read = re.findall(r"FileScan parquet [^\n]*InMemoryFileIndex\(1 paths\)\[file:" + re.escape(folder) + r"/(\w+)\]", "\n".join(plans))
+    assert sorted(read) == sorted(TABLE_NAMES.values())
