@@ -7,6 +7,7 @@ logical column arrives as text from one source and already typed from another.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,16 +63,45 @@ def safe_timestamp(df: DataFrame, name: str) -> Column:
         return _in_utc(col)
     if not isinstance(dtype, T.StringType):
         return col.try_cast("timestamp_ntz")
-    text = clean_text(col)
-    iso = F.regexp_replace(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})\b", "$3-$1-$2")
-    iso = F.regexp_replace(iso, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
-    iso = F.regexp_replace(iso, r"^([A-Za-z]{3})[a-z]*\.? (\d{1,2}),? (\d{4})\b", "$3-$1-$2")
-    iso = F.regexp_replace(iso, r"^(\d{1,2}) ([A-Za-z]{3})[a-z]*\.? (\d{4})\b", "$3-$2-$1")
-    month = F.regexp_extract(iso, r"^\d{4}-([A-Za-z]{3})-", 1)
-    number = F.floor((F.instr(F.lit(_MONTHS), F.lower(month)) + 3) / 4)
-    named = F.concat(F.substring(iso, 1, 5), number.cast("string"), F.substring(iso, 9, 100))
-    iso = F.when(F.length(month) > 0, named).otherwise(iso)
-    return F.when(text.rlike(_OFFSET), _in_utc(text.try_cast("timestamp"))).otherwise(iso.try_cast("timestamp_ntz"))
+    return _computed_once(clean_text(col), _read_date)
+
+
+def _computed_once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)``, with the value computed once however often it is referred to.
+
+    A filter on the result is pushed below the projections that make the value, and has a copy of it
+    for every reference; the argument of a lambda stays one.
+    """
+    return F.transform(F.array(value), then)[0]
+
+
+def _read_date(text: Column) -> Column:
+    """Plain ISO text is the common case and takes one cast; offsets need a colon to be looked for."""
+    moment = F.contains(text, F.lit(":")) & text.rlike(_OFFSET)
+    local = F.coalesce(text.try_cast("timestamp_ntz"), _other_formats(text).try_cast("timestamp_ntz"))
+    return F.when(moment, _in_utc(text.try_cast("timestamp"))).otherwise(local)
+
+
+def _other_formats(text: Column) -> Column:
+    """ISO text for the other ways to write a date. Only what is no ISO text comes here, and a look at its
+    characters decides which one expression it goes through."""
+    numbers = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
+    slashes = F.regexp_replace(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})\b", "$3-$1-$2")
+    month_first = F.regexp_replace(text, r"^([A-Za-z]{3})[a-z]*\.? (\d{1,2}),? (\d{4})\b", "$3-$1-$2")
+    day_first = F.regexp_replace(text, r"^(\d{1,2}) ([A-Za-z]{3})[a-z]*\.? (\d{4})\b", "$3-$2-$1")
+    return (
+        F.when(F.contains(text, F.lit("/")), slashes)
+        .when(text >= "A", _month_number(month_first))
+        .when((F.length(text) == 8) & (text.try_cast("int") > 0), numbers)
+        .when(F.contains(text, F.lit(" ")), _month_number(day_first))
+    )
+
+
+def _month_number(iso: Column) -> Column:
+    """``2024-Jun-1`` with the month as a number, 0 if there is no such month."""
+    month = F.lower(F.substring(iso, 6, 3))
+    number = F.floor((F.instr(F.lit(_MONTHS), month) + 3) / 4)
+    return F.concat(F.substring(iso, 1, 5), number.cast("string"), F.substring(iso, 9, 100))
 
 
 def _in_utc(moment: Column) -> Column:

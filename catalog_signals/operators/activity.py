@@ -23,7 +23,8 @@ def recent_activity(
     types: DataFrame, visits: DataFrame, as_of: dt.datetime | str, params: Params = DEFAULTS
 ) -> DataFrame:
     """Adds ``recent``: a visit on or after ``as_of`` minus the activity window, future ones
-    included. The date bound reaches the Parquet scan."""
+    included. The bound reaches the Parquet scan where dates are stored as zone-less timestamps; texts
+    have to be parsed first."""
     cutoff = years_before(as_of, params.activity_years)
     present = visits.where(F.col("visitDate") >= cutoff).select(*_TYPE).distinct()
     return _flag_presence(types, present, "recent")

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.errors import PySparkException
@@ -170,3 +171,43 @@ def test_amounts_out_of_range_are_null_and_never_fail(spark):
 def test_integral_decimal_texts_are_ids(spark):
     df = spark.createDataFrame([(t,) for t in ("7.0", " 7.", "7.5", ".0", "7.00 ")], "t string")
     assert [r[0] for r in df.select(safe_bigint(df, "t")).collect()] == [7, 7, None, None, 7]
+
+
+def _date_of(text):
+    """The formats one after the other, each by an expression of its own, as a brute-force model."""
+    months = "jan feb mar apr may jun jul aug sep oct nov dec".split()
+    text = text.strip()
+    if re.search(r":\d{2}(\.\d+)?\s*(Z|[+-]\d{2}:\d{2})$", text):
+        return dt.datetime.fromisoformat(text.replace("Z", "+00:00")).astimezone(dt.timezone.utc).replace(tzinfo=None)
+    patterns = [
+        (r"(\d{4})-(\d{1,2})-(\d{1,2})", "ymd"), (r"(\d{1,2})/(\d{1,2})/(\d{4})", "mdy"), (r"(\d{4})(\d{2})(\d{2})$", "ymd"),
+        (r"([A-Za-z]{3})[a-z]*\.? (\d{1,2}),? (\d{4})", "mdy"), (r"(\d{1,2}) ([A-Za-z]{3})[a-z]*\.? (\d{4})", "dmy"),
+    ]
+    for pattern, order in patterns:
+        found = re.match(pattern + r"(?:[ T](\d{1,2}):(\d{2})(?::(\d{2}))?)?$", text)
+        if found:
+            parts = dict(zip(order, found.groups()))
+            if not parts["m"].isdigit():
+                if parts["m"].lower() not in months:
+                    return None
+                parts["m"] = months.index(parts["m"].lower()) + 1
+            try:
+                return dt.datetime(*[int(parts[k]) for k in "ymd"], *[int(t or 0) for t in found.groups()[3:]])
+            except ValueError:
+                return None
+    return None
+
+
+def test_every_format_with_and_without_a_time(spark):
+    days = [
+        "2024-02-29", "2023-02-29", "2024-6-1", "02/29/2024", "2/9/2024", "13/1/2024", "20240229", "20241301", "00000000",
+        "Feb 29, 2024", "February 9 2024", "Sept. 9, 2024", "Foo 9, 2024", "29 Feb 2024", "9 febr. 2024", "31 Apr 2024", "MAR 3, 2024",
+        "soon", "", "12:30:00", "1 Jun 24", "2024", "2024 6 1", "/", "a/b/2024", "abcdefgh", "99999999",
+    ]
+    times = ["", " 10:20:30", " 7:05"]
+    texts = [f" {d}{t}\t" for d in days for t in times if not (len(d) == 8 and d.isdigit() and t)]
+    texts += ["2024-06-01T10:00:00+02:00", "2024-06-01T10:00:00.500-05:00", "2024-06-01 10:00:00Z"]
+    texts.remove(" 2024\t")  # a year alone is the year's first day here, and nothing to the model
+    df = column(spark, texts, "string")
+    for text, got in zip(texts, values(df, safe_timestamp(df, "x"))):
+        assert got == _date_of(text), text
