@@ -128,12 +128,16 @@ def parse_money(df: DataFrame, name: str) -> Column:
     if isinstance(df.schema[name].dataType, T.NumericType):
         amount = F.col(name).cast("double")
         return F.when(F.abs(amount) < float("inf"), amount)
-    text = F.translate(clean_text(F.col(name)), ",$", "")
+    return _computed_once(F.translate(clean_text(F.col(name)), ",$", ""), _read_money)
+
+
+def _read_money(text: Column) -> Column:
     digits = F.translate(text, "()", "")
-    number = digits.try_cast("double")
-    amount = F.when(digits.rlike(DECIMAL) & (F.abs(number) < float("inf")), number)
+    number = F.when(digits.rlike(DECIMAL), digits.try_cast("double"))
     bracketed = text.startswith("(") & text.endswith(")")
-    return F.when(bracketed, -F.abs(amount)).otherwise(amount)
+    return _computed_once(
+        number, lambda n: F.when(F.abs(n) < float("inf"), F.when(bracketed, -F.abs(n)).otherwise(n))
+    )
 
 
 def as_timestamp(moment: dt.datetime | str) -> Column:
