@@ -15,34 +15,48 @@ def distinct_clients(raw: DataFrame) -> DataFrame:
     return of_clients(raw, None, "CLIENT").select(F.col("CLIENT").alias("clientId")).distinct()
 
 
+def _pairs(aliases: Mapping[str, Sequence[str]]) -> list[tuple[str, str]]:
+    return list(dict.fromkeys((s, name) for name, sources in aliases.items() for s in sources))
+
+
 def tenant_rollup(
     df: DataFrame,
-    aliases: Mapping[str, Sequence[str]],
+    aliases: Mapping[str, Sequence[str]] | DataFrame,
     source: str = "CLIENT",
     logical: str = "clientId",
 ) -> DataFrame:
     """Rows of the aliased clients in column ``source``, each under its logical client in ``logical``.
 
-    ``aliases`` maps a logical client to its sources. A source of several logical clients appears
-    once under each, named twice or not. Spark knows the size of the pairs, a Python literal.
+    ``aliases`` maps a logical client to its sources, or is a DataFrame of distinct pairs ``_source``,
+    ``_logical``. A source of several logical clients appears once under each, named twice or not. Spark
+    knows the size of the pairs of a mapping, a Python literal.
     """
-    pairs = list(dict.fromkeys((s, name) for name, sources in aliases.items() for s in sources))
-    table = df.sparkSession.createDataFrame(pairs, "_source string, _logical string")
-    rows = of_clients(df, list(dict.fromkeys(s for s, _ in pairs)), source)
+    if isinstance(aliases, DataFrame):
+        table, rows = aliases, of_clients(df, None, source)
+    else:
+        pairs = _pairs(aliases)
+        table = df.sparkSession.createDataFrame(pairs, "_source string, _logical string")
+        rows = of_clients(df, list(dict.fromkeys(s for s, _ in pairs)), source)
     joined = rows.join(table, F.col(source) == F.col("_source")).drop("_source")
     return joined.withColumn(logical, F.col("_logical")).drop("_logical")
 
 
 def _asked_aliases(
     clients: Clients, aliases: Mapping[str, Sequence[str]] | None
-) -> dict[str, Sequence[str]]:
-    """Sources of every asked-for client, if any of them is a logical one; else nothing. Logical
-    clients are asked for by name, not by a DataFrame."""
+) -> Mapping[str, Sequence[str]] | DataFrame | None:
+    """Sources of every asked-for client, if any of them is a logical one; else nothing. For a DataFrame of
+    clients, whose names aren't known here, a DataFrame of pairs, in which a client that is no logical
+    one is its own source."""
     known, clients = aliases or {}, requested_clients(clients)
     if isinstance(clients, DataFrame):
-        return {}
+        if not known:
+            return None
+        asked = clients.select(F.col(clients.columns[0]).cast("string").alias("_logical")).dropna().distinct()
+        table = clients.sparkSession.createDataFrame(_pairs(known), "_of string, _name string")
+        named = asked.join(table, F.col("_logical") == F.col("_name"), "left")
+        return named.select(F.coalesce("_of", "_logical").alias("_source"), "_logical")
     if not any(c in known for c in clients or ()):
-        return {}
+        return None
     return {c: known.get(c, [c]) for c in clients}
 
 
@@ -53,11 +67,11 @@ def scoped_service_types(
 ) -> DataFrame:
     """Raw service types with the client they are analysed under in ``clientId``.
 
-    An aliased logical client takes part only if it is asked for by name; otherwise its sources are
-    clients of their own.
+    An aliased logical client takes part only if it is asked for, by a name in a list or a DataFrame;
+    otherwise its sources are clients of their own.
     """
     asked = _asked_aliases(clients, aliases)
-    if asked:
+    if asked is not None:
         return tenant_rollup(raw, asked)
     return of_clients(raw, clients, "CLIENT").withColumn("clientId", F.col("CLIENT"))
 
@@ -70,7 +84,7 @@ def roll_up_facts(
     """The tables with visits, subscriptions, lookup and validation rows of the sources moved to the
     asked-for logical clients, too. Without this, those four are read under the logical name only."""
     asked = _asked_aliases(clients, aliases)
-    if not asked:
+    if asked is None:
         return tables
     columns = {
         "merged_service_types": "clientID", "visits": "clientID", "subscriptions": "clientID",

@@ -1,13 +1,14 @@
 """Normalising scans: column selection, tolerant casts, one spelling for keys.
 
-Only the columns used further on are selected, so Parquet reads no others; a ``clients`` list becomes
-a pushed-down predicate.
+Only the columns used further on are selected, so Parquet reads no others; a ``clients`` list of some
+thousands becomes a pushed-down predicate, a longer one a semi-join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +25,10 @@ from catalog_signals.functions.casts import (
 Clients = str | Iterable[str] | DataFrame | None
 
 
+#: Names that become literals of a predicate; the time to plan grows with them.
+MOST_LISTED = 2000
+
+
 def requested_clients(explicit: Clients = None, fallback: Clients = None) -> list[str] | DataFrame | None:
     """The explicit clients if there are any, else the fallback, else ``None`` for every client.
 
@@ -41,7 +46,10 @@ def requested_clients(explicit: Clients = None, fallback: Clients = None) -> lis
 def of_clients(df: DataFrame, clients: Clients, column: str) -> DataFrame:
     """Rows of the given clients; for ``None`` of every client. A row without a client is no one's.
 
-    Names, however many, become a predicate that reaches the scan; a DataFrame of names is joined.
+    Up to ``MOST_LISTED`` names become a predicate that reaches the scan. More names, or a DataFrame of
+    names, are semi-joined; of a list, its first and last name reach the scan as bounds. Spark knows the
+    size of a list, a local table, and broadcasts it if that is under its threshold. Beyond that both
+    sides are shuffled, and adaptive execution splits a client that holds very many rows.
 
     Saying so here, rather than leaving it to the joins that imply it, gives all branches of a plan
     the same scan, which Spark then reads and shuffles once (ReusedExchange).
@@ -52,7 +60,12 @@ def of_clients(df: DataFrame, clients: Clients, column: str) -> DataFrame:
     if isinstance(wanted, DataFrame):
         names = wanted.select(F.col(wanted.columns[0]).alias("_wanted"))
         return df.join(names, F.col(column) == F.col("_wanted"), "left_semi")
-    return df.where(F.col(column).isin(wanted))
+    if len(wanted) <= MOST_LISTED:
+        return df.where(F.col(column).isin(wanted))
+    names = df.sparkSession.createDataFrame(pa.table({"_wanted": pa.array(wanted, pa.string())}))
+    # code point order, as Spark compares texts by their UTF-8 bytes
+    within = df.where(F.col(column).between(min(wanted), max(wanted)))
+    return within.join(names, F.col(column) == F.col("_wanted"), "left_semi")
 
 
 def flag_columns(df: DataFrame) -> list[Column]:

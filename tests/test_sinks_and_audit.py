@@ -176,3 +176,46 @@ def test_reductions_replace_the_inputs(spark):
     assert rows(audit, "*") == rows(source_row_audit(inputs), "*")
     with pytest.raises(ValueError):
         evidence_frame(reduced, dedupe=False)
+
+
+def test_row_counts_read_no_data_pages(spark, tmp_path):
+    """Files whose pages are spoilt and whose footers are whole are counted, side by side."""
+    for n in range(3):
+        spark.range(1000 * (n + 1)).selectExpr("id", "uuid() AS t").coalesce(1).write.parquet(f"{tmp_path}/t{n}")
+        for file in (tmp_path / f"t{n}").glob("part-*"):
+            data = bytearray(file.read_bytes())
+            footer = int.from_bytes(data[-8:-4], "little")
+            data[4 : len(data) - 8 - footer] = b"\xff" * (len(data) - 12 - footer)
+            file.write_bytes(bytes(data))
+            (tmp_path / f"t{n}" / f".{file.name}.crc").unlink()
+    names = {f"t{n}": (lambda n=n: spark.read.parquet(f"{tmp_path}/t{n}")) for n in range(3)}
+    got = {(r.table_name, r.num_rows, r.error) for r in table_profile(spark, names, at_once=3).collect()}
+    assert got == {("t0", 1000, None), ("t1", 2000, None), ("t2", 3000, None)}
+    with pytest.raises(Exception):
+        spark.read.parquet(f"{tmp_path}/t0").agg({"id": "sum"}).collect()
+    assert table_profile(spark, {}).count() == 0
+
+
+def test_clients_and_aliases_by_list_and_by_frame(spark, monkeypatch):
+    """The same rows, whether names are literals, a broadcast or shuffled table, or a DataFrame."""
+    inputs = example(spark, "ABCDE")
+    aliases = {"AB": ["A", "B"], "C": ["C", "D"], "BC": ["B", "C"]}
+    for names in (["AB", "E"], ["C"], ["A", "E", "nobody"], ["AB", "BC", "C", "AB"], ["nobody"], ["B"]):
+        frame = spark.createDataFrame([(n,) for n in names] + [(None,)], "name string")
+        expected = scope.scoped_service_types(inputs.service_types, names, aliases)
+        facts = scope.roll_up_facts(inputs, names, aliases)
+        columns = expected.columns
+        assert rows(scope.scoped_service_types(inputs.service_types, frame, aliases), *columns) == rows(expected, *columns)
+        by_frame = scope.roll_up_facts(inputs, frame, aliases)
+        for table, column in (("visits", "clientID"), ("lookup", "clientId"), ("subscriptions", "clientID")):
+            mine, theirs = (
+                rows(scans.of_clients(getattr(t, table), c, column), "*") for t, c in ((facts, names), (by_frame, frame))
+            )
+            assert mine == theirs
+        short = rows(scans.of_clients(inputs.visits, names, "clientID"), "*")
+        monkeypatch.setattr(scans, "MOST_LISTED", 0)
+        for threshold in ("10MB", "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            assert rows(scans.of_clients(inputs.visits, names, "clientID"), "*") == short
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        monkeypatch.undo()
