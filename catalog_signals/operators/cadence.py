@@ -28,6 +28,14 @@ def visits_per_day(visits: DataFrame) -> DataFrame:
     )
 
 
+def merged_days(days: DataFrame) -> DataFrame:
+    """One row per account and day out of rows of ``visits_per_day`` of any parts of the visits: a day's
+    visits may come in several parts, in any order."""
+    return days.groupBy(*_ACCOUNT, "day").agg(
+        F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last")
+    )
+
+
 def _in_band(days: str, low: float, high: float) -> str:
     return f"({days} >= {low} AND {days} < {high})"
 
@@ -87,7 +95,13 @@ def account_cadence(visits: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Cadence per (client, type, account); undated and account-less visits and visits without a
     type drop out before anything is shuffled."""
     usable = visits.dropna(subset=["TYPE_ID", "accountId", "visitDate"])
-    return account_history(visits_per_day(usable), params).drop("all_visits", "latest")
+    return cadence_of_days(visits_per_day(usable), params)
+
+
+def cadence_of_days(days: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """``account_cadence`` out of account-days, those without a date, an account or a type among them."""
+    usable = days.dropna(subset=["TYPE_ID", "accountId", "day"])
+    return account_history(usable, params).drop("all_visits", "latest")
 
 
 def type_history(visits: DataFrame, params: Params = DEFAULTS, untyped: bool = False) -> DataFrame:
@@ -97,7 +111,12 @@ def type_history(visits: DataFrame, params: Params = DEFAULTS, untyped: bool = F
     an account or a date are carried along and left out of the account counts only; with ``untyped``,
     so are those without a type, as the NULL type.
     """
-    accounts = account_history(visits_per_day(visits if untyped else visits.where("TYPE_ID is not null")), params)
+    return history_of_days(visits_per_day(visits if untyped else visits.where("TYPE_ID is not null")), params)
+
+
+def history_of_days(days: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """``type_history`` out of account-days."""
+    accounts = account_history(days, params)
     counted = F.col("accountId").isNotNull() & (F.col("visits") > 0)
     return accounts.groupBy("clientId", "TYPE_ID").agg(
         F.sum("all_visits").alias("type_visits"),

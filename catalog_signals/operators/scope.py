@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catalog_signals.operators.cadence import merged_days
 from catalog_signals.sources.scans import Clients, of_clients, requested_clients
 from catalog_signals.sources.tables import CatalogTables
 
@@ -92,3 +93,14 @@ def roll_up_facts(
     }
     moved = {n: tenant_rollup(getattr(tables, n), asked, c, c) for n, c in columns.items()}
     return CatalogTables(service_types=tables.service_types, **moved)
+
+
+def roll_up_days(
+    days: DataFrame, clients: Clients, aliases: Mapping[str, Sequence[str]] | None, roll_up: bool = False
+) -> DataFrame:
+    """Account-days of the asked-for clients; with ``roll_up``, those of their sources under the logical ones,
+    where days of one account that several sources have are merged."""
+    asked = _asked_aliases(clients, aliases) if roll_up else None
+    if asked is None:
+        return of_clients(days, clients, "clientId")
+    return merged_days(tenant_rollup(days, asked, "clientId", "clientId"))

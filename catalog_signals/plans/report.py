@@ -23,6 +23,7 @@ from catalog_signals.functions.text import share_pct
 from catalog_signals.operators.activity import active_subscription, expired_flag
 from catalog_signals.operators.cadence import (
     explain_visitless_clients,
+    history_of_days,
     recurrence_score,
     score_accounts,
     type_history,
@@ -176,13 +177,20 @@ def reduced_inputs(
     clients: Clients = None,
     aliases: Mapping[str, Sequence[str]] | None = None,
     params: Params = DEFAULTS,
+    days: DataFrame | None = None,
 ) -> Reductions:
-    """The inputs, each read once, reduced and stored; report, checks and audit start from there."""
+    """The inputs, each read once, reduced and stored; report, checks and audit start from there.
+
+    ``days`` are account-days that stand for the visits (``sources.visit_state``), which are not read then.
+    """
     clients = requested_clients(clients)
     raw = scoped_service_types(tables.service_types, clients, aliases)
     versions = store("versions", latest_version(raw, "clientId"))
     names = name_facts(dedupe_types(versions), scan_lookup(tables.lookup, clients))
-    history = type_history(scan_visits(tables.visits, clients), params, untyped=True)
+    if days is None:
+        history = type_history(scan_visits(tables.visits, clients), params, untyped=True)
+    else:
+        history = history_of_days(days, params)
     merged = scan_merged_service_types(tables.merged_service_types, clients)
     return Reductions(
         versions,

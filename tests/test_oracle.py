@@ -18,6 +18,7 @@ REQUIRED = """
     review_reasons duplicate_name final_report final_report_unfiltered account_cadence cadence_band
     recurrence_score volume_share volume_topk revenue_share revenue_topk share_report money_parse
     tenant_rollup_facts dedupe_by_key source_row_audit review_metrics table_profile keyword_signals_documents
+    tenant_rollup_by_frame account_cadence_of_parts audit_of_reductions delivered_report
 """.split()
 
 

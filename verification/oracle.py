@@ -657,3 +657,11 @@ ORACLE: dict[str, str] = {
         ON n.table_name = c.table_name
     """,
 }
+
+# Other ways to the same rows.
+ORACLE |= {
+    "tenant_rollup_by_frame": ORACLE["tenant_rollup"],
+    "account_cadence_of_parts": ORACLE["account_cadence"],
+    "audit_of_reductions": ORACLE["source_row_audit"],
+    "delivered_report": ORACLE["activity_filter"],
+}

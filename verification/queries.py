@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from catalog_signals.config import FLAGS, HAS_RESERVICE, RECURRING, RESERVICE, SIGNALS, ZERO_TIME
 from catalog_signals.operators import activity, cadence, lookup, ranking, resolution, scope, signals
-from catalog_signals.operators.audit import source_row_audit, table_profile
+from catalog_signals.operators.audit import audit_of_reductions, source_row_audit, table_profile
 from catalog_signals.operators.versions import (
     SERVICE_TYPE_COLUMNS,
     dedupe_types,
@@ -18,9 +20,11 @@ from catalog_signals.operators.versions import (
     latest_version,
 )
 from catalog_signals.plans import outputs
-from catalog_signals.plans.report import analysed, build_report, evidence_frame, recurrence_frame
+from catalog_signals.plans.jobs import run_report
+from catalog_signals.plans.report import analysed, build_report, evidence_frame, recurrence_frame, reduced_inputs
 from catalog_signals.plans.share_report import share_report
 from catalog_signals.sources import scans
+from catalog_signals.sources.sinks import read_delivery
 from catalog_signals.sources.tables import CatalogTables
 from verification.standin import ALIASES, AS_OF, PARAMS, StandInTables, open_table
 
@@ -155,6 +159,38 @@ def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_profile(spark, {name: opener(name) for name in DRIVER_TABLES})
 
 
+def _rolled_up_by_frame(t: CatalogTables) -> DataFrame:
+    """Every client and a logical one, asked for by a DataFrame of names."""
+    names = scope.distinct_clients(t.service_types)
+    asked = names.union(names.sparkSession.createDataFrame([(name,) for name in ALIASES], "clientId string"))
+    return latest_version(scope.scoped_service_types(t.service_types, asked, ALIASES), "clientId")
+
+
+def _cadence_of_parts(t: CatalogTables) -> DataFrame:
+    """Visits that come in two loads, which divide the days of accounts, reduced apart and merged."""
+    load = F.pmod(F.xxhash64(*t.visits.columns), F.lit(2))
+    parts = [cadence.visits_per_day(scans.scan_visits(t.visits.where(load == n))) for n in range(2)]
+    return cadence.cadence_of_days(cadence.merged_days(parts[0].unionByName(parts[1])), PARAMS)
+
+
+def _audit_of_reductions(t: CatalogTables) -> DataFrame:
+    reduced = reduced_inputs(t, lambda _, df: df, params=PARAMS)
+    return audit_of_reductions(reduced.versions, reduced.names, reduced.history, reduced.usage, reduced.validation)
+
+
+def _delivered(t: CatalogTables) -> DataFrame:
+    """A whole batch run into a new folder of the shared checkpoint folder, and the rows that it delivers."""
+    spark = t.visits.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no shared folder")
+        shared = tempfile.gettempdir()
+    folder = f"{shared}/runs-{uuid.uuid4().hex}"
+    run_report(t, AS_OF, folder, params=PARAMS)
+    return read_delivery(spark, folder)
+
+
 QUERIES: dict[str, Query] = {
     "clients_distinct": _on_tables(lambda t: scope.distinct_clients(t.service_types)),
     "latest_version": _on_tables(
@@ -165,6 +201,9 @@ QUERIES: dict[str, Query] = {
         lambda t: _rolled_up(t).select(*SERVICE_TYPE_COLUMNS, "sourceClient")
     ),
     "tenant_rollup_facts": _on_tables(_rolled_up_facts),
+    "tenant_rollup_by_frame": _on_tables(
+        lambda t: _rolled_up_by_frame(t).select(*SERVICE_TYPE_COLUMNS, "sourceClient")
+    ),
     "dedupe_by_key": _on_tables(lambda t: dedupe_types(_rolled_up(t)).select(SERVICE_TYPE_COLUMNS)),
     "lookup_attach": _on_tables(
         lambda t: lookup.lookup_attach(_types(t).select(*KEYS, "DESCRIPTION"), _lookup(t))
@@ -210,6 +249,7 @@ QUERIES: dict[str, Query] = {
     ),
     "expired_flag": _on_tables(_expired),
     "account_cadence": _on_tables(lambda t: cadence.account_cadence(_visits(t), PARAMS)),
+    "account_cadence_of_parts": _on_tables(_cadence_of_parts),
     "cadence_band": _on_tables(_cadence_band),
     "recurrence_score": _on_tables(_recurrence),
     "volume_share": _on_tables(lambda t: ranking.volume_share(_visits(t))),
@@ -232,6 +272,8 @@ QUERIES: dict[str, Query] = {
     "review_split_true": _on_tables(lambda t: outputs.review_split(_in_use(t))[0]),
     "settled_summary": _on_tables(lambda t: outputs.settled_summary(_in_use(t))),
     "source_row_audit": _on_tables(source_row_audit),
+    "audit_of_reductions": _on_tables(_audit_of_reductions),
+    "delivered_report": _on_tables(_delivered),
     "review_metrics": _on_tables(
         lambda t: outputs.review_metrics(analysed(t, AS_OF, params=PARAMS))
     ),
