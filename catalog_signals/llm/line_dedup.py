@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from catalog_signals.llm.text import (
     document_key,
     lines,
+    lines_without,
     restored,
     straight_from_shuffle,
     text_of,
@@ -69,10 +70,9 @@ def _deduped(documents: DataFrame) -> DataFrame:
     gone = repeated_lines(documents).withColumnsRenamed({"_doc": "_gone_doc", "_text": "_gone_text"})
     same = (F.col("_doc") == F.col("_gone_doc")) & (F.col("_text") == F.col("_gone_text"))
     text = F.col("_row")["text"]
-    left = F.filter(lines(text), lambda line, i: ~F.array_contains("_removed", i))
     return rows.join(gone, same, "left").select(
         "_row",
-        F.when(F.col("_removed").isNull(), text).otherwise(F.array_join(left, "\n")).alias("_new"),
+        F.when(F.col("_removed").isNull(), text).otherwise(lines_without(text, F.col("_removed"))).alias("_new"),
         F.coalesce(F.size(lines(text)), F.lit(0)).cast("bigint").alias("_n"),
         F.coalesce(F.size("_removed"), F.lit(0)).cast("bigint").alias("_lost"),
     )

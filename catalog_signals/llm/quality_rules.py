@@ -16,6 +16,7 @@ from catalog_signals.llm.text import (
     checkpointed,
     document_key,
     lines,
+    lines_without,
     normal_line,
     restored,
     straight_from_shuffle,
@@ -24,6 +25,8 @@ from catalog_signals.llm.text import (
     words,
 )
 
+#: Hexadecimal digits of a text's MD5 that tell it apart and order it; 60 bits, which any SQL can compute.
+_DIGITS = 15
 _SYMBOLS = "#*$%&|<>"
 _WINDOW = 8
 
@@ -94,7 +97,7 @@ def base_statistics(documents: DataFrame) -> DataFrame:
     for symbol in _SYMBOLS:
         bare = F.replace(bare, F.lit(symbol))
     with_word = F.filter(lines(text), lambda line: without_gaps(line) != "")
-    df = documents.select(*document_key(documents), "doc_id", "host", text_of().alias("_body")).select(
+    df = documents.select(*_key(documents), "doc_id", "host", text_of().alias("_body")).select(
         "_doc", "_text", "doc_id", "host",
         words(text).alias("_words"),
         with_word.alias("_lines"),
@@ -112,10 +115,16 @@ def base_statistics(documents: DataFrame) -> DataFrame:
     return df.withColumn("base_failed", failed)
 
 
+def _key(documents: DataFrame) -> list[Column]:
+    """``document_key`` with a text's number from its MD5."""
+    number = F.conv(F.substring(F.md5(F.encode(text_of(), "utf-8")), 1, _DIGITS), 16, 10).cast("bigint")
+    return [document_key(documents)[0], number.alias("_text")]
+
+
 def _host_lines(documents: DataFrame) -> DataFrame:
     """One row per line with a word: key, host, position, hash and number of words."""
     split = documents.select(
-        *document_key(documents),
+        *_key(documents),
         F.col("host"),
         F.posexplode(F.transform(lines(text_of()), normal_line)).alias("_at", "_line"),
     )
@@ -127,17 +136,18 @@ def _host_lines(documents: DataFrame) -> DataFrame:
 
 
 def frequent_lines(documents: DataFrame, limits: LineLimits) -> DataFrame:
-    """``host``, ``_hash``, ``_first``: the lines above both limits, and the lowest doc_id that has one.
+    """``host``, ``_hash``, ``_first``: the lines above both limits, and the least document that has one, by id,
+    then text; so one document keeps a line, even where many have one id or none.
 
     Documents of equal text count once, so that copies of a document don't condemn its lines.
     """
-    per_text = _host_lines(documents).groupBy("host", "_hash", "_text").agg(F.min("_doc").alias("_first"))
+    per_text = _host_lines(documents).groupBy("host", "_hash", "_text").agg(F.min("_doc").alias("_doc"))
     per_line = (
         per_text.groupBy("host", "_hash")
-        .agg(F.count(F.lit(1)).alias("_documents"), F.min("_first").alias("_first"))
+        .agg(F.count(F.lit(1)).alias("_documents"), F.min(F.struct("_doc", "_text")).alias("_first"))
         .where(F.col("_documents") > limits.min_documents)
     )
-    texts = documents.select("host", document_key(documents)[1]).distinct()
+    texts = documents.select("host", _key(documents)[1]).distinct()
     hosts = texts.groupBy(F.col("host").alias("_host")).agg(F.count(F.lit(1)).alias("_of"))
     joined = straight_from_shuffle(per_line).join(
         straight_from_shuffle(hosts), F.col("host").eqNullSafe(F.col("_host"))
@@ -153,7 +163,7 @@ def removed_lines(documents: DataFrame, limits: LineLimits) -> DataFrame:
         _host_lines(documents)
         .withColumnRenamed("_hash", "_line_hash")
         .join(frequent, same)
-        .where("_doc <> _first")
+        .where(F.struct("_doc", "_text") != F.col("_first"))
     )
     gone = hit.groupBy("_doc", "_text", "host").agg(
         F.collect_set(F.struct(F.col("_at").alias("at"), F.col("_n").alias("n"))).alias("_gone")
@@ -182,7 +192,7 @@ def quality_rules(
 
     Null text: empty, fails for its number of words. Null host: a host of its own. Rows that repeat
     id and text: one document, each row with its verdict. A frequent line stays in the document of
-    lowest id that has it, so its content isn't lost. ``removed_words`` counts the words in removed
+    lowest id that has it, among equal or null ids in one text by hash, so its content isn't lost. ``removed_words`` counts the words in removed
     lines; ``kept`` is false if the base rules fail, or lines are removed and too few words remain.
     """
     limits = limits or LineLimits()
@@ -212,13 +222,12 @@ def clean_documents(
     kept = kept.groupBy("_doc", "_text", "host").agg(F.first("removed_at").alias("_removed"))
     kept = checkpointed(kept).withColumnsRenamed({"_doc": "_kept_doc", "_text": "_kept_text", "host": "_kept_host"})
     row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row")
-    rows = documents.select(*document_key(documents), F.col(host).alias("host"), row)
+    rows = documents.select(*_key(documents), F.col(host).alias("host"), row)
     same = (
         (F.col("_doc") == F.col("_kept_doc"))
         & (F.col("_text") == F.col("_kept_text"))
         & F.col("host").eqNullSafe(F.col("_kept_host"))
     )
     text = F.col("_row")["text"]
-    left = F.filter(lines(text), lambda line, i: ~F.array_contains("_removed", i))
-    new = F.when(F.col("_removed").isNull(), text).otherwise(F.array_join(left, "\n"))
+    new = F.when(F.col("_removed").isNull(), text).otherwise(lines_without(text, F.col("_removed")))
     return restored(rows.join(kept, same).withColumn("_new", new), documents, "_row", "_new")

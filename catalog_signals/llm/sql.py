@@ -111,7 +111,7 @@ FROM placed p JOIN numbers n ON p.source IS NOT DISTINCT FROM n.source
 _OP9 = rf"""
 WITH docs AS (
     SELECT row_number() OVER () AS id, coalesce(doc_id, -9223372036854775808) AS doc, doc_id, source AS host,
-           coalesce(text, '') AS text
+           coalesce(text, '') AS text, CAST('0x' || substr(md5(coalesce(text, '')), 1, 15) AS BIGINT) AS tie
     FROM documents
 ), worded AS (
     SELECT *, regexp_extract_all(text, '{_WORD}') AS words FROM docs
@@ -123,13 +123,13 @@ WITH docs AS (
 ), repeats AS (
     SELECT id, count(DISTINCT i + step) AS n FROM again, range(0, 8) s(step) GROUP BY id
 ), line AS (
-    SELECT id, doc, host, text, raw,
+    SELECT id, {{'doc': doc, 'tie': tie}} AS key, host, text, raw,
            trim(regexp_replace(lower(raw), '{_GAP}', ' ', 'g')) AS norm
-    FROM (SELECT id, doc, host, text, unnest(string_split(text, chr(10))) AS raw FROM docs)
+    FROM (SELECT id, doc, tie, host, text, unnest(string_split(text, chr(10))) AS raw FROM docs)
 ), doubled AS (
     SELECT id, count(*) - count(DISTINCT raw) AS n FROM line WHERE norm <> '' GROUP BY id
 ), spread AS (
-    SELECT host, norm, count(DISTINCT text) AS documents, min(doc) AS first FROM line WHERE norm <> '' GROUP BY host, norm
+    SELECT host, norm, count(DISTINCT text) AS documents, min(key) AS first FROM line WHERE norm <> '' GROUP BY host, norm
 ), sizes AS (
     SELECT host, count(DISTINCT text) AS documents FROM docs GROUP BY host
 ), frequent AS (
@@ -137,7 +137,7 @@ WITH docs AS (
     WHERE s.documents > 10 AND s.documents > 0.05::DOUBLE * z.documents
 ), gone AS (
     SELECT id, sum(length(l.norm) - length(replace(l.norm, ' ', '')) + 1) AS n
-    FROM line l JOIN frequent f ON l.norm = f.norm AND l.host IS NOT DISTINCT FROM f.host AND l.doc <> f.first
+    FROM line l JOIN frequent f ON l.norm = f.norm AND l.host IS NOT DISTINCT FROM f.host AND l.key <> f.first
     GROUP BY id
 ), facts AS (
     SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,

@@ -40,6 +40,17 @@ def lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
+def lines_without(text: Column, removed: Column) -> Column:
+    """The text without its lines at the positions ``removed``, from 0. Both the lines and the places that
+    stay are made once per text, so that the time follows the lines, however many go."""
+
+    def kept(split: Column) -> Column:
+        places = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), removed)
+        return F.transform(places, lambda at: split[at])
+
+    return F.array_join(F.transform(F.array(lines(text)), kept)[0], "\n")
+
+
 def normal_line(line: Column) -> Column:
     """A line in lower case, with single blanks between its words and none around them."""
     return F.trim(F.regexp_replace(F.lower(line), WORD_GAP, " "))

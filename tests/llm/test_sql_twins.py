@@ -82,6 +82,28 @@ def test_frequent_lines_go_and_depleted_documents_are_rejected(spark):
     assert left[0].startswith("Read") and left[1] == words.format(1) and 100 not in left
 
 
+def test_of_documents_with_one_id_or_none_one_keeps_a_frequent_line(spark):
+    for ids in ([None] * 40, [7] * 40, list(range(40))):
+        body = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(40)]
+        rows = [(doc, f"Follow us on all channels today\n{text}", "en", "h", 0) for doc, text in zip(ids, body)]
+        limits = LineLimits(min_documents=5)
+        left = [r.text for r in clean_documents(frame(spark, rows), limits=limits).collect()]
+        assert len(left) == 40 and sum(t.startswith("Follow") for t in left) == 1
+        removed = quality_rules(frame(spark, rows), limits=limits).where("removed_words = 6").count()
+        assert removed == 39
+
+
+def test_texts_of_very_many_removed_lines(spark):
+    n = 2000
+    text = "\n".join(f"l{i} and some more words" for i in range(n))
+    rows = [(1, text, "en", "h", 0), (2, f"{text}\nthe last line of all", "en", "h", 0)]
+    left = {r.doc_id: r for r in dedup_lines(frame(spark, rows)).collect()}
+    assert (left[1].n_removed, left[2].n_removed) == (0, n) and left[2].text == "the last line of all"
+    rows = [(i, f"{text}\n{' '.join(f'd{i}w{j}' for j in range(40))}", "en", "h", 0) for i in range(12)]
+    left = sorted(len(r.text) for r in clean_documents(frame(spark, rows)).collect())
+    assert len(left) == 12 and left[-1] > len(text) and left[-2] < 400
+
+
 def test_copies_of_a_text_do_not_condemn_its_lines(spark):
     text = "\n".join(" ".join(f"l{j}w{i}" for i in range(10)) for j in range(5))
     rows = [(i, text, "en", "h", 0) for i in range(200)]
