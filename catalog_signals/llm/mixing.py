@@ -115,9 +115,12 @@ def _drawn(placed: DataFrame, starts: DataFrame, *ties: str) -> DataFrame:
         F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_class") == F.col("_c")) & (F.col("_bucket") == F.col("_b"))
     )
     ranked = placed.withColumn("_at", F.row_number().over(order)).join(starts, same)
-    upto = (F.col("_start") + F.col("_at")).cast("double")
-    crossed = F.floor(F.col("offset") + upto * F.col("copies")) - F.floor(F.col("offset") + (upto - 1) * F.col("copies"))
-    return ranked.withColumn("_times", crossed.cast("bigint"))
+    upto, whole = (F.col("_start") + F.col("_at")).cast("double"), F.floor("copies")
+    # whole copies cross as many boundaries at every place; only what is left of them is a prefix sum, so
+    # that rounding, however long the prefix, can't give a row more than one copy above the whole ones
+    part = F.col("copies") - whole
+    crossed = F.floor(F.col("offset") + upto * part) - F.floor(F.col("offset") + (upto - 1) * part)
+    return ranked.withColumn("_times", (whole + F.least(crossed, F.lit(1))).cast("bigint"))
 
 
 def mixture(documents: DataFrame, source: str = "source", mix: Mix | None = None) -> DataFrame:

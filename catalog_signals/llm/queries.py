@@ -35,7 +35,8 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels carry ids only; the label of id i is taken as the outcome of page i."""
     outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
     judged = filter_urls(table(spark, sf_dir, "pages"), outcomes)
-    return judged.select("page_id", "host", "path", "rule", "verdict")
+    figures = [F.round(c, 6).alias(c) for c in ("mean", "bound")]
+    return judged.select("page_id", "host", "path", "rule", "verdict", *figures)
 
 
 def packing_parameters() -> Packing:

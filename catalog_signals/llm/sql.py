@@ -56,9 +56,8 @@ WITH urls AS (
 ), posterior AS (
     SELECT host, (k + b * m) / (n + b) AS mean, n + b AS weight FROM of_domain, host_strength
 ), verdicts AS (
-    SELECT host, CASE WHEN mean + 1.645 * sqrt(mean * (1 - mean) / (weight + 1)) < 0.5
-                      THEN 'block' ELSE 'allow' END AS reputation
-    FROM posterior
+    SELECT host, mean, bound, CASE WHEN bound < 0.5 THEN 'block' ELSE 'allow' END AS reputation
+    FROM (SELECT *, mean + 1.645 * sqrt(mean * (1 - mean) / (weight + 1)) AS bound FROM posterior) b
 ), ruled AS (
     SELECT page_id, host, path, CASE
         WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
@@ -70,7 +69,8 @@ WITH urls AS (
     FROM parts
 )
 SELECT page_id, r.host, path, rule,
-       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' ELSE reputation END AS verdict
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' ELSE reputation END AS verdict,
+       round(mean, 6) AS mean, round(bound, 6) AS bound
 FROM ruled r JOIN verdicts v ON r.host = v.host
 """
 
@@ -104,7 +104,8 @@ WITH sized AS (
     FROM classed c
 )
 SELECT doc_id, size, source_size, target,
-       size * CAST(floor(start + place * copies) - floor(start + (place - 1) * copies) AS BIGINT) AS taken
+       size * CAST(floor(copies) + least(floor(start + place * (copies - floor(copies)))
+                                         - floor(start + (place - 1) * (copies - floor(copies))), 1) AS BIGINT) AS taken
 FROM placed p JOIN numbers n ON p.source IS NOT DISTINCT FROM n.source
 """
 

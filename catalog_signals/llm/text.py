@@ -84,11 +84,13 @@ def straight_from_shuffle(df: DataFrame) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows, stored in the cluster's checkpoint folder, with their lineage cut.
 
-    The folder is the session's ``spark.checkpoint.dir``; a folder of this machine is set only where
-    the session names none, as in tests.
+    The folder is the session's ``spark.checkpoint.dir``. A session that names none gets a folder of this
+    machine, as in tests, but only if it runs on this machine alone; on a cluster that is an error.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
         context.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "llm-checkpoints"))
     return df.checkpoint()

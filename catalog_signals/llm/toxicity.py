@@ -33,7 +33,7 @@ class Subwords:
     many, and ``sample_bytes`` their texts, half of it for either class. ``average_steps`` train on whole texts, ``window_steps`` on the most toxic window of each."""
 
     sample: int = 6000
-    sample_bytes: int = 64 << 20
+    sample_bytes: int = 24 << 20
     lengths: tuple[int, ...] = (3, 4, 5)
     buckets: int = 1 << 17
     dimensions: int = 8
