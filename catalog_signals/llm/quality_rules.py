@@ -117,16 +117,17 @@ def base_statistics(documents: DataFrame) -> DataFrame:
 
 def _key(documents: DataFrame) -> list[Column]:
     """``document_key`` with a text's number from its MD5."""
-    number = F.conv(F.substring(F.md5(F.encode(text_of(), "utf-8")), 1, _DIGITS), 16, 10).cast("bigint")
+    number = F.conv(F.substring(F.md5(text_of().cast("binary")), 1, _DIGITS), 16, 10).cast("bigint")
     return [document_key(documents)[0], number.alias("_text")]
 
 
 def _host_lines(documents: DataFrame) -> DataFrame:
     """One row per line with a word: key, host, position, hash and number of words."""
-    split = documents.select(
-        *_key(documents),
-        F.col("host"),
-        F.posexplode(F.transform(lines(text_of()), normal_line)).alias("_at", "_line"),
+    # the key is computed in a projection below the lines, hence once per document
+    keyed = documents.select(*_key(documents), "host", text_of().alias("_whole"))
+    split = keyed.select(
+        "_doc", "_text", "host",
+        F.posexplode(F.transform(lines(F.col("_whole")), normal_line)).alias("_at", "_line"),
     )
     return split.where("_line <> ''").select(
         "_doc", "_text", "host", "_at",
