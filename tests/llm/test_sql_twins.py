@@ -94,7 +94,7 @@ def test_of_documents_with_one_id_or_none_one_keeps_a_frequent_line(spark):
 
 
 def test_texts_of_very_many_removed_lines(spark):
-    n = 2000
+    n = 40_000
     text = "\n".join(f"l{i} and some more words" for i in range(n))
     rows = [(1, text, "en", "h", 0), (2, f"{text}\nthe last line of all", "en", "h", 0)]
     left = {r.doc_id: r for r in dedup_lines(frame(spark, rows)).collect()}
