@@ -77,29 +77,39 @@ def _digest(tokens: np.ndarray) -> int:
     return int(mixed(mixed(tokens).sum(keepdims=True) ^ _U(len(tokens))).astype(np.int64)[0])
 
 
-#: Bins of a sketch, and the tokens from which on it is compared; smaller sets always pass it.
+#: Bins of a sketch, the tokens from which on two sets are compared by it, and the bytes before any tokens.
 _BINS, _SKETCHED = 128, 64
+_HEAD = 4 + _BINS
 
 
-def _sketch(tokens: np.ndarray) -> bytes:
-    """The number of tokens, and eight bits of the least one in each bin of the hashes, 0 if empty."""
+def _sketch(tokens: np.ndarray, tells: int) -> bytes:
+    """The number of tokens, and eight bits of the least one in each bin of the hashes, 0 if empty; then the tokens
+    themselves, if they are at most ``tells``."""
     edges = np.arange(_BINS, dtype=_U) << _U(57)
     first = np.searchsorted(tokens, edges)
     after = np.r_[first[1:], len(tokens)]
     least = tokens[np.minimum(first, len(tokens) - 1)]
     bits = np.where(first < after, ((least >> _U(16)) % _U(255)).astype(np.uint8) + 1, 0).astype(np.uint8)
-    return np.array([len(tokens)], np.uint32).tobytes() + bits.tobytes()
+    own = tokens.tobytes() if len(tokens) <= tells else b""
+    return np.array([len(tokens)], np.uint32).tobytes() + bits.tobytes() + own
+
+
+def _most_told(part: int, whole: int) -> int:
+    """Tokens of the largest set that can be similar to one too small for sketches."""
+    return (_SKETCHED - 1) * whole // part
 
 
 def _maybe_similar(part: int, whole: int) -> Callable[[list[bytes]], np.ndarray]:
-    """Pairs whose sizes allow the threshold and whose sketches agree in half of their bins.
+    """Pairs whose sizes allow the threshold and whose sketches agree in half of their bins; if one of the two sets
+    is small, those that are similar, by their tokens.
 
     At a Jaccard of 0.8, 64 tokens fill some 50 bins for each, of which fewer than half agree less
     than once in a million times; larger sets are surer still. What passes is compared exactly.
     """
+    exact = _similar(part, whole)
 
     def verify(payloads: list[bytes]) -> np.ndarray:
-        data = np.stack([np.frombuffer(p, np.uint8) for p in payloads])
+        data = np.stack([np.frombuffer(p, np.uint8, _HEAD) for p in payloads])
         size, bins = data[:, :4].copy().view(np.uint32)[:, 0].astype(np.int64), data[:, 4:]
         fits = whole * np.minimum(size[:, None], size[None, :]) >= part * np.maximum(size[:, None], size[None, :])
         n = len(size)
@@ -113,8 +123,13 @@ def _maybe_similar(part: int, whole: int) -> Callable[[list[bytes]], np.ndarray]
                 both = (column == 0)[:, None] & (column == 0)[None, :]
                 agree += (column[:, None] == column[None, :]) & ~both
                 empty += both
-        small = size < _SKETCHED
-        return fits & ((2 * agree >= _BINS - empty) | small[:, None] | small[None, :])
+        linked = fits & (2 * agree >= _BINS - empty)
+        small, told = size < _SKETCHED, np.flatnonzero(size <= _most_told(part, whole))
+        linked &= ~(small[:, None] | small[None, :])
+        if small.any():
+            either = small[told][:, None] | small[told][None, :]
+            linked[np.ix_(told, told)] |= either & exact([payloads[i][_HEAD:] for i in told.tolist()])
+        return linked
 
     return verify
 
@@ -122,6 +137,7 @@ def _maybe_similar(part: int, whole: int) -> Callable[[list[bytes]], np.ndarray]
 def _chosen(documents: DataFrame, how: ChosenPaths) -> DataFrame:
     """Per row: key, ``node`` (a hash of its set, null for none), ``size`` of the set, ``sketch``, ``paths``."""
     roots = [int(x) for x in mixed(np.arange(1, how.runs + 1, dtype=_U) + _U(how.seed << 20)).astype(np.int64)]
+    tells = _most_told(how.part, how.whole)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,7 +145,7 @@ def _chosen(documents: DataFrame, how: ChosenPaths) -> DataFrame:
             for _, tokens in shingle_sets(batch["text"], how.words):
                 node.append(_digest(tokens) if len(tokens) else None)
                 size.append(len(tokens))
-                sketch.append(_sketch(tokens) if len(tokens) else None)
+                sketch.append(_sketch(tokens, tells) if len(tokens) else None)
                 taken = [_choose(tokens, root, how.part, how.whole) for root in roots] if len(tokens) else []
                 paths.append(np.unique(np.concatenate(taken)) if taken else [])
             yield pa.record_batch([
@@ -156,7 +172,7 @@ def _with_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _sketch_tokens(sketch: bytes) -> np.ndarray:
     """The bins of a sketch that aren't empty, with what they hold: a sample of the set's tokens."""
-    bins = np.frombuffer(sketch, np.uint8)[4:].astype(_U)
+    bins = np.frombuffer(sketch, np.uint8, _HEAD)[4:].astype(_U)
     return mixed(((np.arange(len(bins), dtype=_U) << _U(8)) | bins)[bins > 0] + _U(1))
 
 
@@ -243,7 +259,8 @@ def _linked(documents: DataFrame, how: ChosenPaths) -> tuple[DataFrame, DataFram
     rows = shared_buckets(_buckets(classes, how))
     facts = classes.select("node", "weight", "size", "first")
     sketches = classes.select("node", "payload", F.lit(1).alias("weight"))
-    placed = chunked(rows.withColumn("_size", F.lit(_BINS)), "_size").withColumnRenamed("node", "_n")
+    most = _HEAD + 8 * _most_told(how.part, how.whole)
+    placed = chunked(rows.withColumn("_size", F.lit(most)), "_size").withColumnRenamed("node", "_n")
     rough = placed.join(sketches, F.col("_n") == F.col("node")).drop("_n")
     rough = checkpointed(rough_links(rough, _maybe_similar(how.part, how.whole)))
     # buckets whose members may be similar merge, so that a set travels to one place, and pairs meet once

@@ -77,9 +77,23 @@ def test_comparisons_are_exact_at_the_threshold():
             for j, b in enumerate(sets):
                 both = len(np.intersect1d(a, b))
                 assert i == j or linked[i, j] == (5 * both >= 4 * (len(a) + len(b) - both))
-        rough = _maybe_similar(4, 5)([_sketch(s) for s in sets])
+        rough = _maybe_similar(4, 5)([_sketch(s, 78) for s in sets])
         assert not (linked & ~rough).any()
-    assert not _maybe_similar(4, 5)([_sketch(base), _sketch(tokens[:600])])[0, 1]
+    assert not _maybe_similar(4, 5)([_sketch(base, 78), _sketch(tokens[:600], 78)])[0, 1]
+
+
+def test_sets_too_small_for_sketches_are_compared_by_their_tokens():
+    rng = np.random.default_rng(4)
+    some = np.sort(mixed(np.arange(5000, dtype=np.uint64)))
+    bases = [rng.choice(some, size, False) for size in (1, 2, 20, 40, 63, 64, 70, 78, 79, 90)]
+    sets = [base[: len(base) - cut] for base in bases for cut in (0, 1, 4, 9, 15) if cut < len(base)]
+    sets = [np.sort(s) for s in sets + [rng.choice(some[:60], 50, False) for _ in range(40)]]
+    rough, exact = (verify(sets_) for verify, sets_ in (
+        (_maybe_similar(4, 5), [_sketch(s, 78) for s in sets]), (_similar(4, 5), [s.tobytes() for s in sets])
+    ))
+    small = np.array([len(s) < 64 for s in sets])
+    either = small[:, None] | small[None, :]
+    assert (rough == exact)[either].all() and not (exact & ~rough).any()
 
 
 def _cosine_links(vectors, labels):
