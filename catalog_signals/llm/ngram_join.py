@@ -55,7 +55,7 @@ class ChosenPaths:
 def shingle_sets(texts: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]]:
     """Index and sorted distinct shingle hashes of each text. A text of fewer words is one shingle;
     one without words has none."""
-    for first, hashes, bounds in word_hashes(texts):
+    for first, hashes, bounds in word_hashes(texts, _AT_ONCE):
         shingles = runs(hashes, words)
         for i, (start, end) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
             if end - start >= words:
@@ -80,6 +80,8 @@ def _digest(tokens: np.ndarray) -> int:
 #: Bins of a sketch, the tokens from which on two sets are compared by it, and the bytes before any tokens.
 _BINS, _SKETCHED = 128, 64
 _HEAD = 4 + _BINS
+#: Bytes of text hashed at a time, or a single longer text; the arrays for it are some forty times as large.
+_AT_ONCE = 1 << 18
 
 
 def _sketch(tokens: np.ndarray, tells: int) -> bytes:
