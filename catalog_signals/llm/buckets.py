@@ -112,7 +112,7 @@ def _dealt(members: DataFrame) -> DataFrame:
 
 
 def rough_links(members: DataFrame, verify: Verify) -> DataFrame:
-    """``node``, ``least`` of members that ``verify`` links with others, one row per member and block.
+    """``bucket``, ``node``, ``least`` of members that ``verify`` links with others, one row per member and block.
 
     For a cheap test on short payloads, before whole ones travel. ``members`` as in ``links_in_buckets``.
     """
@@ -123,10 +123,11 @@ def rough_links(members: DataFrame, verify: Verify) -> DataFrame:
             linked = _linked_pairs(verify(table["payload"].to_pylist()), chunk if cross[0] else None)
             some = linked.any(1)
             if some.any():
-                least = _least_connected(linked, node)
-                yield pa.record_batch([pa.array(node[some]), pa.array(least[some])], names=["node", "least"])
+                least, bucket = _least_connected(linked, node), table["bucket"].to_numpy()
+                columns = [pa.array(x[some]) for x in (bucket, node, least)]
+                yield pa.record_batch(columns, names=["bucket", "node", "least"])
 
-    return _dealt(members).mapInArrow(compare, "node bigint, least bigint")
+    return _dealt(members).mapInArrow(compare, "bucket bigint, node bigint, least bigint")
 
 
 def links_in_buckets(members: DataFrame, verify: Verify) -> DataFrame:

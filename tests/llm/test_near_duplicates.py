@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 
 from catalog_signals.llm import buckets
-from catalog_signals.llm.embedding_dedup import Hyperplanes, near_duplicates
+from catalog_signals.llm.embedding_dedup import Hyperplanes, _maybe_near, _sketches, near_duplicates
+from catalog_signals.llm.embedding_dedup import _near as _near_vectors
 from catalog_signals.llm.ngram_join import ChosenPaths, _maybe_similar, _similar, _sketch, distinct_documents, jaccard_join
 from catalog_signals.llm.words import mixed
 from tests.llm.frames import components, dirty, dirty_rows, empty, frame, jaccard_links, prose
@@ -131,3 +132,19 @@ def test_embeddings_are_brute_force(spark, monkeypatch):
     assert near_duplicates(df.limit(0)).count() == 0
     repeated = near_duplicates(df.where("vec_id = 0").union(df.where("vec_id = 0"))).collect()
     assert [tuple(r) for r in repeated] == [(0, 1, 0, True)] * 2
+
+
+@pytest.mark.parametrize("d", [1, 2, 3, 64, 1500])
+def test_sketches_lose_no_near_vector(d):
+    rng = np.random.default_rng(d)
+    centres = rng.normal(size=(20, d))
+    noise = rng.normal(size=(20, 12, d)) * rng.uniform(0.2, 0.6, (20, 12, 1))
+    vectors = (centres[:, None, :] + noise).reshape(-1, d)
+    vectors[::7] *= rng.random((len(vectors[::7]), d)) < 0.2  # few components that aren't zero
+    vectors = vectors[vectors.any(1)] * 10.0 ** rng.integers(-100, 100, (int(vectors.any(1).sum()), 1))
+    vectors = vectors / np.abs(vectors).max(1)[:, None]
+    linked = _near_vectors(0.93)([v.tobytes() for v in vectors])
+    rough = _maybe_near(0.93)(_sketches(vectors))
+    assert not (linked & ~rough).any() and linked.sum() > len(vectors)
+    if d == 64:
+        assert not (rough & ~_near_vectors(0.89)([v.tobytes() for v in vectors])).any()
