@@ -93,8 +93,9 @@ _LINKS = "node bigint, links bigint, least bigint"
 _NUMBERS = ("bucket", "low", "high", "chunk", "cross", "node", "weight")
 
 
-def _dealt(members: DataFrame) -> DataFrame:
-    """``members`` dealt to the blocks of their buckets, in the order of buckets and blocks.
+def _dealt(members: DataFrame, met: bool) -> DataFrame:
+    """``members`` dealt to the blocks of their buckets, in the order of buckets and blocks; with all ``others`` of
+    their buckets, if it matters whether a pair ``met`` before.
 
     A block is that of a chunk with itself, or of two chunks, and then has the members of both.
     """
@@ -105,7 +106,8 @@ def _dealt(members: DataFrame) -> DataFrame:
     )
     dealt = own.select(
         "bucket", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk",
-        (F.col("chunk") != F.col("other")).cast("int").alias("cross"), "node", "weight", "others", "payload",
+        (F.col("chunk") != F.col("other")).cast("int").alias("cross"), "node", "weight",
+        *(["others"] if met else []), "payload",
     )
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return dealt.repartition(n, "bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
@@ -127,7 +129,7 @@ def rough_links(members: DataFrame, verify: Verify) -> DataFrame:
                 columns = [pa.array(x[some]) for x in (bucket, node, least)]
                 yield pa.record_batch(columns, names=["bucket", "node", "least"])
 
-    return _dealt(members).mapInArrow(compare, "bucket bigint, node bigint, least bigint")
+    return _dealt(members, met=False).mapInArrow(compare, "bucket bigint, node bigint, least bigint")
 
 
 def links_in_buckets(members: DataFrame, verify: Verify) -> DataFrame:
@@ -145,7 +147,7 @@ def links_in_buckets(members: DataFrame, verify: Verify) -> DataFrame:
             if found is not None:
                 yield pa.record_batch([pa.array(x.astype(np.int64)) for x in found], names=["node", "links", "least"])
 
-    return _dealt(members).mapInArrow(compare, _LINKS)
+    return _dealt(members, met=True).mapInArrow(compare, _LINKS)
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
