@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog_signals.operators.cadence import merged_days
@@ -20,6 +21,12 @@ def _pairs(aliases: Mapping[str, Sequence[str]]) -> list[tuple[str, str]]:
     return list(dict.fromkeys((s, name) for name, sources in aliases.items() for s in sources))
 
 
+def _local(spark: SparkSession, pairs: list[tuple[str, str]], source: str, logical: str) -> DataFrame:
+    """The pairs as a local table, whose size Spark knows; that of a list of rows, an RDD, it doesn't."""
+    sources, names = ([pair[i] for pair in pairs] for i in range(2))
+    return spark.createDataFrame(pa.table({source: pa.array(sources, pa.string()), logical: pa.array(names, pa.string())}))
+
+
 def tenant_rollup(
     df: DataFrame,
     aliases: Mapping[str, Sequence[str]] | DataFrame,
@@ -30,13 +37,14 @@ def tenant_rollup(
 
     ``aliases`` maps a logical client to its sources, or is a DataFrame of distinct pairs ``_source``,
     ``_logical``. A source of several logical clients appears once under each, named twice or not. Spark
-    knows the size of the pairs of a mapping, a Python literal.
+    knows the size of the pairs of a mapping, a local table, and broadcasts them if that is under its
+    threshold; shuffled by source, the rows of few sources would be sorted in as few tasks.
     """
     if isinstance(aliases, DataFrame):
         table, rows = aliases, of_clients(df, None, source)
     else:
         pairs = _pairs(aliases)
-        table = df.sparkSession.createDataFrame(pairs, "_source string, _logical string")
+        table = _local(df.sparkSession, pairs, "_source", "_logical")
         rows = of_clients(df, list(dict.fromkeys(s for s, _ in pairs)), source)
     joined = rows.join(table, F.col(source) == F.col("_source")).drop("_source")
     return joined.withColumn(logical, F.col("_logical")).drop("_logical")
@@ -53,7 +61,7 @@ def _asked_aliases(
         if not known:
             return None
         asked = clients.select(F.col(clients.columns[0]).cast("string").alias("_logical")).dropna().distinct()
-        table = clients.sparkSession.createDataFrame(_pairs(known), "_of string, _name string")
+        table = _local(clients.sparkSession, _pairs(known), "_of", "_name")
         named = asked.join(table, F.col("_logical") == F.col("_name"), "left")
         return named.select(F.coalesce("_of", "_logical").alias("_source"), "_logical")
     if not any(c in known for c in clients or ()):

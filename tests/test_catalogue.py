@@ -195,3 +195,18 @@ def test_mismatch_equals_a_plain_left_join(spark):
 def test_a_malformed_type_id_fails_the_catalogue_scan(spark, bad):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         latest_version(raw(spark, type_row(type_id=bad))).collect()
+
+
+def test_a_mapping_of_aliases_moves_no_rows(spark):
+    """Shuffled by source, the rows of two sources would be sorted in two tasks, whatever their number."""
+    df = raw(spark, type_row("O1"), type_row("O2"), type_row("B")).repartition(3)
+    names = spark.createDataFrame([("T",)], "name string")
+    for moved in (
+        scope.tenant_rollup(df, {"T": ["O1", "O2"]}),
+        scope.scoped_service_types(df, ["T"], {"T": ["O1", "O2"]}),
+    ):
+        assert sorted(r.CLIENT for r in moved.collect()) == ["O1", "O2"]
+        plan = moved._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert scope.tenant_rollup(df, {}).count() == 0
+    assert sorted(r.CLIENT for r in scope.scoped_service_types(df, names, {"T": ["O1", "O2"]}).collect()) == ["O1", "O2"]
