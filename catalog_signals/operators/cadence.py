@@ -18,6 +18,9 @@ from catalog_signals.functions.text import percent_text, quoted
 
 _ACCOUNT = ["clientId", "TYPE_ID", "accountId"]
 
+#: Tasks that merge account-days, for every shuffle partition of the session.
+SPREAD = 4
+
 
 def visits_per_day(visits: DataFrame) -> DataFrame:
     """Visits, first and last visit per account and day; undated visits form a NULL day."""
@@ -30,8 +33,14 @@ def visits_per_day(visits: DataFrame) -> DataFrame:
 
 def merged_days(days: DataFrame) -> DataFrame:
     """One row per account and day out of rows of ``visits_per_day`` of any parts of the visits: a day's
-    visits may come in several parts, in any order."""
-    return days.groupBy(*_ACCOUNT, "day").agg(
+    visits may come in several parts, in any order.
+
+    Dealt by account, which has a row per day and part at most, the rows are merged where they are put in
+    order afterwards, in tasks of their own and not in those that reduce the parts. Their number is given,
+    so that adaptive execution doesn't gather rows that compress well into few tasks.
+    """
+    n = SPREAD * int(days.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return days.repartition(n, *_ACCOUNT).groupBy(*_ACCOUNT, "day").agg(
         F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last")
     )
 

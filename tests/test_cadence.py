@@ -163,3 +163,34 @@ def test_input_order_is_irrelevant(spark):
     random.Random(1).shuffle(data)
     again = cadence.account_cadence(visits_frame(spark, data).repartition(5))
     assert rows(again, "clientId", "TYPE_ID", "accountId", *COLUMNS) == expected
+
+
+def test_days_are_merged_in_tasks_of_their_own(spark):
+    """Memory: the tasks that reduce the parts don't merge them too, and rows that compress well stay spread."""
+    data = [visit_row(day=i % 40, account=i % 7) for i in range(300)]
+    visits = visits_frame(spark, data)
+    parts = [cadence.visits_per_day(visits.where(F.col("visitDate") < "2020-01-15")), cadence.visits_per_day(visits)]
+    merged = cadence.merged_days(parts[0].unionByName(parts[1]))
+    assert merged.rdd.getNumPartitions() == 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["clientId", "TYPE_ID", "accountId", "day"]
+    found = {tuple(r)[:4]: tuple(r)[4:] for r in merged.select(*keys, "n", "first", "last").collect()}
+    whole = {tuple(r)[:4]: tuple(r)[4:] for r in parts[1].select(*keys, "n", "first", "last").collect()}
+    twice = {tuple(r)[:4] for r in parts[0].select(*keys).collect()}
+    assert found == {k: (v[0] * (1 + (k in twice)), *v[1:]) for k, v in whole.items()}
+    executed = cadence.cadence_of_days(merged)
+    executed.collect()
+    plan = executed._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
+def test_stand_in_visits_are_joined_in_many_tasks(spark, tmp_path):
+    """Memory: the two large tables are dealt by key into a given number of tasks, and no row is lost by that."""
+    from verification.standin import stand_in
+
+    spark.sql("SELECT id AS l_orderkey, 1 AS l_linenumber, DATE'2020-01-01' AS l_shipdate, 2.0 AS l_extendedprice FROM range(9)").write.parquet(
+        f"{tmp_path}/lineitem.parquet")
+    spark.sql("SELECT id AS o_orderkey, 3 AS o_custkey FROM range(8)").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("SELECT id AS p_partkey, 'SMALL' AS p_type FROM range(9)").write.parquet(f"{tmp_path}/part.parquet")
+    visits = stand_in(spark, str(tmp_path), "appointments")
+    assert visits.count() == 8
+    assert visits.rdd.getNumPartitions() == 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))

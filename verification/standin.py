@@ -103,6 +103,12 @@ _SOURCES = {
 }
 
 
+#: Keys by which the large tables of a view are dealt for their join, and tasks of it for every shuffle partition of
+#: the session: adaptive execution leaves a given number alone, and so few tasks don't sort very many rows each.
+_DEALT = {"appointments": {"lineitem": "l_orderkey", "orders": "o_orderkey"}}
+_SPREAD = 4
+
+
 _schemas: dict[str, T.StructType] = {}
 
 
@@ -116,6 +122,9 @@ def open_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stand_in(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     sources = {t: open_table(spark, sf_dir, t) for t in _SOURCES[view]}
+    n = _SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for t, key in _DEALT.get(view, {}).items():
+        sources[t] = sources[t].repartition(n, key)
     ctes = [f"{t} AS (SELECT * FROM {{{t}}})" for t in sources]
     if view == "merged_service_type":
         ctes.append(f"service_type_raw AS ({VIEWS['service_type_raw']})")
