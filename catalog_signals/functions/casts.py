@@ -43,7 +43,8 @@ def safe_bigint(df: DataFrame, name: str) -> Column:
     if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
         return F.when(col == F.floor(col), col.try_cast("bigint"))
     if isinstance(dtype, T.StringType):
-        return F.regexp_replace(col, r"(?<=\d)\.0*(?=\s*$)", "").try_cast("bigint")
+        whole = F.regexp_replace(col, r"(?<=\d)\.0*(?=\s*$)", "")
+        return F.when(F.contains(col, F.lit(".")), whole).otherwise(col).try_cast("bigint")
     return col.try_cast("bigint")
 
 
@@ -63,7 +64,21 @@ def safe_timestamp(df: DataFrame, name: str) -> Column:
         return _in_utc(col)
     if not isinstance(dtype, T.StringType):
         return col.try_cast("timestamp_ntz")
-    return _computed_once(clean_text(col), _read_date)
+    return F.coalesce(_plain_date(col).try_cast("timestamp_ntz"), _computed_once(clean_text(col), _read_date))
+
+
+def _plain_date(col: Column) -> Column:
+    """ISO text for the usual ways to write a date in digits, whole and without white space, which needs neither
+    stripping nor a lambda; all else is left to ``_read_date``, which gives the same for these."""
+    def char(at: int) -> Column:
+        return F.substring(col, at, 1)
+
+    dashes = (F.length(col) == 10) & (char(5) == "-") & (char(8) == "-")
+    slashes = (F.length(col) == 10) & (char(3) == "/") & col.rlike("^[0-9]{2}/[0-9]{2}/[0-9]{4}$")
+    digits = (F.length(col) == 8) & col.rlike("^[0-9]{8}$")
+    by_slash = F.concat_ws("-", F.substring(col, 7, 4), F.substring(col, 1, 2), F.substring(col, 4, 2))
+    by_place = F.concat_ws("-", F.substring(col, 1, 4), F.substring(col, 5, 2), F.substring(col, 7, 2))
+    return F.when(dashes, col).when(slashes, by_slash).when(digits, by_place)
 
 
 def _computed_once(value: Column, then: Callable[[Column], Column]) -> Column:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from catalog_signals.functions import casts
 from catalog_signals.functions.casts import (
     as_timestamp,
     clean_text,
@@ -211,3 +212,38 @@ def test_every_format_with_and_without_a_time(spark):
     df = column(spark, texts, "string")
     for text, got in zip(texts, values(df, safe_timestamp(df, "x"))):
         assert got == _date_of(text), text
+
+
+ODD_DATES = [
+    "2024-06-01", "2024-02-30", " 2024-06-01", "2024-06-1 ", "2024-6-1", "06/01/2024", "6/1/2024", "06/1 /2024", "13/45/2024",
+    "20240601", "2024061 ", " 2024061", "+2024061", "00000601", "20241301", "+024-06-01", "0000-01-01", "2024-0a-01", "2024-06-01\n",
+    "24:0-06-01", "12:30:00Z", "١٢/٠١/٢٠٢٤", "01/02/2024 10:00", "Jun 1, 2024", "soon", "", None,
+]
+ODD_MONEY = [
+    "$1,200.50", " 12.5 ", "$ 12", "12 $", "1 2", ".5", "5.", ".", "1.2.3", "($45)", "-3", "+3", "1e3", "1d", "NaN", "Infinity",
+    "9" * 300, "9" * 301, "9" * 400, "12\n", "\xa012", "$", ",", "", "١٢", None,
+]
+
+
+def test_plain_texts_read_as_all_others_do(spark):
+    dates = spark.createDataFrame([(t,) for t in ODD_DATES], "t string")
+    slow = casts._computed_once(casts.clean_text(F.col("t")), casts._read_date)
+    for r in dates.select("t", casts.safe_timestamp(dates, "t").cast("string").alias("fast"), slow.cast("string").alias("slow")).collect():
+        assert r.fast == r.slow, r.t
+    money = spark.createDataFrame([(t,) for t in ODD_MONEY], "t string")
+    slow = casts._computed_once(F.translate(casts.clean_text(F.col("t")), ",$", ""), casts._read_money)
+    for r in money.select("t", casts.parse_money(money, "t").alias("fast"), slow.alias("slow")).collect():
+        assert r.fast == r.slow, r.t
+    ids = spark.createDataFrame([(t,) for t in ("7", "7.0", " 7. ", "7.5", "1e3", ".0", "x.0", "", None)], "t string")
+    whole = F.regexp_replace("t", r"(?<=\d)\.0*(?=\s*$)", "").try_cast("bigint")
+    for r in ids.select("t", casts.safe_bigint(ids, "t").alias("fast"), whole.alias("slow")).collect():
+        assert r.fast == r.slow, r.t
+
+
+def test_plain_texts_take_no_lambda(spark, monkeypatch):
+    """Seconds: lambdas are interpreted value by value; the usual texts are read by compiled code."""
+    monkeypatch.setattr(casts, "_read_date", lambda _: F.raise_error(F.lit("lambda")).cast("timestamp_ntz"))
+    monkeypatch.setattr(casts, "_read_money", lambda _: F.raise_error(F.lit("lambda")).cast("double"))
+    df = spark.createDataFrame([("2024-06-01", "$1,200.50"), ("06/01/2024", " 7 "), ("20240601", "3")], "d string, m string")
+    found = df.select(casts.safe_timestamp(df, "d"), casts.parse_money(df, "m")).collect()
+    assert [tuple(r) for r in found] == [(dt.datetime(2024, 6, 1), m) for m in (1200.5, 7.0, 3.0)]
