@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from catalog_signals.llm.words import runs, word_hashes
+from catalog_signals.llm.words import long_runs, runs, word_hashes
 from tests.llm.frames import prose
 
 
@@ -36,3 +36,13 @@ def test_runs_depend_on_order():
     three = runs(h, 3)
     assert len(three) == 5 and three[0] == three[4] and len(set(three.tolist())) == 4
     assert len(runs(h[:2], 3)) == 0 and np.array_equal(runs(h, 1), runs(h, 1))
+
+
+def test_long_runs_are_equal_where_their_words_are():
+    rng = np.random.default_rng(6)
+    words = rng.integers(0, 3, 300).astype(np.uint64)
+    for n in (1, 4, 50):
+        codes = long_runs(words, n)
+        of = [tuple(words[i : i + n].tolist()) for i in range(len(words) - n + 1)]
+        assert len(codes) == len(of) and len(set(zip(codes.tolist(), of))) == len(set(codes.tolist())) == len(set(of))
+    assert len(long_runs(words[:3], 4)) == 0
